@@ -199,7 +199,8 @@ def extra_trees_proxy(train: DataFrame, feature_cols: list[str], label: str = "l
 def extra_trees_predict(models: list[PipelineModel], df: DataFrame, keep: list[str]) -> DataFrame:
     out = df
     for g, m in enumerate(models):
-        out = m.transform(out).drop("_bf", *[c for c in out.columns if c.startswith("_b_")])
+        out = m.transform(out)
+        out = out.drop("_bf", f"_r{g}", f"_y{g}", *[c for c in out.columns if c.startswith("_b_")])
         out = out.withColumn(f"_p{g}", vector_to_array(F.col(f"_p{g}")))
     n = len(models)
     prob = F.col("_p0")
