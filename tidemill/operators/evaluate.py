@@ -100,14 +100,15 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
     acc = F.col("hits") / F.col("n")
     n = F.col("n").cast("bigint")
-    summary = tot.select(
-        F.inline(F.array(
-            F.struct(F.lit("accuracy").alias("row"), acc.alias("precision"), acc.alias("recall"),
-                     acc.alias("f1"), n.alias("support")),
-            F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), n),
-            F.struct(F.lit("weighted avg"), F.col("wp") / F.col("n"), F.col("wr") / F.col("n"),
-                     F.col("wf") / F.col("n"), n),
-        )))
+    def row(name, p, r, f):
+        return F.struct(F.lit(name).alias("row"), p.alias("precision"), r.alias("recall"), f.alias("f1"),
+                        n.alias("support"))
+
+    summary = tot.select(F.inline(F.array(
+        row("accuracy", acc, acc, acc),
+        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        row("weighted avg", F.col("wp") / F.col("n"), F.col("wr") / F.col("n"), F.col("wf") / F.col("n")),
+    )))
     return cls_rows.unionByName(summary)
 
 
@@ -216,3 +217,35 @@ def gain_over(best: DataFrame, baseline: DataFrame, metric: str = "f1") -> DataF
     base = one_row(baseline.select(F.col(metric).alias("baseline")))["baseline"]
     return best.select(F.col(metric).alias("candidate"), F.lit(base).cast("double").alias("baseline"),
                        (F.col(metric) - F.lit(base)).alias("gain"))
+
+
+def binary_metrics_by(df: DataFrame, group_col: str, label: str = "label", pred: str = "prediction",
+                      positive=1) -> DataFrame:
+    """Accuracy, precision, recall and F1 for many models in one
+    aggregate (``groupBy(model)``) over a long prediction table."""
+    y = F.col(label) == F.lit(positive)
+    p = F.col(pred) == F.lit(positive)
+    a = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"), F.count_if(y & p).alias("tp"),
+                                  F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"),
+                                  F.count_if(~y & ~p).alias("tn"))
+    return a.select(
+        group_col, ((F.col("tp") + F.col("tn")) / F.col("n")).alias("accuracy"),
+        _div0(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        _div0(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
+        _div0(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
+
+
+def multiclass_metrics_by(df: DataFrame, group_col: str, label: str = "label",
+                          pred: str = "prediction") -> DataFrame:
+    """E13 input: accuracy and macro F1 per model in two small aggregates
+    (per-class counts per model are models x classes rows)."""
+    yl, pr = F.col(label), F.col(pred)
+    t = df.select(group_col, yl.alias("_y"), pr.alias("_p"))
+    classes = t.select(group_col, F.col("_y").alias("c")).union(t.select(group_col, F.col("_p").alias("c"))).distinct()
+    tp = t.where(F.col("_y") == F.col("_p")).groupBy(group_col, F.col("_y").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
+    sup = t.groupBy(group_col, F.col("_y").alias("c")).agg(F.count(F.lit(1)).alias("support"))
+    prd = t.groupBy(group_col, F.col("_p").alias("c")).agg(F.count(F.lit(1)).alias("predicted"))
+    pc = (classes.join(tp, [group_col, "c"], "left").join(sup, [group_col, "c"], "left")
+          .join(prd, [group_col, "c"], "left").fillna(0, ["tp", "support", "predicted"]))
+    f1 = _div0(2 * F.col("tp"), F.col("predicted") + F.col("support"))
+    return pc.groupBy(group_col).agg((F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg(f1).alias("macro_f1"))
