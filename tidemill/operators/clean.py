@@ -48,8 +48,10 @@ def impute_median(df: DataFrame, cols, approx: bool = False) -> DataFrame:
 
 def impute_mode(df: DataFrame, cols, fallback: str = "Unknown") -> DataFrame:
     """Most frequent value (ties -> smallest); an all-null column gets ``fallback``."""
-    row = df.agg(*[F.mode(c, True).alias(c) for c in cols]).first().asDict()
-    return _fill(df, {c: (v if v is not None else fallback) for c, v in row.items()})
+    from tidemill.operators.profile import modes
+
+    m = modes(df, cols)
+    return _fill(df, {c: (v if v is not None else fallback) for c, v in m.items()})
 
 
 def drop_null_rows(df: DataFrame, subset=None) -> DataFrame:

@@ -108,7 +108,9 @@ def silhouette_exact(df: DataFrame, key: str, cols, cluster: str, block_rows: in
     t_blocks = _blocks(df, key, cols, nb, "t_", cluster)
     q_blocks = _blocks(df, key, cols, nb, "q_")
     q_rep = q_blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("t_blk"))
-    pairs = q_rep.join(t_blocks, "t_blk").repartition(nb * nb)
+    pairs = q_rep.join(t_blocks, "t_blk")
+    if nb > 1:
+        pairs = pairs.repartition(nb * nb)  # one block pair per task
     sums = pairs.mapInPandas(_pair_cluster_sums(), "qid bigint, cl double, sum_d double, cnt bigint")
     per = sums.groupBy("qid", "cl").agg(F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt"))
     own = df.select(F.col(key).cast("bigint").alias("qid"), F.col(cluster).cast("double").alias("own"))

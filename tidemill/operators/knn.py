@@ -76,7 +76,9 @@ def knn_candidates(train: DataFrame, query: DataFrame, cols, label: str, train_i
     q_blocks = _blocks(query, query_id, cols, qb, "q_")
     # each query block meets every train block once (equi-join on the train block number)
     q_rep = q_blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(tb - 1))).alias("t_blk"))
-    pairs = q_rep.join(t_blocks, "t_blk").repartition(max(1, tb * qb))
+    pairs = q_rep.join(t_blocks, "t_blk")
+    if tb * qb > 1:
+        pairs = pairs.repartition(tb * qb)  # one block pair per task
     cands = pairs.mapInPandas(_pair_top_k(k), CAND_SCHEMA)
     w = Window.partitionBy("qid").orderBy("dist", "tid")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -67,10 +67,11 @@ def basic_stats(df: DataFrame, cols) -> DataFrame:
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     med = quantiles(df, cols, [0.5])
+    mode = modes(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
     return long.groupBy("feature").agg(
-        F.avg("v").alias("mean"), F.mode("v", True).alias("mode"),
-        F.var_samp("v").alias("variance"), F.stddev_samp("v").alias("stdev"),
-    ).withColumn("median", _lit_map({c: med[c][0] for c in cols}, "feature").cast("double"))
+        F.avg("v").alias("mean"), F.var_samp("v").alias("variance"), F.stddev_samp("v").alias("stdev"),
+    ).select("feature", "mean", _lit_map({c: med[c][0] for c in cols}, "feature").cast("double").alias("median"),
+             _lit_map(mode, "feature").cast("double").alias("mode"), "variance", "stdev")
 
 
 def skew_kurt(df: DataFrame, cols) -> DataFrame:
@@ -176,21 +177,47 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, cols, class_col: str, approx: bool = False) -> DataFrame:
     """Per (feature, class): quartiles, median and whiskers (the most extreme
-    values inside the 1.5 IQR fences), fliers excluded."""
+    values inside the 1.5 IQR fences), fliers excluded. Quartiles per group come from
+    the exact distributed selection (or a sketch with ``approx``); fences are applied
+    as literals, so the whiskers are one more grouped aggregate, no join."""
+    from tidemill.operators.quantiles import grouped_quantiles
+
     cols = list(cols)
     long = df.select(class_col, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [class_col], cols, "feature", "v")
-    pct = F.percentile_approx("v", [0.25, 0.5, 0.75], 100_000) if approx else F.percentile("v", [0.25, 0.5, 0.75])
-    q = long.groupBy("feature", class_col).agg(pct.alias("q"))
-    q = q.select("feature", class_col, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    fences = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
-                      (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"))
-    j = long.join(F.broadcast(fences), ["feature", class_col])
-    inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
-    w = j.groupBy("feature", class_col).agg(
+    key = F.concat_ws("\u0001", F.col("feature"), F.col(class_col).cast("string"))
+    keyed = long.select(key.alias("_k"), "feature", class_col, "v")
+    if approx:
+        rows = keyed.groupBy("_k").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 100_000).alias("q")).collect()
+        q = {r["_k"]: list(r["q"]) for r in rows}
+    else:
+        q = grouped_quantiles(keyed.select(F.col("_k").alias("feature"), "v"), [0.25, 0.5, 0.75])
+
+    def lit_of(i):
+        return F.create_map(*[x for k, v in q.items() for x in (F.lit(k), F.lit(float(v[i])))])[F.col("_k")]
+
+    q1, med, q3 = lit_of(0), lit_of(1), lit_of(2)
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    inside = (F.col("v") >= lo) & (F.col("v") <= hi)
+    w = keyed.groupBy("_k", "feature", class_col).agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"), F.max(F.when(inside, F.col("v"))).alias("whisker_high"))
-    return q.join(w, ["feature", class_col])
+    return w.select("feature", class_col, q1.alias("q1"), med.alias("median"), q3.alias("q3"),
+                    "whisker_low", "whisker_high")
+
+
+def modes(df: DataFrame, cols) -> dict:
+    """Most frequent value per column, ties -> smallest, as a two-level aggregate:
+    counts per (column, value) are shuffled by value, then one arg-max per column
+    (partial aggregation keeps one candidate per task). No task holds a column's
+    whole value map."""
+    out = {}
+    parts = []
+    for c in cols:
+        vc = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(vc.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias("m")))
+    for c, p in zip(cols, parts):
+        out[c] = p.first()["m"]
+    return out
 
 
 def cumulative_sum(df: DataFrame, value_col: str, order_col: str, partition_cols=(), tie_cols=(),

@@ -45,18 +45,38 @@ def random_split(df: DataFrame, key, test_frac: float = 0.2, seed: int = 42,
     return df.withColumn(split_col, F.when(hash_uniform(key, seed) < test_frac, "test").otherwise("train"))
 
 
+def rank_within(df: DataFrame, group_cols, key: str, seed: int = 42, buckets: int = 1024,
+                out: str = "_rank") -> DataFrame:
+    """Exact 1-based rank of each row inside its group in seeded hash order
+    (``md5(key|seed)``, then ``key``), without a window over a whole group.
+
+    Rows are cut into ``buckets`` fixed hash ranges (the first 32 bits of the md5,
+    so bucket order agrees with the md5 string order); per (group, bucket) counts
+    give each bucket's offset (a table of groups x buckets rows); the rank inside a
+    bucket is a window over about n_group / buckets rows."""
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    b = F.least(F.floor(hash_uniform(key, seed) * buckets).cast("int"), F.lit(buckets - 1))
+    tagged = df.withColumn("_b", b).withColumn("_h", hash_hex(key, seed))
+    counts = tagged.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*groups, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_nb").over(Window.partitionBy(*groups)).alias("_group_n"))
+    j = tagged.join(offs, [*groups, "_b"])
+    w = Window.partitionBy(*groups, "_b").orderBy("_h", key)
+    return j.withColumn(out, F.row_number().over(w) + F.col("_off")).drop("_b", "_h", "_off", "_nb")
+
+
 def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2, seed: int = 42,
                      split_col: str = "split", exact: bool = True) -> DataFrame:
-    """Class ratios preserved. ``exact``: per class the ``round(n_c * frac)``
-    rows with the smallest seeded hash are test (a rank per class); otherwise a
-    per-row hash threshold (no window, scales with hot classes)."""
+    """Class ratios preserved. ``exact``: per class the ``round(n_c * frac)`` rows
+    with the smallest seeded hash are test (ranked with ``rank_within``, so a huge
+    class is spread over many tasks); otherwise a per-row hash threshold."""
     if not exact:
         return random_split(df, key, test_frac, seed, split_col)
-    h = hash_hex(key, seed)
-    w = Window.partitionBy(label).orderBy(h, F.col(key))
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    rn = F.row_number().over(w)
-    return df.withColumn(split_col, F.when(rn <= F.round(n * F.lit(test_frac)), "test").otherwise("train"))
+    r = rank_within(df, label, key, seed)
+    out = r.withColumn(split_col, F.when(F.col("_rank") <= F.round(F.col("_group_n") * F.lit(test_frac)), "test")
+                       .otherwise("train"))
+    return out.drop("_rank", "_group_n")
 
 
 def oversample(df: DataFrame, key: str, label: str, minority, target_n: int, seed: int = 42) -> DataFrame:

@@ -18,7 +18,11 @@ from tidemill.plans.catalog import query
 from tidemill.plans.common import duck_h, emb, emb_sql, r6
 
 E8 = [f"e{i}" for i in range(1, 9)]
-REG_TARGET = 3 * F.col("e1") - 2 * F.col("e2") + F.col("e3") * F.col("e3")
+
+
+def reg_target():
+    return 3 * F.col("e1") - 2 * F.col("e2") + F.col("e3") * F.col("e3")
+
 REG_TARGET_SQL = "3 * e1 - 2 * e2 + e3 * e3"
 
 SPLIT_SQL = f"""(SELECT *, CASE WHEN row_number() OVER (PARTITION BY y3 ORDER BY {duck_h('vec_id')}, vec_id)
@@ -27,7 +31,7 @@ SPLIT_SQL = f"""(SELECT *, CASE WHEN row_number() OVER (PARTITION BY y3 ORDER BY
 
 def split_emb(spark, sf):
     d = stratified_split(emb(spark, sf, 8), "vec_id", "y3", 0.2)
-    return d.withColumn("target", REG_TARGET)
+    return d.withColumn("target", reg_target())
 
 
 def _xy(spark, sf, label="y3"):
@@ -45,7 +49,7 @@ def _train_test(spark, sf, label="y3"):
 SELECT round(regr_intercept({REG_TARGET_SQL}, e1), 6) AS intercept, round(regr_slope({REG_TARGET_SQL}, e1), 6) AS slope
 FROM {emb_sql(8)}""")
 def m1_least_squares(spark, sf):
-    d = M.assembler(["e1"]).transform(emb(spark, sf, 8).withColumn("label", REG_TARGET))
+    d = M.assembler(["e1"]).transform(emb(spark, sf, 8).withColumn("label", reg_target()))
     model = M.least_squares().fit(d)
     return spark.range(1).select(F.round(F.lit(model.intercept), 6).alias("intercept"),
                                  F.round(F.lit(float(model.coefficients[0])), 6).alias("slope"))
