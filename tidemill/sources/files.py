@@ -34,23 +34,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return df
 
 
-def read_labelled_signals(spark: SparkSession, glob: str, n_values: int,
-                          label_from: str = "file") -> DataFrame:
+def read_labelled_signals(spark: SparkSession, glob: str, n_values: int, label_from: str = "file",
+                          label_pattern: str = r"(\d+)\.csv$") -> DataFrame:
     """Headerless numeric CSV files, one recording per line.
 
-    ``label_from='file'`` takes the label from the digits of the file stem
-    (``3.csv`` -> 3) and keeps every column as a feature; ``'last_column'`` uses
-    the last column. Unparsable cells become null (coercing cast); rows with a
-    null are dropped, as the reference does. A glob concatenates all files in one scan.
+    ``label_from='file'`` takes the label from the file path (by default the digits of
+    the file stem, ``3.csv`` -> 3; ``label_pattern`` picks another part, e.g. a
+    ``label=3/`` partition folder) and keeps every column as a feature;
+    ``'last_column'`` uses the last column. Unparsable cells become null (coercing
+    cast); rows with a null are dropped, as the reference does. A glob concatenates
+    all files in one scan.
     """
     n_cols = n_values + (1 if label_from == "last_column" else 0)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_cols)])
     raw = spark.read.schema(schema).option("header", False).csv(glob)
-    vals = [F.expr(f"try_cast(_c{i} AS DOUBLE)") for i in range(n_values)]
+    vals = [F.col(f"_c{i}").try_cast("double") for i in range(n_values)]
     if label_from == "file":
-        label = F.regexp_extract(F.input_file_name(), r"(\d+)\.csv$", 1).cast("int")
+        label = F.regexp_extract(F.col("_metadata.file_path"), label_pattern, 1).try_cast("int")
     elif label_from == "last_column":
-        label = F.expr(f"try_cast(_c{n_values} AS INT)")
+        label = F.col(f"_c{n_values}").try_cast("int")
     else:
         raise ValueError("label_from must be 'file' or 'last_column'")
     out = raw.select(F.array(*vals).alias("signal"), label.alias("label"))
