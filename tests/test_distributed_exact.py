@@ -113,3 +113,23 @@ def test_roc_auc_equals_rank_formula(spark):
     pos = p["label"] == 1
     n1, n0 = pos.sum(), (~pos).sum()
     assert abs(got - (ranks[pos].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)) < 1e-12
+
+
+def test_blocked_series_windows_equal_plain_windows(spark):
+    from pyspark.sql import Window
+
+    from tidemill.operators.blocked_series import blocked_series_features
+    from tidemill.operators.windows import add_series_features
+
+    ev = read_table(spark, SF_MID, "events").select("event_id", "user_id", "ts", "value")
+    # one artificial hot series: a third of the rows moved to user 0
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    got = blocked_series_features(ev, ["user_id"], "ts", "value", tie_cols=["event_id"], block_rows=37)
+    w_cols = ["event_id", "prev_value", "next_value", "value_return", "ma_5", "ma_10", "volatility_5"]
+    exp = add_series_features(ev, ["user_id"], ["ts", "event_id"], "value")
+    a = {r["event_id"]: tuple(r[c] for c in w_cols) for r in got.select(*w_cols).collect()}
+    b = {r["event_id"]: tuple(r[c] for c in w_cols) for r in exp.select(*w_cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None and y is None) or abs(x - y) < 1e-9, (k, a[k], b[k])

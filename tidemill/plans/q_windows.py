@@ -138,3 +138,29 @@ def w9_first_per_class(spark, sf):
     n = read_table(spark, sf, "nation").where(F.col("n_regionkey") != 3)
     classes = read_table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"))
     return W.first_per_class(n, "n_regionkey", "n_nationkey", classes).select("n_regionkey", "n_nationkey", "n_name")
+
+
+_EV = "PARTITION BY user_id ORDER BY ts, event_id"
+
+
+def _ev_roll(fn, k):
+    frame = f"({_EV} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+    return f"CASE WHEN count(value) OVER {frame} = {k} THEN {fn}(value) OVER {frame} END"
+
+
+@query("w1_w5_event_series", sql=f"""
+SELECT event_id, user_id, lag(value) OVER ({_EV}) AS prev_value, lead(value) OVER ({_EV}) AS next_value,
+  round(CASE WHEN lag(value) OVER ({_EV}) IS NULL THEN 0 WHEN lag(value) OVER ({_EV}) = 0 THEN NULL
+        ELSE value / lag(value) OVER ({_EV}) - 1 END, 6) AS value_return,
+  round({_ev_roll('avg', 5)}, 6) AS ma_5, round({_ev_roll('avg', 10)}, 6) AS ma_10,
+  round({_ev_roll('stddev_samp', 5)}, 6) AS volatility_5
+FROM events""")
+def w1_w5_event_series(spark, sf):
+    """W1-W5 on raw rows of a possibly hot series (one user may hold a large share of
+    the events): halo-blocked windows, parallel inside every series."""
+    from tidemill.operators.blocked_series import blocked_series_features
+
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    f = blocked_series_features(ev, ["user_id"], "ts", "value", tie_cols=["event_id"])
+    return f.select("event_id", "user_id", "prev_value", "next_value", r6("value_return").alias("value_return"),
+                    *[r6(c).alias(c) for c in ("ma_5", "ma_10", "volatility_5")])
