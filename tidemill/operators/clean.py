@@ -13,7 +13,7 @@ from tidemill.functions.exprs import coerce_double, null_sentinels
 from tidemill.functions.hashing import hash_hex, hash_uniform
 from tidemill.operators.quantiles import quantiles
 
-BROADCAST_KEYS_MAX = 1_000_000
+BROADCAST_KEYS_MAX = 200_000
 
 
 def replace_sentinels(df: DataFrame, cols, tokens=("_", "")) -> DataFrame:

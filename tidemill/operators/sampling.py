@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.hashing import hash_hex, hash_uniform
 from tidemill.operators.ordered import running_totals
 
-BROADCAST_ROWS_MAX = 1_000_000
+BROADCAST_ROWS_MAX = 100_000
 
 
 def sort_rows(df: DataFrame, keys: list, ascending: list | None = None) -> DataFrame:
@@ -94,8 +94,8 @@ def oversample(df: DataFrame, key: str, label: str, minority, target_n: int, see
         return df
     draw_hash = F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f"|{seed}"))), 1, 8), 16, 10)
     draws = spark.range(target_n).select(F.pmod(draw_hash.cast("bigint"), F.lit(m)).alias("_pos"))
-    side = F.broadcast(m_idx) if m <= BROADCAST_ROWS_MAX else m_idx
-    resampled = draws.join(side, "_pos").drop("_pos")
+    # the join strategy is AQE's: broadcast only when the measured minority side is small
+    resampled = draws.join(m_idx, "_pos").drop("_pos")
     return df.where(F.col(label) != F.lit(minority)).unionByName(resampled)
 
 
@@ -110,4 +110,6 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).cache()
     tot = counts.agg(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k")).first()
     w = counts.select(label, (F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    if tot["k"] <= BROADCAST_ROWS_MAX:  # one row per class: bounded by the checked class count
+        w = F.broadcast(w)
+    return df.join(w, label, "left")
