@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BUCKETS = 4096
 
@@ -23,17 +24,29 @@ def _bucket_expr(order_col: str, cuts: list[float]):
     return F.size(F.filter(arr, lambda b: b < F.col(order_col)))
 
 
+def _numeric_proxy(df: DataFrame, order_col: str):
+    """A double that orders like ``order_col`` (used only to place bucket cuts)."""
+    dt = df.schema[order_col].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
+    if isinstance(dt, T.DateType):
+        return F.unix_date(F.col(order_col)).cast("double")
+    return F.col(order_col).cast("double")
+
+
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str], tie_cols: list[str] = (),
                    descending: bool = False, buckets: int = 64, suffix: str = "_cum") -> DataFrame:
     """Adds ``<v>_cum`` = sum of ``v`` over all rows up to and including this one in the
-    order (``order_col``, then ``tie_cols``), ascending or descending."""
+    order (``order_col``, then ``tie_cols``), ascending or descending. ``order_col``
+    may be numeric, a date or a timestamp."""
     buckets = max(1, min(int(buckets), MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if probs else []
-    b = _bucket_expr(order_col, cuts)
+    base = df.withColumn("_ordp", _numeric_proxy(df, order_col))
+    cuts = sorted(set(base.approxQuantile("_ordp", probs, 0.001))) if probs else []
+    b = _bucket_expr("_ordp", cuts)
     if descending:
         b = F.lit(len(cuts)) - b
-    tagged = df.withColumn("_bkt", b)
+    tagged = base.withColumn("_bkt", b)
     totals = tagged.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # at most `buckets` rows: the prefix over buckets is tiny and broadcast back.
     wb = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)

@@ -86,6 +86,19 @@ def chronological_split(df: DataFrame, series_cols, order_col: str, train_frac:
     )
 
 
+def chronological_split_global(df: DataFrame, order_col: str, tie_cols=(), train_frac: float = 0.8,
+                               split_col: str = "split") -> DataFrame:
+    """L6 for one table-wide order: the first ``int(frac * n)`` rows are ``train``.
+    Positions come from an exact distributed running count (no single-partition sort)."""
+    from tidemill.operators.clean import row_index
+
+    n = df.count()
+    cut = int(n * train_frac)
+    idx = row_index(df, order_col, tie_cols=list(tie_cols), out="_row_no")
+    return idx.withColumn(split_col, F.when(F.col("_row_no") <= cut, F.lit("train")).otherwise(F.lit("test"))).drop(
+        "_row_no")
+
+
 def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int) -> DataFrame:
     """``sort.groupby(g).head(k)``: a rank filter Spark plans as a
     ``WindowGroupLimit`` before the exchange, so only k rows per group move."""

@@ -75,6 +75,16 @@ def l6_chronological_split(spark, sf):
     return chronological_split(d, "o_orderpriority", "order_day", 0.8)
 
 
+@query("l6_chronological_split_global", sql="""
+SELECT o_orderkey, o_orderdate, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey)
+  <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split FROM orders""")
+def l6_chronological_split_global(spark, sf):
+    from tidemill.operators.windows import chronological_split_global
+
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return chronological_split_global(o, "o_orderdate", tie_cols=["o_orderkey"], train_frac=0.8)
+
+
 @query("l7_oversample", sql=f"""
 WITH m AS (SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY {duck_u('c_custkey')}, c_custkey) - 1 AS pos
            FROM customer WHERE c_mktsegment = 'AUTOMOBILE'),
