@@ -36,14 +36,23 @@ def lead_col(col: str, w: WindowSpec, n: int = 1) -> Column:
     return F.lead(col, n).over(w)
 
 
-def pct_change_col(col: str, w: WindowSpec) -> Column:
-    """``pct_change().fillna(0)``: nulls padded forward first; first row 0.
-    A zero base gives null (the reference gives inf)."""
+def padded_cur_prev(col: str, w: WindowSpec) -> tuple[Column, Column]:
+    """Current and previous value with nulls padded forward (inputs of W3)."""
     cur = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     prev = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return cur, prev
+
+
+def pct_from(cur: Column, prev: Column) -> Column:
     return F.when(cur.isNull() | prev.isNull(), F.lit(0.0)).otherwise(F.try_divide(cur, prev) - 1)
 
 
+def pct_change_col(col: str, w: WindowSpec) -> Column:
+    """``pct_change().fillna(0)``: nulls padded forward first; first row 0.
+    A zero base gives null (the reference gives inf)."""
+    return pct_from(*padded_cur_prev(col, w))
+
+
 def rolling_lag_col(col: str, w: WindowSpec, k: int, fn: str = "mean") -> Column:
     """``shift(1).rolling(k).mean()`` / ``.std()``: the k rows before the
     current one; null unless all k are present (pandas ``min_periods=k``)."""
@@ -64,14 +73,25 @@ def add_series_features(df: DataFrame, series_cols, order_col: str, value_col: s
     """W1-W5 together: previous value, next value (target), percent change, moving
     averages and volatility of the lagged value; one exchange + sort for all."""
     w = series_window(series_cols, order_col)
+    return with_series_features(df, w, value_col, ma, vol)
+
+
+def with_series_features(df: DataFrame, w: WindowSpec, value_col: str, ma=(5, 10), vol=(5,)) -> DataFrame:
+    """The W1-W5 columns over window ``w``; every window expression is evaluated once
+    (the percent change reads the padded current/previous values from columns)."""
+    cur, prev = padded_cur_prev(value_col, w)
     cols = [
         lag_col(value_col, w).alias(f"prev_{value_col}"),
         lead_col(value_col, w).alias(f"next_{value_col}"),
-        pct_change_col(value_col, w).alias(f"{value_col}_return"),
+        cur.alias("_cur"), prev.alias("_prev"),
     ]
     cols += [rolling_lag_col(value_col, w, k, "mean").alias(f"ma_{k}") for k in ma]
     cols += [rolling_lag_col(value_col, w, k, "std").alias(f"volatility_{k}") for k in vol]
-    return df.select("*", *cols)
+    out = df.select("*", *cols)
+    names = [c for c in out.columns if c not in ("_cur", "_prev")]
+    ret = pct_from(F.col("_cur"), F.col("_prev")).alias(f"{value_col}_return")
+    pos = names.index(f"next_{value_col}") + 1
+    return out.select(*names[:pos], ret, *names[pos:])
 
 
 def chronological_split(df: DataFrame, series_cols, order_col: str, train_frac: float = 0.8,
