@@ -28,8 +28,9 @@ def f1_arithmetic_features(spark, sf):
 
 
 @query("f2_date_parts", sql="""
-SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month, day(o_orderdate) AS day,
-  isodow(o_orderdate) - 1 AS day_of_week, CAST(weekofyear(o_orderdate) AS INTEGER) AS week_of_year FROM orders""")
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  CAST(day(o_orderdate) AS INTEGER) AS day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS day_of_week,
+  CAST(weekofyear(o_orderdate) AS INTEGER) AS week_of_year FROM orders""")
 def f2_date_parts(spark, sf):
     o = read_table(spark, sf, "orders")
     parts = date_parts(F.col("o_orderdate"))
