@@ -133,3 +133,31 @@ def test_blocked_series_windows_equal_plain_windows(spark):
     for k in a:
         for x, y in zip(a[k], b[k]):
             assert (x is None and y is None) or abs(x - y) < 1e-9, (k, a[k], b[k])
+
+
+def test_wide_vector_distances_match_exact_differences():
+    from tidemill.operators.knn import squared_distances
+
+    rng = np.random.default_rng(3)
+    q, t = rng.normal(size=(7, 784)), rng.normal(size=(50, 784))
+    exact = ((q[:, None, :] - t[None, :, :]) ** 2).sum(-1)
+    assert np.allclose(squared_distances(q, t), exact, rtol=1e-10, atol=1e-9)
+
+
+def test_knn_on_all_64_dimensions(spark):
+    from tidemill.operators.sampling import random_split
+
+    e = read_table(spark, SF_MID, "embeddings")
+    cols = [f"d{i}" for i in range(64)]
+    d = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    d = random_split(d, "vec_id", 0.2)
+    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    got = knn_classify(tr, te, cols, "label", "vec_id", "vec_id", k=3, block_rows=100).toPandas()
+    ptr, pte = tr.toPandas(), te.toPandas()
+    X, Q = ptr[cols].to_numpy(), pte[cols].to_numpy()
+    dist = ((Q[:, None, :] - X[None, :, :]) ** 2).sum(-1)
+    for i, qid in enumerate(pte["vec_id"]):
+        order = np.lexsort((ptr["vec_id"].to_numpy(), dist[i]))[:3]
+        votes = pd.Series(ptr["label"].to_numpy()[order]).value_counts()
+        exp = float(min(votes[votes == votes.max()].index))
+        assert got.loc[got.vec_id == qid, "prediction"].iloc[0] == exp

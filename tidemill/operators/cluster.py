@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_hex
-from tidemill.operators.knn import _blocks
+from tidemill.operators.knn import _blocks, query_chunk, squared_distances
 
 
 def _vec(cols) -> Column:
@@ -86,13 +86,14 @@ def _pair_cluster_sums():
                 tv = np.vstack(row.t_vecs)
                 t_lab = np.asarray(row.t_labels, dtype=np.float64)
                 labs = np.unique(t_lab)
-                for s in range(0, len(q_ids), 64):
-                    q = qv[s:s + 64]
-                    diff = q[:, None, :] - tv[None, :, :]
-                    dist = np.sqrt(np.sum(diff * diff, axis=-1))
+                step = query_chunk(len(t_lab), tv.shape[1])
+                t_sq = np.einsum("ij,ij->i", tv, tv)
+                for s in range(0, len(q_ids), step):
+                    q = qv[s:s + step]
+                    dist = np.sqrt(squared_distances(q, tv, t_sq))
                     for lab in labs:
                         m = t_lab == lab
-                        out.append(pd.DataFrame({"qid": q_ids[s:s + 64], "cl": lab,
+                        out.append(pd.DataFrame({"qid": q_ids[s:s + step], "cl": lab,
                                                  "sum_d": dist[:, m].sum(axis=1), "cnt": int(m.sum())}))
             if out:
                 yield pd.concat(out, ignore_index=True)
