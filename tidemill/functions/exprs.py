@@ -62,3 +62,15 @@ def keyword_flag(c, words) -> Column:
 def yes_flag(c, positive: str = "Yes") -> Column:
     """C14: binary target from text; null counts as 0 as in pandas' comparison."""
     return F.coalesce((_c(c) == F.lit(positive)).cast("int"), F.lit(0))
+
+
+def round_half_up(c, digits: int) -> Column:
+    """Round a double to ``digits`` decimals as ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Pure IEEE arithmetic, so any engine computing the same double gets the same
+    rounded value (``round`` implementations differ on ties such as 8.0046875, whose
+    binary value lies just below the decimal tie)."""
+    scale = float(10 ** digits)
+    v = _c(c).cast("double")
+    finite = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+    return F.when(finite, F.floor(v * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(v)

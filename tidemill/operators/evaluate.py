@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.exprs import round_half_up
 from tidemill.operators.ordered import running_totals
 
 MAX_CLASSES = 10_000
@@ -195,7 +196,7 @@ def comparison_table(long: DataFrame, model_col: str = "model", metric_col: str
                      value_col: str = "value", metrics: list[str] | None = None,
                      digits: int = 4) -> DataFrame:
     """Long ``(model, metric, value)`` -> one row per model, one column per metric."""
-    p = long.groupBy(model_col).pivot(metric_col, metrics).agg(F.first(F.round(value_col, digits)))
+    p = long.groupBy(model_col).pivot(metric_col, metrics).agg(F.first(round_half_up(value_col, digits)))
     return p
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import evaluate as EV
 from tidemill.operators.profile import histogram
 from tidemill.plans.catalog import query
-from tidemill.plans.common import MULTI_SQL, SCORED_SQL, multiclass_preds, r6, scored_docs
+from tidemill.plans.common import MULTI_SQL, SCORED_SQL, multiclass_preds, r6, rk, scored_docs
 from tidemill.sources.tables import read_table
 
 
@@ -129,7 +129,7 @@ SELECT count(*) AS n, round(avg(abs(label - prediction)), 4) AS mae, round(avg((
 FROM {_REG_SQL}""")
 def e9_regression_metrics(spark, sf):
     m = EV.regression_metrics(_reg_preds(spark, sf), n_features=3)
-    return m.select("n", F.round("mae", 4).alias("mae"), F.round("mse", 2).alias("mse"), F.round("rmse", 4).alias("rmse"),
+    return m.select("n", rk("mae", 4).alias("mae"), rk("mse", 2).alias("mse"), rk("rmse", 4).alias("rmse"),
                     r6("r2").alias("r2"), r6("adj_r2").alias("adj_r2"))
 
 
@@ -216,7 +216,7 @@ m AS (SELECT model, sum(tp) / sum(support) AS accuracy,
 SELECT model, round(macro_f1, 6) AS macro_f1, round(accuracy, 6) AS accuracy FROM m
 ORDER BY round(macro_f1, 8) DESC, accuracy DESC, model LIMIT 1""")
 def e13_model_choice(spark, sf):
-    m = EV.multiclass_metrics_by(_multi_rules(spark, sf), "model").withColumn("f1_r", F.round("macro_f1", 8))
+    m = EV.multiclass_metrics_by(_multi_rules(spark, sf), "model").withColumn("f1_r", rk("macro_f1", 8))
     best = EV.best_by(m, "model", "f1_r", "accuracy")
     return best.select("model", r6("macro_f1").alias("macro_f1"), r6("accuracy").alias("accuracy"))
 

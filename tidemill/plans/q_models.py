@@ -15,7 +15,7 @@ from tidemill.operators.bayes import fit_gaussian_nb, predict_gaussian_nb
 from tidemill.operators.knn import knn_classify
 from tidemill.operators.sampling import stratified_split
 from tidemill.plans.catalog import query
-from tidemill.plans.common import duck_h, emb, emb_sql, r6
+from tidemill.plans.common import duck_h, emb, emb_sql, r6, rk
 
 E8 = [f"e{i}" for i in range(1, 9)]
 
@@ -51,8 +51,8 @@ FROM {emb_sql(8)}""")
 def m1_least_squares(spark, sf):
     d = M.assembler(["e1"]).transform(emb(spark, sf, 8).withColumn("label", reg_target()))
     model = M.least_squares().fit(d)
-    return spark.range(1).select(F.round(F.lit(model.intercept), 6).alias("intercept"),
-                                 F.round(F.lit(float(model.coefficients[0])), 6).alias("slope"))
+    return spark.range(1).select(rk(F.lit(model.intercept), 6).alias("intercept"),
+                                 rk(F.lit(float(model.coefficients[0])), 6).alias("slope"))
 
 
 def _coef_rows(spark, model, cols):

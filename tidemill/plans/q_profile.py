@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import profile
 from tidemill.operators.evaluate import best_by
 from tidemill.plans.catalog import query
-from tidemill.plans.common import CUSTOMER_NULLS_SQL, DAILY_SQL, customer_with_nulls, daily_orders, emb, emb_sql, r6
+from tidemill.plans.common import CUSTOMER_NULLS_SQL, DAILY_SQL, customer_with_nulls, daily_orders, emb, emb_sql, r6, rk
 from tidemill.sources.tables import read_table
 
 LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -187,7 +187,7 @@ SELECT o_orderpriority, order_day, round(sum(total) OVER (PARTITION BY o_orderpr
 def a16_cumsum_series(spark, sf):
     d = daily_orders(spark, sf)
     c = profile.cumulative_sum(d, "total", "order_day", partition_cols=["o_orderpriority"])
-    return c.select("o_orderpriority", "order_day", F.round("cumsum", 4).alias("cumsum"))
+    return c.select("o_orderpriority", "order_day", rk("cumsum", 4).alias("cumsum"))
 
 
 @query("a16_cumsum_global", sql="""

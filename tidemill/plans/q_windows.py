@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import windows as W
 from tidemill.operators.signal import reshape_channels, window_features
 from tidemill.plans.catalog import query
-from tidemill.plans.common import DAILY_SQL, daily_orders, emb, emb_sql, r6
+from tidemill.plans.common import DAILY_SQL, daily_orders, emb, emb_sql, r6, rk
 from tidemill.sources.tables import read_table
 
 _WIN = "PARTITION BY o_orderpriority ORDER BY order_day"
@@ -18,7 +18,7 @@ SELECT o_orderpriority, order_day, round(lag(total, 1) OVER ({_WIN}), 4) AS prev
 def w1_lag(spark, sf):
     w = W.series_window("o_orderpriority", "order_day")
     return daily_orders(spark, sf).select("o_orderpriority", "order_day",
-                                          F.round(W.lag_col("total", w), 4).alias("prev_total"))
+                                          rk(W.lag_col("total", w), 4).alias("prev_total"))
 
 
 @query("w2_lead", sql=f"""
@@ -26,7 +26,7 @@ SELECT o_orderpriority, order_day, round(lead(total, 1) OVER ({_WIN}), 4) AS nex
 def w2_lead(spark, sf):
     w = W.series_window("o_orderpriority", "order_day")
     return daily_orders(spark, sf).select("o_orderpriority", "order_day",
-                                          F.round(W.lead_col("total", w), 4).alias("next_total"))
+                                          rk(W.lead_col("total", w), 4).alias("next_total"))
 
 
 @query("w3_pct_change", sql=f"""
@@ -49,8 +49,8 @@ FROM {DAILY_SQL}""")
 def w4_moving_average(spark, sf):
     w = W.series_window("o_orderpriority", "order_day")
     return daily_orders(spark, sf).select("o_orderpriority", "order_day",
-                                          F.round(W.rolling_lag_col("total", w, 5), 4).alias("ma_5"),
-                                          F.round(W.rolling_lag_col("total", w, 10), 4).alias("ma_10"))
+                                          rk(W.rolling_lag_col("total", w, 5), 4).alias("ma_5"),
+                                          rk(W.rolling_lag_col("total", w, 10), 4).alias("ma_10"))
 
 
 @query("w5_volatility", sql=f"""
@@ -58,7 +58,7 @@ SELECT o_orderpriority, order_day, round({_roll_sql('stddev_samp', 5)}, 4) AS vo
 def w5_volatility(spark, sf):
     w = W.series_window("o_orderpriority", "order_day")
     return daily_orders(spark, sf).select("o_orderpriority", "order_day",
-                                          F.round(W.rolling_lag_col("total", w, 5, "std"), 4).alias("volatility_5"))
+                                          rk(W.rolling_lag_col("total", w, 5, "std"), 4).alias("volatility_5"))
 
 
 @query("w6_top_k_per_group", sql="""
@@ -94,7 +94,7 @@ def w7_signal_windows(spark, sf):
     e = read_table(spark, sf, "embeddings")
     sig = e.select("vec_id", reshape_channels(F.col("embedding"), 1).alias("signal"))
     out = window_features(sig, "signal", 32, 8, id_cols=["vec_id"])
-    return out.select("vec_id", "window_index", F.transform("features", lambda v: F.round(v, 6)).alias("features"))
+    return out.select("vec_id", "window_index", F.transform("features", lambda v: rk(v, 6)).alias("features"))
 
 
 @query("w7_short_signal_bypass", sql=_signal_sql(8, 8, 8, 4, True))
@@ -102,7 +102,7 @@ def w7_short_signal_bypass(spark, sf):
     e = read_table(spark, sf, "embeddings")
     sig = e.select("vec_id", reshape_channels(F.col("embedding"), 8).alias("signal"))
     out = window_features(sig, "signal", 32, 8, id_cols=["vec_id"])
-    return out.select("vec_id", "window_index", F.transform("features", lambda v: F.round(v, 6)).alias("features"))
+    return out.select("vec_id", "window_index", F.transform("features", lambda v: rk(v, 6)).alias("features"))
 
 
 @query("w7_event_windows", sql="""

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.exprs import round_half_up
+
 
 def windowed_mav_rms(df: DataFrame, key: str, ts: str, value: str, size: str, step: str,
                      watermark: str | None = None) -> DataFrame:
@@ -21,7 +23,7 @@ def windowed_mav_rms(df: DataFrame, key: str, ts: str, value: str, size: str, st
     g = src.groupBy(key, F.window("_ts", size, step).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs("_v")).alias("mav"), F.sqrt(F.avg(F.col("_v") * F.col("_v"))).alias("rms"))
     return g.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("n").cast("bigint").alias("n"), F.round("mav", 6).alias("mav"), F.round("rms", 6).alias("rms"))
+                    F.col("n").cast("bigint").alias("n"), round_half_up("mav", 6).alias("mav"), round_half_up("rms", 6).alias("rms"))
 
 
 def stream_event_windows(spark, events_dir: str, schema, size: str = "1 day", step: str = "12 hours",
