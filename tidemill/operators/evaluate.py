@@ -74,13 +74,20 @@ def confusion_wide(df: DataFrame, label: str = "label", pred: str = "prediction"
 
 def per_class_stats(df: DataFrame, label: str = "label", pred: str = "prediction",
                     classes: list | None = None) -> DataFrame:
-    """Per class: precision, recall, f1, support (from the confusion counts)."""
-    cm = confusion_long(df, label, pred, classes)
-    true_n = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("count").alias("support"))
-    pred_n = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("count").alias("predicted"))
-    tp = cm.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"),
-                                                                   F.col("count").alias("tp"))
-    s = true_n.join(pred_n, "cls").join(tp, "cls")
+    """Per class: precision, recall, f1, support. One aggregate over the k^2 confusion
+    counts: each cell is credited to its true class (support, hits) and to its
+    predicted class (predicted); classes seen as label or prediction appear."""
+    counts = df.groupBy(F.col(label).alias("_y"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    hit = F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(F.lit(0))
+    credited = counts.select(F.explode(F.array(
+        F.struct(F.col("_y").alias("cls"), F.col("_n").alias("s"), F.lit(0).cast("bigint").alias("p"),
+                 hit.cast("bigint").alias("t")),
+        F.struct(F.col("_p").alias("cls"), F.lit(0).cast("bigint").alias("s"), F.col("_n").alias("p"),
+                 F.lit(0).cast("bigint").alias("t")))).alias("c")).select("c.*")
+    s = credited.groupBy("cls").agg(F.sum("s").alias("support"), F.sum("p").alias("predicted"),
+                                    F.sum("t").alias("tp"))
+    if classes is not None:
+        s = s.where(F.col("cls").isin(list(classes)))
     prec = _div0(F.col("tp"), F.col("predicted"))
     rec = _div0(F.col("tp"), F.col("support"))
     return s.select(
@@ -95,7 +102,7 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     """Rows ``(row, precision, recall, f1, support)`` for every class, then
     ``accuracy``, ``macro avg`` and ``weighted avg`` (the sklearn report layout;
     the accuracy row carries accuracy in all three metric columns)."""
-    pc = per_class_stats(df, label, pred, classes).cache()
+    pc = per_class_stats(df, label, pred, classes)
     cls_rows = pc.select(F.col("cls").cast("string").alias("row"), "precision", "recall", "f1", "support")
     tot = pc.agg(F.sum("support").alias("n"), F.sum(F.col("recall") * F.col("support")).alias("hits"),
                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
@@ -241,15 +248,16 @@ def binary_metrics_by(df: DataFrame, group_col: str, label: str = "label", pred:
 
 def multiclass_metrics_by(df: DataFrame, group_col: str, label: str = "label",
                           pred: str = "prediction") -> DataFrame:
-    """E13 input: accuracy and macro F1 per model in two small aggregates
-    (per-class counts per model are models x classes rows)."""
-    yl, pr = F.col(label), F.col(pred)
-    t = df.select(group_col, yl.alias("_y"), pr.alias("_p"))
-    classes = t.select(group_col, F.col("_y").alias("c")).union(t.select(group_col, F.col("_p").alias("c"))).distinct()
-    tp = t.where(F.col("_y") == F.col("_p")).groupBy(group_col, F.col("_y").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
-    sup = t.groupBy(group_col, F.col("_y").alias("c")).agg(F.count(F.lit(1)).alias("support"))
-    prd = t.groupBy(group_col, F.col("_p").alias("c")).agg(F.count(F.lit(1)).alias("predicted"))
-    pc = (classes.join(tp, [group_col, "c"], "left").join(sup, [group_col, "c"], "left")
-          .join(prd, [group_col, "c"], "left").fillna(0, ["tp", "support", "predicted"]))
+    """E13 input: accuracy and macro F1 per model from one aggregate over the
+    (model, label, prediction) counts (models x classes^2 rows)."""
+    counts = df.groupBy(group_col, F.col(label).alias("_y"), F.col(pred).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    hit = F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(F.lit(0)).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    credited = counts.select(group_col, F.explode(F.array(
+        F.struct(F.col("_y").alias("cls"), F.col("_n").alias("s"), zero.alias("p"), hit.alias("t")),
+        F.struct(F.col("_p").alias("cls"), zero.alias("s"), F.col("_n").alias("p"), zero.alias("t")))).alias("c"))
+    pc = credited.select(group_col, "c.*").groupBy(group_col, "cls").agg(
+        F.sum("s").alias("support"), F.sum("p").alias("predicted"), F.sum("t").alias("tp"))
     f1 = _div0(2 * F.col("tp"), F.col("predicted") + F.col("support"))
     return pc.groupBy(group_col).agg((F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg(f1).alias("macro_f1"))
