@@ -161,3 +161,23 @@ def test_knn_on_all_64_dimensions(spark):
         votes = pd.Series(ptr["label"].to_numpy()[order]).value_counts()
         exp = float(min(votes[votes == votes.max()].index))
         assert got.loc[got.vec_id == qid, "prediction"].iloc[0] == exp
+
+
+def test_blocked_global_series_equals_window(spark):
+    from pyspark.sql import Window
+
+    from tidemill.operators.blocked_series import blocked_series_features
+    from tidemill.operators.windows import with_series_features
+
+    o = read_table(spark, SF_MID, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    got = blocked_series_features(o, [], "o_orderdate", "o_totalprice", tie_cols=["o_orderkey"], block_rows=500)
+    exp = with_series_features(o, Window.orderBy("o_orderdate", "o_orderkey"), "o_totalprice")
+    cols = ["o_orderkey", "prev_o_totalprice", "next_o_totalprice", "o_totalprice_return", "ma_5", "volatility_5"]
+    a = {r[0]: r for r in got.select(*cols).collect()}
+    b = {r[0]: r for r in exp.select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None and y is None) or abs(x - y) < 1e-6, (k, a[k], b[k])
+    text = got._jdf.queryExecution().executedPlan().treeString()
+    assert "CartesianProduct" not in text

@@ -52,7 +52,8 @@ def _global_windows(text: str) -> list:
 @pytest.mark.parametrize("name", ["a16_cumsum_global", "c10_row_index", "e7_roc_auc", "e8_roc_curve", "m4_knn",
                                   "k3_silhouette_exact", "w1_lag", "w4_moving_average", "l6_chronological_split",
                                   "l5_stratified_split", "t3_first_seen_codes", "a14_box_stats", "e14_model_suite",
-                                  "l6_chronological_split_global", "w1_w5_event_series", "e5_confusion_matrix"])
+                                  "l6_chronological_split_global", "w1_w5_event_series", "e5_confusion_matrix",
+                                  "w1_w5_global_series"])
 def test_scale_paths_have_no_single_partition_window_on_rows(spark, name):
     text = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().treeString()
     global_windows = _global_windows(text)

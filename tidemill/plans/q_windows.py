@@ -164,3 +164,31 @@ def w1_w5_event_series(spark, sf):
     f = blocked_series_features(ev, ["user_id"], "ts", "value", tie_cols=["event_id"])
     return f.select("event_id", "user_id", "prev_value", "next_value", r6("value_return").alias("value_return"),
                     *[r6(c).alias(c) for c in ("ma_5", "ma_10", "volatility_5")])
+
+
+_GL = "ORDER BY o_orderdate, o_orderkey"
+
+
+def _gl_roll(fn, k):
+    frame = f"({_GL} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+    return f"CASE WHEN count(o_totalprice) OVER {frame} = {k} THEN {fn}(o_totalprice) OVER {frame} END"
+
+
+@query("w1_w5_global_series", sql=f"""
+SELECT o_orderkey, lag(o_totalprice) OVER ({_GL}) AS prev_o_totalprice,
+  lead(o_totalprice) OVER ({_GL}) AS next_o_totalprice,
+  round(CASE WHEN lag(o_totalprice) OVER ({_GL}) IS NULL THEN 0 WHEN lag(o_totalprice) OVER ({_GL}) = 0 THEN NULL
+        ELSE o_totalprice / lag(o_totalprice) OVER ({_GL}) - 1 END, 6) AS o_totalprice_return,
+  round({_gl_roll('avg', 5)}, 6) AS ma_5, round({_gl_roll('avg', 10)}, 6) AS ma_10,
+  round({_gl_roll('stddev_samp', 5)}, 6) AS volatility_5
+FROM orders""")
+def w1_w5_global_series(spark, sf):
+    """W1-W5 over one table-wide series (all orders in date order): no series key, yet
+    no single-partition window (halo blocks over exact global positions)."""
+    from tidemill.operators.blocked_series import blocked_series_features
+
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    f = blocked_series_features(o, [], "o_orderdate", "o_totalprice", tie_cols=["o_orderkey"])
+    return f.select("o_orderkey", "prev_o_totalprice", "next_o_totalprice",
+                    r6("o_totalprice_return").alias("o_totalprice_return"),
+                    *[r6(c).alias(c) for c in ("ma_5", "ma_10", "volatility_5")])
