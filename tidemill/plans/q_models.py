@@ -15,7 +15,7 @@ from tidemill.operators.bayes import fit_gaussian_nb, predict_gaussian_nb
 from tidemill.operators.knn import knn_classify
 from tidemill.operators.sampling import stratified_split
 from tidemill.plans.catalog import query
-from tidemill.plans.common import duck_h, emb, emb_sql, r6, rk
+from tidemill.plans.common import duck_h, emb, emb_sql, rk
 
 E8 = [f"e{i}" for i in range(1, 9)]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import windows as W
 from tidemill.operators.signal import reshape_channels, window_features
 from tidemill.plans.catalog import query
-from tidemill.plans.common import DAILY_SQL, daily_orders, emb, emb_sql, r6, rk
+from tidemill.plans.common import DAILY_SQL, daily_orders, r6, rk
 from tidemill.sources.tables import read_table
 
 _WIN = "PARTITION BY o_orderpriority ORDER BY order_day"
