@@ -157,19 +157,33 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1,
-              buckets: int = 64) -> DataFrame:
+              buckets: int = 64, drop_intermediate: bool = False) -> DataFrame:
     """One ``(threshold, fpr, tpr)`` point per distinct score (predict positive when
-    ``score >= threshold``), plus the origin with a null threshold. All points are
-    kept (no collinear-point dropping)."""
-    sc = score_counts(df, label, score, positive)
+    ``score >= threshold``), plus the origin with a null threshold.
+
+    ``drop_intermediate`` removes points collinear with both neighbours (a zero second
+    difference of false and true positive counts), as sklearn does. Neighbours are found
+    by an equi-join on the point's exact position (distributed running count), not by a
+    window over the whole curve."""
+    sc = score_counts(df, label, score, positive).withColumn("one", F.lit(1.0))
     tot = one_row(sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    cum = running_totals(sc, "score", ["pos", "neg"], descending=True, buckets=buckets)
-    curve = cum.select(F.col("score").alias("threshold"),
-                       F.try_divide(F.col("neg_cum"), F.lit(tot["N"])).alias("fpr"),
-                       F.try_divide(F.col("pos_cum"), F.lit(tot["P"])).alias("tpr"))
+    cum = running_totals(sc, "score", ["pos", "neg", "one"], descending=True, buckets=buckets)
+    pts = cum.select(F.col("score").alias("threshold"), F.col("pos_cum").alias("tps"), F.col("neg_cum").alias("fps"),
+                     F.col("one_cum").cast("bigint").alias("i"))
     origin = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
-                                             F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return origin.unionByName(curve)
+                                             F.lit(0.0).alias("tps"), F.lit(0.0).alias("fps"),
+                                             F.lit(0).cast("bigint").alias("i"))
+    allp = origin.unionByName(pts)
+    if drop_intermediate:
+        prev = allp.select((F.col("i") + 1).alias("i"), F.col("tps").alias("tp0"), F.col("fps").alias("fp0"))
+        nxt = allp.select((F.col("i") - 1).alias("i"), F.col("tps").alias("tp2"), F.col("fps").alias("fp2"))
+        j = allp.join(prev, "i", "left").join(nxt, "i", "left")
+        keep = (F.col("tp0").isNull() | F.col("tp2").isNull()
+                | ((F.col("tp2") - 2 * F.col("tps") + F.col("tp0")) != 0)
+                | ((F.col("fp2") - 2 * F.col("fps") + F.col("fp0")) != 0))
+        allp = j.where(keep).select("threshold", "tps", "fps", "i")
+    return allp.select("threshold", F.try_divide(F.col("fps"), F.lit(tot["N"])).alias("fpr"),
+                       F.try_divide(F.col("tps"), F.lit(tot["P"])).alias("tpr"))
 
 
 def regression_metrics(df: DataFrame, label: str = "label", pred: str = "prediction",

@@ -99,6 +99,14 @@ def oversample(df: DataFrame, key: str, label: str, minority, target_n: int, see
     return df.where(F.col(label) != F.lit(minority)).unionByName(resampled)
 
 
+def oversample_target(df: DataFrame, label: str, minority, target: str = "max_class") -> int:
+    """Q2: size to resample the minority class to: the largest other class
+    (``'max_class'``, default) or all other rows together (``'rest'``, the reference)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where(F.col(label) != F.lit(minority))
+    row = counts.agg(F.max("n").alias("mx"), F.sum("n").alias("rest")).first()
+    return int(row["mx"] if target == "max_class" else row["rest"])
+
+
 def shuffle_rows(df: DataFrame, key, seed: int = 42) -> DataFrame:
     """L7's shuffle: a seeded random order."""
     return df.orderBy(hash_hex(key, seed))

@@ -109,6 +109,22 @@ def e8_roc_curve(spark, sf):
     return c.select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
+@query("e8_roc_curve_dropped", sql=f"""
+WITH p AS {SCORED_SQL}, s AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos,
+  count(*) FILTER (WHERE label <> 1) AS neg FROM p GROUP BY score),
+c AS (SELECT NULL::DOUBLE AS score, 0::DOUBLE AS tps, 0::DOUBLE AS fps, 0 AS i
+      UNION ALL SELECT score, sum(pos) OVER (ORDER BY score DESC), sum(neg) OVER (ORDER BY score DESC),
+        row_number() OVER (ORDER BY score DESC) FROM s),
+d AS (SELECT *, lag(tps) OVER (ORDER BY i) AS tp0, lag(fps) OVER (ORDER BY i) AS fp0,
+        lead(tps) OVER (ORDER BY i) AS tp2, lead(fps) OVER (ORDER BY i) AS fp2 FROM c),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM s)
+SELECT score AS threshold, round(fps / N, 6) AS fpr, round(tps / P, 6) AS tpr FROM d, t
+WHERE tp0 IS NULL OR tp2 IS NULL OR tp2 - 2 * tps + tp0 <> 0 OR fp2 - 2 * fps + fp0 <> 0""")
+def e8_roc_curve_dropped(spark, sf):
+    c = EV.roc_curve(scored_docs(spark, sf), drop_intermediate=True)
+    return c.select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
+
+
 _REG_SQL = """(SELECT o_orderkey, o_totalprice AS label, coalesce(p, 0) AS prediction FROM orders LEFT JOIN (
   SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS p FROM lineitem GROUP BY l_orderkey)
   ON l_orderkey = o_orderkey)"""

@@ -37,6 +37,15 @@ def a2_shape(spark, sf):
         F.lit("lineitem").alias("table_name"), "n_rows", F.lit(len(li.columns)).cast("bigint").alias("n_columns"))
 
 
+@query("a2_head", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_quantity LIMIT 5""")
+def a2_head(spark, sf):
+    """A2: ``head(5)`` with an explicit total order (a distributed top-5)."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return li.orderBy("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity").limit(5)
+
+
 @query("a3_null_counts", sql=f"""
 SELECT feature, CAST(missing_count AS BIGINT) AS missing_count FROM (UNPIVOT (
   SELECT count(*) FILTER (WHERE c_custkey IS NULL) AS c_custkey, count(*) FILTER (WHERE c_name IS NULL) AS c_name,

@@ -88,7 +88,8 @@ def l6_chronological_split_global(spark, sf):
 @query("l7_oversample", sql=f"""
 WITH m AS (SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY {duck_u('c_custkey')}, c_custkey) - 1 AS pos
            FROM customer WHERE c_mktsegment = 'AUTOMOBILE'),
-n AS (SELECT max(cnt) AS target FROM (SELECT count(*) AS cnt FROM customer GROUP BY c_mktsegment)),
+n AS (SELECT max(cnt) AS target FROM (SELECT count(*) AS cnt FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'
+      GROUP BY c_mktsegment)),
 d AS (SELECT CAST('0x' || substr(md5(CAST(i AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % (SELECT count(*) FROM m) AS pos
       FROM range((SELECT target FROM n)) t(i))
 SELECT c_custkey, c_mktsegment, CAST(count(*) AS BIGINT) AS copies FROM (
@@ -96,8 +97,8 @@ SELECT c_custkey, c_mktsegment, CAST(count(*) AS BIGINT) AS copies FROM (
   UNION ALL SELECT m.c_custkey, m.c_mktsegment FROM d JOIN m USING (pos)) GROUP BY ALL""")
 def l7_oversample(spark, sf):
     c = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    target = c.groupBy("c_mktsegment").count().agg(F.max("count")).first()[0]
-    out = S.oversample(c, "c_custkey", "c_mktsegment", "AUTOMOBILE", int(target))
+    target = S.oversample_target(c, "c_mktsegment", "AUTOMOBILE", "max_class")
+    out = S.oversample(c, "c_custkey", "c_mktsegment", "AUTOMOBILE", target)
     return out.groupBy("c_custkey", "c_mktsegment").agg(F.count(F.lit(1)).cast("bigint").alias("copies"))
 
 
