@@ -239,6 +239,8 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
 
 
 def r2_rating(r2_col) -> "F.Column":
-    """Rating band of an R2 value (fixed bands of the reference report)."""
+    """Rating band of an R2 value."""
+    # Fixed values (must equal the reference report): R2 above 0.8 Excellent, above 0.6 Good,
+    # above 0.4 Moderate, otherwise Fair.
     r = F.col(r2_col) if isinstance(r2_col, str) else r2_col
     return (F.when(r > 0.8, "Excellent").when(r > 0.6, "Good").when(r > 0.4, "Moderate").otherwise("Fair"))
