@@ -124,15 +124,3 @@ def test_fourier_features_approximate_rbf_kernel(spark):
     k = np.exp(-0.5 * ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     assert np.max(np.abs(k_hat - k)) < 0.08
 
-
-def test_dropna_observation_counts_kept_rows(spark):
-    from pyspark.sql import Observation
-
-    from tidemill.operators.clean import drop_null_rows
-    from tidemill.plans.common import customer_with_nulls
-
-    obs = Observation("dropna")
-    d = customer_with_nulls(spark, SF_MID)
-    kept = drop_null_rows(d, observation=obs)
-    n = kept.count()
-    assert obs.get["rows_kept"] == n < d.count()

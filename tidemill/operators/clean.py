@@ -54,13 +54,11 @@ def impute_mode(df: DataFrame, cols, fallback: str = "Unknown") -> DataFrame:
     return _fill(df, {c: (v if v is not None else fallback) for c, v in m.items()})
 
 
-def drop_null_rows(df: DataFrame, subset=None, observation=None) -> DataFrame:
-    """``dropna()``. With a ``pyspark.sql.Observation`` the number of rows kept is
-    recorded while the result is computed (no extra job)."""
-    kept = df.na.drop("any", subset=subset)
-    if observation is None:
-        return kept
-    return kept.observe(observation, F.count(F.lit(1)).alias("rows_kept"))
+def drop_null_rows(df: DataFrame, subset=None) -> DataFrame:
+    """``dropna()``. (Counts of dropped rows come from an ordinary aggregate;
+    ``DataFrame.observe`` is avoided: once a session has an observation manager, fitted
+    MLlib models that keep a training summary fail task serialization in Spark 4.1.)"""
+    return df.na.drop("any", subset=subset)
 
 
 def drop_duplicate_rows(df: DataFrame, subset=None) -> DataFrame:
