@@ -51,14 +51,27 @@ def test_rank_within_equals_window(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
 
 
+def test_grouped_running_totals_with_a_hot_group(spark):
+    o = read_table(spark, SF_MID, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    o = o.withColumn("g", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey") % 7))
+    got = running_totals(o.withColumn("one", F.lit(1)), "o_totalprice", ["one"], tie_cols=["o_orderkey"],
+                         group_cols=["g"], target_rows=700).toPandas()
+    p = o.toPandas().sort_values(["g", "o_totalprice", "o_orderkey"])
+    p["exp"] = p.groupby("g").cumcount() + 1
+    m = got.merge(p[["o_orderkey", "exp"]], on="o_orderkey")
+    assert len(m) == len(p) and (m["one_cum"] == m["exp"]).all()
+
+
 def test_running_totals_equal_cumsum(spark):
     o = read_table(spark, SF_MID, "orders").select("o_orderkey", "o_totalprice", F.lit(1).alias("one"))
-    r = running_totals(o, "o_totalprice", ["one", "o_totalprice"], tie_cols=["o_orderkey"], buckets=16).toPandas()
+    r = running_totals(o, "o_totalprice", ["one", "o_totalprice"], tie_cols=["o_orderkey"],
+                       target_rows=1000).toPandas()
     p = o.toPandas().sort_values(["o_totalprice", "o_orderkey"])
     p["exp"] = p["one"].cumsum()
     m = r.merge(p[["o_orderkey", "exp"]], on="o_orderkey")
     assert (m["one_cum"] == m["exp"]).all()
-    rd = running_totals(o, "o_totalprice", ["one"], tie_cols=["o_orderkey"], descending=True, buckets=16).toPandas()
+    rd = running_totals(o, "o_totalprice", ["one"], tie_cols=["o_orderkey"], descending=True,
+                        target_rows=1000).toPandas()
     p2 = o.toPandas().sort_values(["o_totalprice", "o_orderkey"], ascending=False)
     p2["exp"] = p2["one"].cumsum()
     m2 = rd.merge(p2[["o_orderkey", "exp"]], on="o_orderkey")
@@ -107,7 +120,7 @@ def test_roc_auc_equals_rank_formula(spark):
     from tidemill.plans.common import scored_docs
 
     s = scored_docs(spark, SF_MID)
-    got = roc_auc(s, buckets=8).first()[0]
+    got = roc_auc(s, target_rows=50).first()[0]
     p = s.toPandas()
     ranks = p["score"].rank()
     pos = p["label"] == 1

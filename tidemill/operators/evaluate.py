@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import round_half_up
-from tidemill.operators.ordered import running_totals
+from tidemill.operators.ordered import TARGET_ROWS, running_totals
 
 MAX_CLASSES = 10_000
 
@@ -143,12 +143,12 @@ def score_counts(df: DataFrame, label: str, score: str, positive=1) -> DataFrame
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1,
-            buckets: int = 64) -> DataFrame:
+            target_rows: int = TARGET_ROWS) -> DataFrame:
     """Exact ROC-AUC (Mann-Whitney with ties counted half); null with one class.
 
     Works on per-score counts, then an exact distributed running total of negatives."""
     sc = score_counts(df, label, score, positive)
-    cum = running_totals(sc, "score", ["neg"], buckets=buckets)
+    cum = running_totals(sc, "score", ["neg"], target_rows=target_rows)
     below = F.col("neg_cum") - F.col("neg")
     agg = cum.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("u"),
                   F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -157,7 +157,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1,
-              buckets: int = 64, drop_intermediate: bool = False) -> DataFrame:
+              target_rows: int = TARGET_ROWS, drop_intermediate: bool = False) -> DataFrame:
     """One ``(threshold, fpr, tpr)`` point per distinct score (predict positive when
     ``score >= threshold``), plus the origin with a null threshold.
 
@@ -167,7 +167,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positiv
     window over the whole curve."""
     sc = score_counts(df, label, score, positive).withColumn("one", F.lit(1.0))
     tot = one_row(sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    cum = running_totals(sc, "score", ["pos", "neg", "one"], descending=True, buckets=buckets)
+    cum = running_totals(sc, "score", ["pos", "neg", "one"], descending=True, target_rows=target_rows)
     pts = cum.select(F.col("score").alias("threshold"), F.col("pos_cum").alias("tps"), F.col("neg_cum").alias("fps"),
                      F.col("one_cum").cast("bigint").alias("i"))
     origin = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),

@@ -1,62 +1,66 @@
-"""Exact running totals in one global order without a single-partition window.
-
-A window with no partition key sends every row to one task. Here the order axis is
-cut into range buckets at approximate quantiles (a few hundred numbers reach the
-driver); per-bucket totals form a table of at most ``buckets`` rows whose prefix is
-broadcast back; inside a bucket the running total is an ordinary partitioned window.
-The result is exact: quantiles only decide where the cuts fall, and equal order values
-always land in the same bucket.
+"""Exact running totals in a global (or per-group) order without a single-task window
+(A16, C10, E7, E8, T3, L7, and positions inside long series).
+
+A window with no partition key sends every row to one task, and a window partitioned
+by a hot key sends that key's rows to one task. Here rows are range-partitioned on the
+full ordering (group keys, order column, tie columns) into ``ceil(n / target_rows)``
+partitions: Spark's range partitioner places bounds on the composite key, so even a
+single key holding a third of the rows is spread over many partitions of about
+``target_rows`` rows each. Per-partition totals (one row per partition and group) give
+each partition's offset; inside a partition the running total is an ordinary window.
+Rows with identical ordering keys always share a partition, so the result is exact;
+``(order_col, tie_cols)`` should be unique within a group for a well-defined order.
+
+The partition number comes from ``spark_partition_id()`` right after the explicit range
+repartition. The range partitioner samples with a seed derived from the RDD id, so two
+evaluations of the same plan may draw different bounds: the partitioned rows are
+therefore written once with a reliable ``checkpoint()`` into the shared checkpoint folder,
+and the totals, the offsets and the final window (and any recomputation after an
+executor loss) all read that one copy.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_BUCKETS = 4096
 
+from tidemill.session import cut_lineage
 
-def _bucket_expr(order_col: str, cuts: list[float]):
-    if not cuts:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(arr, lambda b: b < F.col(order_col)))
+TARGET_ROWS = 1_000_000
+BROADCAST_OFFSETS_MAX = 200_000
 
 
-def _numeric_proxy(df: DataFrame, order_col: str):
-    """A double that orders like ``order_col`` (used only to place bucket cuts)."""
-    dt = df.schema[order_col].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(order_col)).cast("double")
-    return F.col(order_col).cast("double")
+def range_partitioned(df: DataFrame, ordering: list, target_rows: int = TARGET_ROWS) -> tuple[DataFrame, int]:
+    """Rows range-partitioned on ``ordering`` into about ``n / target_rows`` partitions,
+    with the partition number as ``_bkt``."""
+    n = df.count()
+    parts = max(1, math.ceil(n / max(1, target_rows)))
+    rp = df.repartitionByRange(parts, *ordering).withColumn("_bkt", F.spark_partition_id())
+    return cut_lineage(rp), parts
 
 
-def running_totals(df: DataFrame, order_col: str, value_cols: list[str], tie_cols: list[str] = (),
-                   descending: bool = False, buckets: int = 64, suffix: str = "_cum") -> DataFrame:
+def running_totals(df: DataFrame, order_col: str, value_cols: list[str], tie_cols=(), descending: bool = False,
+                   target_rows: int = TARGET_ROWS, suffix: str = "_cum", group_cols=()) -> DataFrame:
     """Adds ``<v>_cum`` = sum of ``v`` over all rows up to and including this one in the
-    order (``order_col``, then ``tie_cols``), ascending or descending. ``order_col``
-    may be numeric, a date or a timestamp."""
-    buckets = max(1, min(int(buckets), MAX_BUCKETS))
-    probs = [i / buckets for i in range(1, buckets)]
-    base = df.withColumn("_ordp", _numeric_proxy(df, order_col))
-    cuts = sorted(set(base.approxQuantile("_ordp", probs, 0.001))) if probs else []
-    b = _bucket_expr("_ordp", cuts)
-    if descending:
-        b = F.lit(len(cuts)) - b
-    tagged = base.withColumn("_bkt", b)
-    totals = tagged.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    # at most `buckets` rows: the prefix over buckets is tiny and broadcast back.
-    wb = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_o_{v}")
-                                      for v in value_cols])
-    ordering = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
-    ordering += [F.col(t).desc() if descending else F.col(t).asc() for t in tie_cols]
-    w = Window.partitionBy("_bkt").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-    joined = tagged.join(F.broadcast(offsets), "_bkt", "left")
+    order (``order_col``, then ``tie_cols``; ascending or descending), within each group
+    of ``group_cols`` when given (otherwise over the whole table)."""
+    groups = list(group_cols)
+    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    ordering = [F.col(g).asc() for g in groups] + [direction(order_col)] + [direction(t) for t in tie_cols]
+    rp, parts = range_partitioned(df, ordering, target_rows)
+    totals = rp.groupBy("_bkt", *groups).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    before = (Window.partitionBy(*groups) if groups else Window).orderBy("_bkt").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select("_bkt", *groups, *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
+                                               for v in value_cols])
+    if not groups and parts <= BROADCAST_OFFSETS_MAX:
+        offsets = F.broadcast(offsets)  # one row per partition
+    joined = rp.join(offsets, ["_bkt", *groups], "left")
+    w = Window.partitionBy("_bkt", *groups).orderBy(*ordering[len(groups):]).rowsBetween(
+        Window.unboundedPreceding, 0)
     return joined.select(
-        *[c for c in df.columns],
+        *[F.col(c) for c in df.columns],
         *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols],
     )

@@ -221,15 +221,17 @@ def modes(df: DataFrame, cols) -> dict:
 
 
 def cumulative_sum(df: DataFrame, value_col: str, order_col: str, partition_cols=(), tie_cols=(),
-                   out: str = "cumsum") -> DataFrame:
-    """Running total; partitioned by key when given, otherwise an exact global
-    running total without a single-partition window."""
-    if partition_cols:
+                   out: str = "cumsum", bounded_groups: bool = False) -> DataFrame:
+    """Running total, per group when ``partition_cols`` are given. Exact and
+    distributed even for a hot group (range-partitioned running totals); with
+    ``bounded_groups=True`` (groups known to be small, e.g. per-day aggregates) a
+    plain partitioned window is used instead."""
+    if partition_cols and bounded_groups:
         w = Window.partitionBy(*partition_cols).orderBy(order_col, *tie_cols).rowsBetween(
             Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value_col).over(w))
-    return running_totals(df, order_col, [value_col], tie_cols=list(tie_cols), suffix="_cum").withColumnRenamed(
-        f"{value_col}_cum", out)
+    return running_totals(df, order_col, [value_col], tie_cols=list(tie_cols), suffix="_cum",
+                          group_cols=list(partition_cols)).withColumnRenamed(f"{value_col}_cum", out)
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
