@@ -194,3 +194,19 @@ def test_blocked_global_series_equals_window(spark):
             assert (x is None and y is None) or abs(x - y) < 1e-6, (k, a[k], b[k])
     text = got._jdf.queryExecution().executedPlan().treeString()
     assert "CartesianProduct" not in text
+
+
+def test_large_n_sample_paths_equal_top_n(spark):
+    from tidemill.functions.hashing import hash_hex
+    from tidemill.operators import clean, sampling
+
+    c = read_table(spark, SF_MID, "customer").select("c_custkey", "c_acctbal")
+    exp = {r[0] for r in c.orderBy(hash_hex("c_custkey"), "c_custkey").limit(300).collect()}
+    old = sampling.TOP_N_MAX, clean.BROADCAST_KEYS_MAX
+    try:
+        sampling.TOP_N_MAX, clean.BROADCAST_KEYS_MAX = 10, 10
+        got = {r[0] for r in sampling.sample_n(c, "c_custkey", 300).collect()}
+        nulls = {r[0] for r in clean.inject_nulls_n(c, "c_acctbal", "c_custkey", 300).where("c_acctbal IS NULL").collect()}
+    finally:
+        sampling.TOP_N_MAX, clean.BROADCAST_KEYS_MAX = old
+    assert got == exp and nulls == exp

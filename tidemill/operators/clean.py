@@ -13,7 +13,7 @@ from tidemill.functions.exprs import coerce_double, null_sentinels
 from tidemill.functions.hashing import hash_hex, hash_uniform
 from tidemill.operators.quantiles import quantiles
 
-BROADCAST_KEYS_MAX = 200_000
+BROADCAST_KEYS_MAX = 100_000
 
 
 def replace_sentinels(df: DataFrame, cols, tokens=("_", "")) -> DataFrame:
@@ -127,12 +127,17 @@ def inject_nulls_fraction(df: DataFrame, col: str, key: str, fraction: float, se
 
 def inject_nulls_n(df: DataFrame, col: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """L9 (exact form): null in the ``n`` rows with the smallest ``md5(key|seed)``.
-    The n keys come from a distributed top-n; they are broadcast only below a
-    fixed bound, else joined by shuffle."""
-    picked = (df.select(key, hash_hex(key, seed).alias("_h")).orderBy("_h", key).limit(n)
-              .select(key, F.lit(True).alias("_hit")))
-    side = F.broadcast(picked) if n <= BROADCAST_KEYS_MAX else picked
-    joined = df.join(side, key, "left")
+    Small n: the n keys come from a distributed top-n and are broadcast (bounded by
+    ``BROADCAST_KEYS_MAX``). Large n: exact hash ranks, no key set moves at all."""
+    from tidemill.operators.sampling import rank_within
+
+    if n <= BROADCAST_KEYS_MAX:
+        picked = (df.select(key, hash_hex(key, seed).alias("_h")).orderBy("_h", key).limit(n)
+                  .select(key, F.lit(True).alias("_hit")))
+        joined = df.join(F.broadcast(picked), key, "left")
+    else:
+        r = rank_within(df.withColumn("_all", F.lit(0)), "_all", key, seed)
+        joined = r.withColumn("_hit", F.col("_rank") <= n)
     return joined.select(*[F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(c)).alias(c) if c == col
                            else F.col(c) for c in df.columns])
 

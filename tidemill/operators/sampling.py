@@ -29,9 +29,17 @@ def top_n(df: DataFrame, n: int, keys: list, ascending: list | None = None) -> D
     return sort_rows(df, keys, ascending).limit(n)
 
 
-def sample_n(df: DataFrame, key, n: int, seed: int = 42) -> DataFrame:
-    """L3: exactly ``n`` rows without replacement: the ``n`` smallest seeded hashes."""
-    return df.orderBy(hash_hex(key, seed), *([key] if isinstance(key, str) else [])).limit(n)
+TOP_N_MAX = 100_000
+
+
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """L3: exactly ``n`` rows without replacement: the ``n`` smallest seeded hashes.
+    Small n: a distributed top-n. Large n: exact hash ranks (``rank_within`` over one
+    group), since a top-n merges n rows per partition in one task."""
+    if n <= TOP_N_MAX:
+        return df.orderBy(hash_hex(key, seed), key).limit(n)
+    r = rank_within(df.withColumn("_all", F.lit(0)), "_all", key, seed)
+    return r.where(F.col("_rank") <= n).drop("_rank", "_group_n", "_all")
 
 
 def sample_fraction(df: DataFrame, key, fraction: float, seed: int = 42) -> DataFrame:
@@ -45,16 +53,20 @@ def random_split(df: DataFrame, key, test_frac: float = 0.2, seed: int = 42,
     return df.withColumn(split_col, F.when(hash_uniform(key, seed) < test_frac, "test").otherwise("train"))
 
 
-def rank_within(df: DataFrame, group_cols, key: str, seed: int = 42, buckets: int = 1024,
-                out: str = "_rank") -> DataFrame:
+def rank_within(df: DataFrame, group_cols, key: str, seed: int = 42, buckets: int | None = None,
+                out: str = "_rank", target_rows: int = 1_000_000) -> DataFrame:
     """Exact 1-based rank of each row inside its group in seeded hash order
     (``md5(key|seed)``, then ``key``), without a window over a whole group.
 
-    Rows are cut into ``buckets`` fixed hash ranges (the first 32 bits of the md5,
-    so bucket order agrees with the md5 string order); per (group, bucket) counts
-    give each bucket's offset (a table of groups x buckets rows); the rank inside a
-    bucket is a window over about n_group / buckets rows."""
+    Rows are cut into fixed hash ranges (the first 32 bits of the md5, so bucket order
+    agrees with the md5 string order); per (group, bucket) counts give each bucket's
+    offset (a table of groups x buckets rows); the rank inside a bucket is a window over
+    about n_group / buckets rows. Unless given, the bucket count grows with the largest
+    group so that a bucket holds about ``target_rows`` rows at most (1024 at least)."""
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    if buckets is None:
+        largest = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        buckets = int(min(1 << 30, max(1024, 2 * -(-largest // target_rows))))
     b = F.least(F.floor(hash_uniform(key, seed) * buckets).cast("int"), F.lit(buckets - 1))
     tagged = df.withColumn("_b", b).withColumn("_h", hash_hex(key, seed))
     counts = tagged.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_nb"))
