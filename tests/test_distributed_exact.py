@@ -210,3 +210,28 @@ def test_large_n_sample_paths_equal_top_n(spark):
     finally:
         sampling.TOP_N_MAX, clean.BROADCAST_KEYS_MAX = old
     assert got == exp and nulls == exp
+
+
+def test_blocked_fill_and_chronological_split_equal_plain_windows(spark):
+    from pyspark.sql import Window
+
+    from tidemill.operators.blocked_series import blocked_fill
+    from tidemill.operators.windows import chronological_split, ffill_bfill_col
+
+    ev = read_table(spark, SF_MID, "events").select("event_id", "user_id", "ts", "value")
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    # long null runs: most values of the hot user missing
+    ev = ev.withColumn("value", F.when((F.col("user_id") == 0) & (F.col("event_id") % 97 != 0), F.lit(None))
+                       .otherwise(F.col("value")))
+    got = blocked_fill(ev, ["user_id"], "ts", "value", tie_cols=["event_id"], block_rows=40)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    exp = ev.withColumn("value_filled", ffill_bfill_col("value", w))
+    a = {r[0]: r[1] for r in got.select("event_id", "value_filled").collect()}
+    b = {r[0]: r[1] for r in exp.select("event_id", "value_filled").collect()}
+    assert a == b
+    split = chronological_split(ev, "user_id", ["ts", "event_id"], 0.8, block_rows=40)
+    n = ev.groupBy("user_id").count()
+    rn = ev.withColumn("_r", F.row_number().over(w)).join(n, "user_id")
+    exp_split = rn.withColumn("split", F.when(F.col("_r") <= F.floor(F.col("count") * 0.8), "train").otherwise("test"))
+    assert sorted(map(tuple, split.select("event_id", "split").collect())) == \
+        sorted(map(tuple, exp_split.select("event_id", "split").collect()))

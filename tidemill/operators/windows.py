@@ -95,15 +95,20 @@ def with_series_features(df: DataFrame, w: WindowSpec, value_col: str, ma=(5, 10
 
 
 def chronological_split(df: DataFrame, series_cols, order_col: str, train_frac: float = 0.8,
-                        split_col: str = "split") -> DataFrame:
-    """First ``int(frac * n)`` rows of each series (in order) are ``train``."""
+                        split_col: str = "split", tie_cols=(), block_rows: int = 1_000_000) -> DataFrame:
+    """First ``int(frac * n)`` rows of each series (in order) are ``train``.
+    Positions inside each series are exact and bounded per task even for a hot series
+    (``blocked_series.series_positions``)."""
+    from tidemill.operators.blocked_series import series_positions
+
     keys = _keys(series_cols)
-    w = series_window(keys, order_col)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    rn = F.row_number().over(w)
-    return df.withColumn(
-        split_col, F.when(rn <= F.floor(n * F.lit(train_frac)), F.lit("train")).otherwise(F.lit("test"))
-    )
+    order = _keys(order_col)
+    pos = series_positions(df, keys, order[0], list(order[1:]) + list(tie_cols),
+                           target_rows=block_rows, small_max=block_rows)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    j = pos.join(sizes, keys)
+    return j.withColumn(split_col, F.when(F.col("_pos") < F.floor(F.col("_n") * F.lit(train_frac)), F.lit("train"))
+                        .otherwise(F.lit("test"))).drop("_pos", "_n")
 
 
 def chronological_split_global(df: DataFrame, order_col: str, tie_cols=(), train_frac: float = 0.8,
