@@ -46,3 +46,17 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert [f.name for f in df.schema.fields] == ["metric", "value"]
     assert {r["metric"] for r in rows} == {"n", "mae", "mse", "rmse", "r2", "adj_r2"}
+
+
+TIME_QUERIES = ["w7_event_windows", "f2_date_parts", "f3_date_parse", "c6_ffill_bfill", "w1_w5_event_series",
+                "w1_w5_global_series", "l6_chronological_split_global", "flow_forecast_features"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_matches_duckdb(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

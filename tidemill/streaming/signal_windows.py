@@ -10,20 +10,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.exprs import round_half_up
 
 
 def windowed_mav_rms(df: DataFrame, key: str, ts: str, value: str, size: str, step: str,
                      watermark: str | None = None) -> DataFrame:
-    t = F.col(ts).cast("timestamp")
+    """Sliding windows per key with count, mean absolute value and root mean square.
+
+    Batch: windows are cut on the event time as given (``timestamp_ntz`` stays
+    wall-clock, independent of the session time zone). Streaming (``watermark`` set):
+    the event time is cast to ``timestamp`` because ``withWatermark`` refuses
+    ``timestamp_ntz``; window starts are returned as ``timestamp_ntz`` in both cases."""
+    is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    t = F.col(ts).cast("timestamp") if (watermark and is_ntz) else F.col(ts)
     src = df.select(key, t.alias("_ts"), F.col(value).cast("double").alias("_v"))
     if watermark:
         src = src.withWatermark("_ts", watermark)
     g = src.groupBy(key, F.window("_ts", size, step).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs("_v")).alias("mav"), F.sqrt(F.avg(F.col("_v") * F.col("_v"))).alias("rms"))
     return g.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("n").cast("bigint").alias("n"), round_half_up("mav", 6).alias("mav"), round_half_up("rms", 6).alias("rms"))
+                    F.col("n").cast("bigint").alias("n"), round_half_up("mav", 6).alias("mav"),
+                    round_half_up("rms", 6).alias("rms"))
 
 
 def stream_event_windows(spark, events_dir: str, schema, size: str = "1 day", step: str = "12 hours",
