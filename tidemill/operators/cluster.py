@@ -58,6 +58,16 @@ def wcss(df: DataFrame, cols, centroids) -> DataFrame:
     return assign(df, cols, centroids).agg(F.sum("_sqdist").alias("wcss"))
 
 
+def wcss_by_prefix(df: DataFrame, cols, seeds, ks) -> DataFrame:
+    """K2 for many K in one scan: with centroids ``seeds[:k]`` for every k in ``ks``, the
+    squared distances to all seeds are computed once per row and each k takes the
+    minimum over its prefix; one aggregate returns ``(k, wcss)`` rows."""
+    d = F.array(*[sq_dist_to(cols, c) for c in seeds])
+    per_k = [F.sum(F.array_min(F.slice(d, 1, k))).alias(f"k{k}") for k in ks]
+    wide = df.agg(*per_k)
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("wcss")) for k in ks])))
+
+
 def fit_kmeans(df: DataFrame, cols, k: int, n_init: int = 10, max_iter: int = 300, seed: int = 42,
                init_mode: str = "k-means||", tol: float = 1e-4):
     """K1: best of ``n_init`` MLlib fits by training cost (MLlib has no ``n_init``)."""

@@ -26,19 +26,25 @@ def _lit_map(values: dict, key_col: str):
 
 
 def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """A1: one row per column: count, mean, std (n-1), min, 25 %, 50 %, 75 %, max."""
+    """A1: one row per column: count, mean, std (n-1), min, 25 %, 50 %, 75 %, max.
+    One pass gives the moments and counts (d rows, model-sized); the quartiles reuse the
+    counts, so the exact path costs one more job for columns that fit a task."""
+    from tidemill.operators.quantiles import grouped_quantiles
+
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     base = long.groupBy("feature").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    return base.select(
-        "feature", F.col("count").cast("bigint").alias("count"), "mean", "std", "min",
-        _lit_map({c: q[c][0] for c in cols}, "feature").cast("double").alias("p25"),
-        _lit_map({c: q[c][1] for c in cols}, "feature").cast("double").alias("p50"),
-        _lit_map({c: q[c][2] for c in cols}, "feature").cast("double").alias("p75"),
-        "max")
+        F.min("v").alias("min"), F.max("v").alias("max")).collect()
+    if approx:
+        q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=True)
+    else:
+        q = grouped_quantiles(long, [0.25, 0.5, 0.75], counts={r["feature"]: r["count"] for r in base})
+    rows = [(r["feature"], int(r["count"]), r["mean"], r["std"], r["min"],
+             *(q.get(r["feature"]) or [None, None, None]), r["max"]) for r in base]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, count bigint, mean double, std double, min double, p25 double, p50 double, "
+              "p75 double, max double")
 
 
 def null_counts(df: DataFrame, cols=None) -> DataFrame:

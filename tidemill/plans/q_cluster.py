@@ -44,13 +44,9 @@ def k2_wcss_by_k(spark, sf):
 
 
 def _wcss_curve(spark, sf):
-    d = emb(spark, sf, 8).cache()
+    d = emb(spark, sf, 8)
     seeds = K.seed_centroids(d, "vec_id", E8, 10)
-    parts = None
-    for k in range(2, 11):
-        w = K.wcss(d, E8, seeds[:k]).select(F.lit(k).alias("k"), "wcss")
-        parts = w if parts is None else parts.unionByName(w)
-    return parts
+    return K.wcss_by_prefix(d, E8, seeds, range(2, 11))
 
 
 @query("k3_silhouette_exact", sql=f"""
