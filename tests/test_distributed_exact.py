@@ -235,3 +235,11 @@ def test_blocked_fill_and_chronological_split_equal_plain_windows(spark):
     exp_split = rn.withColumn("split", F.when(F.col("_r") <= F.floor(F.col("count") * 0.8), "train").otherwise("test"))
     assert sorted(map(tuple, split.select("event_id", "split").collect())) == \
         sorted(map(tuple, exp_split.select("event_id", "split").collect()))
+
+
+def test_approximate_quantiles_are_close(spark):
+    li = read_table(spark, SF_MID, "lineitem")
+    probs = [0.1, 0.5, 0.9]
+    approx = quantiles(li, ["l_extendedprice"], probs, approx=True)["l_extendedprice"]
+    exact = np.quantile(li.select("l_extendedprice").toPandas()["l_extendedprice"], probs)
+    assert np.allclose(approx, exact, rtol=2e-3)

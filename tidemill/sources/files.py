@@ -128,12 +128,3 @@ def report_to_json(df: DataFrame, key_col: str) -> DataFrame:
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
-
-
-def first_matching(columns: list[str], needle: str) -> str | None:
-    """C9 helper: first column whose lower-cased name contains ``needle``."""
-    for c in columns:
-        if needle in c.lower():
-            return c
-    return None
-
