@@ -7,13 +7,15 @@ aggregate expression per column, never as a Python loop of jobs over columns.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.ordered import running_totals
 from tidemill.operators.quantiles import quantiles
 
-CORR_EXPR_LIMIT = 50
+CORR_EXPR_LIMIT = 10
 
 
 def _lit_map(values: dict, key_col: str):
@@ -101,7 +103,8 @@ def _safe_corr(a: str, b: str):
 def corr_long(df: DataFrame, cols, upper_only: bool = False, diagonal: bool = True) -> DataFrame:
     """The correlation matrix as ``(feature_1, feature_2, corr)`` rows.
     Up to ``CORR_EXPR_LIMIT`` columns: one aggregate with one expression per pair.
-    Beyond: MLlib ``Correlation.corr`` on a vector column (d x d result)."""
+    Beyond: MLlib ``Correlation.corr`` on a vector column (one tree-aggregated Gram
+    matrix; only the d x d result reaches the driver)."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
              if (i < j if upper_only else (diagonal or i != j))]
@@ -127,7 +130,8 @@ def corr_long(df: DataFrame, cols, upper_only: bool = False, diagonal: bool = Tr
     vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df).select("_v")
     m = Correlation.corr(vec, "_v").first()[0].toArray()
     idx = {c: i for i, c in enumerate(cols)}
-    rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
+    # a constant column has no correlation: NaN from MLlib becomes null, as on the other path
+    rows = [(a, b, None if math.isnan(m[idx[a], idx[b]]) else float(m[idx[a], idx[b]])) for a, b in pairs]
     return df.sparkSession.createDataFrame(rows, "feature_1 string, feature_2 string, corr double")
 
 
