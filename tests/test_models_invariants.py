@@ -45,7 +45,7 @@ def test_nonlinear_models_learn_ring(ring, make):
 def test_fourier_svm_beats_linear_on_ring(ring):
     tr, te = ring
     fm = M.FourierMap(d=8, n_components=256, gamma=M.gamma_scale(tr, E8), seed=42)
-    p = M.rbf_svc(fm, 1.0, tr.count()).fit(fm.transform(tr)).transform(fm.transform(te))
+    p = M.rbf_svc(1.0, tr.count()).fit(fm.transform(tr)).transform(fm.transform(te))
     assert _acc(p) > _majority(te) + 0.1
 
 

@@ -143,10 +143,10 @@ def gamma_scale(df: DataFrame, feature_cols: list[str]) -> float:
     return 1.0 / (len(feature_cols) * var) if var else 1.0
 
 
-def rbf_svc(fmap: FourierMap, c: float, n: int, features: str = "rff", label: str = "label",
-            n_classes: int = 2, max_iter: int = 100):
-    """Kernel SVM approximated by a linear SVM on random Fourier features;
-    multi-class one-vs-rest (the reference is one-vs-one)."""
+def rbf_svc(c: float, n: int, features: str = "rff", label: str = "label", n_classes: int = 2,
+            max_iter: int = 100):
+    """Kernel SVM approximated by a linear SVM on random Fourier features (apply a
+    ``FourierMap`` first); multi-class one-vs-rest (the reference is one-vs-one)."""
     svc = LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (c * n), maxIter=max_iter)
     if n_classes > 2:
         return OneVsRest(classifier=svc, featuresCol=features, labelCol=label)

@@ -163,7 +163,7 @@ def _rff(spark, sf, label):
 @query("m11_rbf_svc")
 def m11_rbf_svc(spark, sf):
     tr, te, n = _rff(spark, sf, "ring")
-    model = M.rbf_svc(None, 1.0, n).fit(tr)
+    model = M.rbf_svc(1.0, n).fit(tr)
     return model.transform(te).select("vec_id", "label", "prediction")
 
 
