@@ -89,7 +89,7 @@ v AS (SELECT qid, y, count(*) AS votes FROM nn GROUP BY qid, y)
 SELECT qid AS vec_id, CAST(y AS DOUBLE) AS prediction, votes / 5.0 AS vote_share FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, y) AS r FROM v) WHERE r = 1""")
 def m4_knn(spark, sf):
-    d = split_emb(spark, sf)
+    d = split_emb(spark, sf).cache()  # read by the block builders and their counts
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     return knn_classify(tr, te, E8, "y3", "vec_id", "vec_id", k=5)
 
