@@ -63,3 +63,25 @@ def test_rows_only_queries_return_rows(spark):
                  "flow_forecast_metrics", "k3_silhouette_squared"]:
         assert name not in sql
         assert E.queries()[name](spark, SF_MID).count() > 0
+
+
+def test_flow_outputs_are_well_formed(spark):
+    q = E.queries()
+    suite = q["e14_model_suite"](spark, SF_MID).collect()
+    assert {(r["model"], r["group"], r["split"]) for r in suite} == {
+        (m, g, s) for m in ("logistic", "random_forest", "gradient_boosting")
+        for g in ("first_half", "second_half", "all") for s in ("train", "val", "test")}
+    assert all(0 <= r[c] <= 1 for r in suite for c in ("accuracy", "precision", "recall", "f1"))
+    report = q["e15_validation_choice"](spark, SF_MID).collect()
+    assert [r["row"] for r in report][-3:] == ["accuracy", "macro avg", "weighted avg"]
+    ks = q["k8_compare_k"](spark, SF_MID).collect()
+    assert [r["k"] for r in sorted(ks)] == [2, 3, 4, 5, 6, 8]
+    assert all(-1 <= r["silhouette"] <= 1 and r["inertia"] > 0 for r in ks)
+    inertia = {r["k"]: r["inertia"] for r in ks}
+    assert inertia[8] < inertia[2]
+    conv = q["k9_init_convergence"](spark, SF_MID).collect()
+    assert {r["init_mode"] for r in conv} == {"k-means||", "random"}
+    imp = q["m14_feature_importance"](spark, SF_MID).collect()
+    assert abs(sum(r["importance"] for r in imp) - 1) < 1e-9 or len(imp) == 10
+    scores = q["m16_score_signal"](spark, SF_MID).agg(F.min("score"), F.max("score")).first()
+    assert 0 <= scores[0] <= scores[1] <= 1
