@@ -37,9 +37,6 @@ def range_partitioned(df: DataFrame, ordering: list, target_rows: int = TARGET_R
     with the partition number as ``_bkt``."""
     n = df.count()
     parts = max(1, math.ceil(n / max(1, target_rows)))
-    if parts == 1:
-        # everything fits one bounded partition: a constant bucket, nothing to materialize
-        return df.withColumn("_bkt", F.lit(0)), 1
     rp = df.repartitionByRange(parts, *ordering).withColumn("_bkt", F.spark_partition_id())
     return cut_lineage(rp), parts
 
