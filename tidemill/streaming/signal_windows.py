@@ -22,7 +22,9 @@ def windowed_mav_rms(df: DataFrame, key: str, ts: str, value: str, size: str, st
     Batch: windows are cut on the event time as given (``timestamp_ntz`` stays
     wall-clock, independent of the session time zone). Streaming (``watermark`` set):
     the event time is cast to ``timestamp`` because ``withWatermark`` refuses
-    ``timestamp_ntz``; window starts are returned as ``timestamp_ntz`` in both cases."""
+    ``timestamp_ntz``; that cast reads the wall clock in the session time zone, so run
+    streams with a UTC session time zone to get the same windows as the batch form.
+    Window starts are returned as ``timestamp_ntz`` in both cases."""
     is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
     t = F.col(ts).cast("timestamp") if (watermark and is_ntz) else F.col(ts)
     src = df.select(key, t.alias("_ts"), F.col(value).cast("double").alias("_v"))
