@@ -21,18 +21,22 @@ def windowed_mav_rms(df: DataFrame, key: str, ts: str, value: str, size: str, st
 
     Batch: windows are cut on the event time as given (``timestamp_ntz`` stays
     wall-clock, independent of the session time zone). Streaming (``watermark`` set):
-    the event time is cast to ``timestamp`` because ``withWatermark`` refuses
-    ``timestamp_ntz``; that cast reads the wall clock in the session time zone, so run
-    streams with a UTC session time zone to get the same windows as the batch form.
+    ``withWatermark`` refuses ``timestamp_ntz``, so the wall clock is carried as the
+    instant it would be in UTC (``from_utc_timestamp`` of the session-zone cast) and
+    window starts are shifted back the same way; windows then match the batch form in
+    any session time zone (apart from the hours of a daylight-saving change).
     Window starts are returned as ``timestamp_ntz`` in both cases."""
     is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
-    t = F.col(ts).cast("timestamp") if (watermark and is_ntz) else F.col(ts)
+    shift = bool(watermark and is_ntz)
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone") if shift else None
+    t = F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz) if shift else F.col(ts)
     src = df.select(key, t.alias("_ts"), F.col(value).cast("double").alias("_v"))
     if watermark:
         src = src.withWatermark("_ts", watermark)
     g = src.groupBy(key, F.window("_ts", size, step).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs("_v")).alias("mav"), F.sqrt(F.avg(F.col("_v") * F.col("_v"))).alias("rms"))
-    return g.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+    start = F.to_utc_timestamp(F.col("w.start"), tz) if shift else F.col("w.start")
+    return g.select(key, start.cast("timestamp_ntz").alias("window_start"),
                     F.col("n").cast("bigint").alias("n"), round_half_up("mav", 6).alias("mav"),
                     round_half_up("rms", 6).alias("rms"))
 
