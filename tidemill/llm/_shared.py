@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemill.session import ensure_checkpoint_dir
 
@@ -62,3 +66,44 @@ def word_count(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Characters that a Python worker handles at a time.
+BATCH_CHARS = 3_000_000
+
+
+def map_texts(df: DataFrame, keep: dict[str, Column], text: Column, new: str,
+              work: Callable[[], Callable[[list[str]], tuple[list | None, list[list]]]], chars: int = BATCH_CHARS) -> DataFrame:
+    """Run Python over texts in Arrow batches; the columns ``keep`` pass through untouched.
+
+    ``work()`` is called once per task and gives a function of a list of texts that returns
+    ``(rows, columns)``: the values of the columns ``new`` (a DDL string), and for each output row
+    the index of its text (``None``: one row per text). Runs of texts hold about ``chars``
+    characters; a longer text is a run of its own."""
+    names = [f"c{i}" for i in range(len(keep))]
+    plain = df.select(*[c.alias(n) for c, n in zip(keep.values(), names)], F.coalesce(text.cast("string"), F.lit("")).alias("t"))
+    added = StructType.fromDDL(new)
+    types = [f.type for f in to_arrow_schema(added)]
+    out = StructType([f for f in plain.schema if f.name != "t"] + [type(f)(f"n{i}", f.dataType, True) for i, f in enumerate(added)])
+    out_names = [f.name for f in out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = work()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("t")).to_pylist()
+            kept = pa.Table.from_batches([batch]).select(names)
+            lo = 0
+            while lo < len(texts):
+                hi, size = lo + 1, len(texts[lo])
+                while hi < len(texts) and size + len(texts[hi]) <= chars:
+                    size += len(texts[hi])
+                    hi += 1
+                rows, columns = fn(texts[lo:hi])
+                part = kept.slice(lo, hi - lo)
+                if rows is not None:
+                    part = part.take(pa.array(rows, pa.int64()))
+                arrays = [c.combine_chunks() for c in part.columns] + [pa.array(c, t) for c, t in zip(columns, types)]
+                yield from pa.table(arrays, names=out_names).combine_chunks().to_batches()
+                lo = hi
+
+    return plain.mapInArrow(run, out).toDF(*keep, *added.names)

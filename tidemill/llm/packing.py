@@ -15,16 +15,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._shared import materialize, text_or_empty
+from tidemill.llm._shared import map_texts, materialize
+from tidemill.llm._text import KeyTable, run_hashes
 
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 1024
 END_ID = 2
 #: Pieces that one task packs together.
 GROUP_PIECES = 20_000
-#: Characters tokenised at a time, and word encodings that a worker remembers.
-BATCH_CHARS = 8_000_000
-CACHE_WORDS = 400_000
+#: Word encodings that a worker remembers, and characters that it cuts into words at a time.
+PART_CHARS = 4_000_000
+CACHE_WORDS = 2_000_000
 
 
 class WordEncoder:
@@ -43,7 +44,8 @@ class WordEncoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         pre = self.tok.pre_tokenizer
         self.visible = str.maketrans({chr(c): pre.pre_tokenize_str(chr(c))[0][0] for c in (*range(33, 127), *range(0xC0, 0x100))})
-        self.cache: dict[int, np.ndarray] = {}
+        self.known = KeyTable(CACHE_WORDS)
+        self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
         kind = np.full(256, 4, np.uint8)  # 0 space, 1 letter, 2 digit, 3 other, 4 not handled here
         kind[[9, 10, 13, 32]] = 0
         kind[33:127] = 3
@@ -67,6 +69,11 @@ class WordEncoder:
         return raw
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if any(len(t) > PART_CHARS for t in texts):
+            return [np.concatenate(self._encode(list(_parts(t))) or [np.empty(0, np.uint32)]) for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         raws = [self._plain(t) for t in texts]
         if any(r is not None for r in raws):
             bad = self.kind[np.frombuffer(b" ".join(r for r in raws if r is not None), np.uint8)] == 4
@@ -101,47 +108,39 @@ class WordEncoder:
         stop = np.append(begin[1:], len(cp))
         keep = kind[begin] != 0
         begin, stop = begin[keep], stop[keep]
-        # polynomial prefix sums modulo 2**64 give every word a hash
-        pos = np.arange(len(cp) + 1, dtype=np.uint64)
-        base = np.uint64(0x9E3779B97F4A7C15)
-        power = _powers(base, len(cp) + 1)
-        total = np.zeros(len(cp) + 1, np.uint64)
-        np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
-        inverse = _powers(np.uint64(pow(int(base), -1, 1 << 64)), len(cp) + 1)
-        word = (total[stop] - total[begin]) * inverse[begin]
-        word = (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + (stop - begin).astype(np.uint64)
-        del pos, power, total, inverse
+        word = run_hashes(cp, begin, stop)
         keys, first, which = np.unique(word, return_index=True, return_inverse=True)
-        low = cp.tobytes()
-        cache, found = self.cache, []
-        for k, i in zip(keys.tolist(), first.tolist()):
-            ids = cache.get(k)
-            if ids is None:
-                text = low[begin[i]:stop[i]].decode("latin-1").translate(self.visible)
-                ids = cache[k] = np.array([t.id for t in self.tok.model.tokenize(text)], np.uint32)
-            found.append(ids)
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        if not found:
+        if self.known.full():
+            self.known.clear()
+            self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
+        new = np.flatnonzero(self.known.rows(keys) < 0)
+        low, model, visible, found = cp.tobytes(), self.tok.model, self.visible, []
+        for i in first[new].tolist():
+            found.append([t.id for t in model.tokenize(low[begin[i]:stop[i]].decode("latin-1").translate(visible))])
+        self.known.add(keys[new])
+        self.size = np.concatenate([self.size, np.array([len(x) for x in found], np.int64)])
+        self.flat = np.concatenate([self.flat, np.array([x for ids in found for x in ids], np.uint32)])
+        if not len(keys):
             return [np.empty(0, np.uint32) for _ in raws]
-        size = np.array([len(x) for x in found])
-        flat, at = np.concatenate(found), np.concatenate([[0], np.cumsum(size)[:-1]])
+        row = self.known.rows(keys)
+        size, at = self.size[row], (np.cumsum(self.size) - self.size)[row]
         n = size[which]
         upto = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(at[which] - upto[:-1], n) + np.arange(upto[-1])]
+        ids = self.flat[np.repeat(at[which] - upto[:-1], n) + np.arange(upto[-1])]
         cut = upto[np.searchsorted(begin, ends, side="left")]
         return np.split(ids, cut[:-1])
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. n-1 modulo 2**64, by doubling."""
-    out = np.ones(n, np.uint64)
-    done, factor = 1, int(base)
-    while done < n:
-        more = min(done, n - done)
-        out[done:done + more] = out[:more] * np.uint64(factor)
-        done, factor = done + more, factor * factor % (1 << 64)
-    return out
+def _parts(text: str, chars: int = PART_CHARS) -> Iterator[str]:
+    """A long text in parts cut before an ASCII space or line end: no word spans a cut."""
+    lo = 0
+    while len(text) - lo > chars:
+        hi = max(text.rfind(" ", lo + 1, lo + chars), text.rfind("\n", lo + 1, lo + chars))
+        if hi < 0:
+            break
+        yield text[lo:hi]
+        lo = hi
+    yield text[lo:]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -154,37 +153,32 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def batches(frame: pd.DataFrame, text: str, chars: int = BATCH_CHARS) -> Iterator[pd.DataFrame]:
-    """Runs of rows of about ``chars`` characters (a longer text alone)."""
-    if len(frame):
-        run = (frame[text].str.len().cumsum().to_numpy() - 1) // chars
-        for _, part in frame.groupby(run, sort=False):
-            yield part
-
-
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  max_tokens: int = MAX_TOKENS, end_id: int | None = END_ID) -> DataFrame:
     """Cut each document's ids (its text's ids, then ``end_id``) into pieces of ``max_tokens`` and
     a rest: ``id_col, start, length, ids_crc32, doc_tokens, loss``. A document without ids
     gives no piece. Every id of a document bears loss. Only piece rows leave the Python worker."""
-    id_type = docs.schema[id_col].dataType.simpleString()
     tail = np.empty(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         enc = encoder(tokenizer)
-        for frame in frames:
-            for part in batches(frame, "_text"):
-                rows = []
-                for key, ids in zip(part["_id"], enc.encode(part["_text"].tolist())):
-                    ids = np.concatenate([ids, tail]).astype("<u4")
-                    for s in range(0, len(ids), max_tokens):
-                        piece = ids[s:s + max_tokens]
-                        rows.append((key, s, len(piece), zlib.crc32(piece.tobytes()), len(ids), len(piece)))
-                yield pd.DataFrame(rows, columns=["_id", "start", "length", "ids_crc32", "doc_tokens", "loss"])
-
-    return (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-            .mapInPandas(cut, f"_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, loss long")
-            .withColumnRenamed("_id", id_col))
+
+        def run(texts: list[str]):
+            rows, start, length, crc, total = [], [], [], [], []
+            for i, ids in enumerate(enc.encode(texts)):
+                ids = np.concatenate([ids, tail]).astype("<u4")
+                for s in range(0, len(ids), max_tokens):
+                    piece = ids[s:s + max_tokens]
+                    rows.append(i)
+                    start.append(s)
+                    length.append(len(piece))
+                    crc.append(zlib.crc32(piece.tobytes()))
+                    total.append(len(ids))
+            return rows, [start, length, crc, total, length]
+        return run
+
+    return map_texts(docs, {id_col: F.col(id_col)}, F.col(text_col),
+                     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, loss bigint", work)
 
 
 def dot_product_pack(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

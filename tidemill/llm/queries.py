@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, packing
+from tidemill.llm import chat_trees, crf_langid, exact_dedup, fuzzy_lines, html_main, mixing, packing, secret_scan, subspace_join, weighted_minhash
 from tidemill.llm._shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,10 +31,67 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+#: A conversation whose texts look like the template itself.
+TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(F.lit(TRICKY_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY_TEXT).alias("text"))
+    out = chat_trees.read_back(chat_trees.format_trees(chat_trees.chain_nodes(turns.unionByName(tricky))))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return out.select(F.col("tree.id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+                      F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+                      F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP2_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+    SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '\', ''), '#', ''), '<', '')) AS n_text,
+           length(role) + length(role) - length(replace(replace(replace(replace(role, '\', ''), '#', ''), '<', ''), ':', '')) AS n_role
+    FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + n_role + 2 + n_text + 9) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "lines_total", "lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    written = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    base = "filter(spans, s -> s.kind <> 'guess')"
+    count = "cast(size(filter(spans, s -> s.kind = '{}')) as long) n_{}"
+    return found.selectExpr("doc_id", *(count.format(k, k) for k in secret_scan.KINDS),
+                            f"sha2({written.format(base)}, 256) base_sha256", f"{written.format('spans')} spans")
+
+
 def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op6_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.near_classes(table(spark, sf_dir, "documents")).drop("_rid")
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, takes = mixing.mix(table(spark, sf_dir, "documents"))
     taken = takes.groupBy("_rid").agg(F.sum("words").alias("taken"))
@@ -42,9 +99,42 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    return crf_langid.identify(docs).select("doc_id", held.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), link AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.e, y.e) >= 0.93
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM v
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT r.vec_id, (SELECT count(*) FROM link WHERE a = r.vec_id) AS n_links, r.component_id, r.vec_id = r.component_id AS kept
+FROM root r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_chat_format": op2_chat_format,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
+    "op4_secret_scan": op4_secret_scan,
     "op5_pack_documents": op5_pack_documents,
+    "op6_weighted_minhash": op6_weighted_minhash,
+    "op7_main_text": op7_main_text,
     "op8_mix_sources": op8_mix_sources,
+    "op9_language_id": op9_language_id,
+    "op10_near_vectors": op10_near_vectors,
 }
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op10_near_vectors": OP10_SQL}
