@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from dataclasses import dataclass
 
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
-_TABLES: dict[str, np.ndarray] = {}
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker. (Functions travel to tasks by value, so
+    this package's own globals are new in every task.)"""
+    return sys.modules.setdefault("_tidemill_worker_cache", types.ModuleType("_tidemill_worker_cache")).__dict__
 
 
 def char_table(kind: str) -> np.ndarray:
     """Whether ``str.kind`` (``isalpha``, ``isalnum``) holds for each code point (built once per worker)."""
-    if kind not in _TABLES:
+    cache = worker_cache()
+    if kind not in cache:
         test = getattr(str, kind)
-        _TABLES[kind] = np.fromiter((test(chr(c)) for c in range(0x110000)), bool, 0x110000)
-    return _TABLES[kind]
+        cache[kind] = np.fromiter((test(chr(c)) for c in range(0x110000)), bool, 0x110000)
+    return cache[kind]
 
 
 @dataclass
@@ -62,18 +70,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
-
-
 def run_hashes(values: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Hash of every run ``values[begin:stop]``: prefix sums of value * BASE**position modulo 2**64, shifted
     back to position 0, so equal runs hash equal wherever they stand."""
-    n = len(values) + 1
-    if len(_POWERS[0]) < n:
-        _POWERS[:] = [powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)]
+    n, cache = len(values) + 1, worker_cache()
+    if len(cache.get("powers", ((),))[0]) < n:
+        cache["powers"] = powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
+    power, inverse = cache["powers"]
     total = np.zeros(n, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n - 1], out=total[1:])
-    return mix((total[stop] - total[begin]) * _POWERS[1][begin])
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[:n - 1], out=total[1:])
+    return mix((total[stop] - total[begin]) * inverse[begin])
 
 
 class KeyTable:

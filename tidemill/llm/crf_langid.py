@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm._shared import map_texts, with_row_id
-from tidemill.llm._text import KeyTable, Words, mix, run_hashes, split_words
+from tidemill.llm._text import KeyTable, Words, mix, run_hashes, split_words, worker_cache
 
 FEATURE_BITS = 17
 #: Labelled documents per language, and words of each, that the field is trained on.
@@ -231,10 +231,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     answers. Whole texts are read; rows are independent, so predicting needs no shuffle."""
     lines = sample_lines(docs, id_col, text_col, label_col, train_docs, train_words)
     field = train(lines)
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = docs.sparkSession.sparkContext.broadcast((field.labels, field.weights, field.step, field.start))
 
     def work():
-        model = shared.value
+        labels, weights, step, start = shared.value
+        cache, name = worker_cache(), ("field", zlib.crc32(weights.tobytes()), tuple(labels))
+        model = cache[name] if name in cache else cache.setdefault(name, Field(labels, weights, step, start))
 
         def run(texts: list[str]):
             found = model.predict(texts)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm._shared import map_texts, materialize
-from tidemill.llm._text import KeyTable, run_hashes
+from tidemill.llm._text import KeyTable, run_hashes, worker_cache
 
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 1024
@@ -143,14 +143,12 @@ def _parts(text: str, chars: int = PART_CHARS) -> Iterator[str]:
     yield text[lo:]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One encoder per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    cache = worker_cache()
+    if ("encoder", path) not in cache:
+        cache["encoder", path] = WordEncoder(path)
+    return cache["encoder", path]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
