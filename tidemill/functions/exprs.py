@@ -74,3 +74,8 @@ def round_half_up(c, digits: int) -> Column:
     v = _c(c).cast("double")
     finite = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
     return F.when(finite, F.floor(v * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(v)
+
+
+def number(c) -> Column:
+    """A column as double in which NaN is missing, like null."""
+    return nan_to_null(_c(c).cast("double"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.exprs import coerce_double, null_sentinels
+from tidemill.functions.exprs import coerce_double, null_sentinels, number
 from tidemill.functions.hashing import hash_hex, hash_uniform
 from tidemill.operators.quantiles import quantiles
 
@@ -35,7 +35,7 @@ def _fill(df: DataFrame, values: dict) -> DataFrame:
 
 def impute_mean(df: DataFrame, cols) -> DataFrame:
     """Mean imputation per column (one aggregate for all columns)."""
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+    row = df.agg(*[F.avg(number(c)).alias(c) for c in cols]).first().asDict()
     return _fill(df, {c: v for c, v in row.items() if v is not None})
 
 
@@ -85,20 +85,20 @@ def iqr_bounds(df: DataFrame, cols, approx: bool = False, k: float = 1.5) -> dic
     out = {}
     for c in cols:
         q1, q3 = qs[c]
-        iqr = q3 - q1
-        out[c] = (q1, q3, q1 - k * iqr, q3 + k * iqr)
+        iqr = None if q1 is None else q3 - q1
+        out[c] = (q1, q3, None, None) if q1 is None else (q1, q3, q1 - k * iqr, q3 + k * iqr)
     return out
 
 
 def iqr_outliers(df: DataFrame, cols, approx: bool = False, k: float = 1.5) -> DataFrame:
     """C11: one row per column: quartiles, fences and the number of rows outside
-    them. Rows are kept; the counts come from one more aggregate."""
+    them (a column without values has null fences and none outside). Rows are kept; the counts come from one more aggregate."""
     b = iqr_bounds(df, cols, approx, k)
 
     def per_feature(i):
-        return F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(b[c][i])))])[F.col("feature")]
+        return F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(b[c][i]).cast("double"))])[F.col("feature")]
 
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
+    long = df.select(*[number(c).alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     lo, hi = per_feature(2), per_feature(3)
     agg = long.groupBy("feature").agg(F.count_if((F.col("v") < lo) | (F.col("v") > hi)).alias("n_outliers"))
     return agg.select("feature", per_feature(0).alias("q1"), per_feature(1).alias("q3"), lo.alias("lower"),

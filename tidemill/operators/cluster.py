@@ -96,11 +96,10 @@ def _pair_cluster_sums():
                 tv = np.vstack(row.t_vecs)
                 t_lab = np.asarray(row.t_labels, dtype=np.float64)
                 labs = np.unique(t_lab)
-                step = query_chunk(len(t_lab), tv.shape[1])
-                t_sq = np.einsum("ij,ij->i", tv, tv)
+                step = query_chunk(len(t_lab))
                 for s in range(0, len(q_ids), step):
                     q = qv[s:s + step]
-                    dist = np.sqrt(squared_distances(q, tv, t_sq))
+                    dist = np.sqrt(squared_distances(q, tv))
                     for lab in labs:
                         m = t_lab == lab
                         out.append(pd.DataFrame({"qid": q_ids[s:s + step], "cl": lab,
@@ -120,8 +119,6 @@ def silhouette_exact(df: DataFrame, key: str, cols, cluster: str, block_rows: in
     q_blocks = _blocks(df, key, cols, nb, "q_")
     q_rep = q_blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("t_blk"))
     pairs = q_rep.join(t_blocks, "t_blk")
-    if nb > 1:
-        pairs = pairs.repartition(nb * nb)  # one block pair per task
     sums = pairs.mapInPandas(_pair_cluster_sums(), "qid bigint, cl double, sum_d double, cnt bigint")
     per = sums.groupBy("qid", "cl").agg(F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt"))
     own = df.select(F.col(key).cast("bigint").alias("qid"), F.col(cluster).cast("double").alias("own"))

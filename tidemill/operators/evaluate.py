@@ -7,14 +7,13 @@ on executors; predictions are never collected. Per-class metrics come from one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import round_half_up
+from tidemill.operators.joins import null_safe_join
 from tidemill.operators.ordered import TARGET_ROWS, running_totals
 
-MAX_CLASSES = 10_000
-
 
 def _div0(a: Column, b: Column) -> Column:
     """``zero_division=0``."""
@@ -38,45 +37,49 @@ def binary_prf(df: DataFrame, label: str = "label", pred: str = "prediction", po
                       _div0(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def class_list(df: DataFrame, label: str, pred: str) -> list:
-    """Sorted union of true and predicted classes (model-sized, bounded)."""
-    vals = (df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c")))
-            .distinct().limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
-        raise ValueError("too many classes for a confusion matrix")
-    return sorted(r[0] for r in vals if r[0] is not None)
+def class_table(df: DataFrame, label: str, pred: str, classes: list | None = None) -> DataFrame:
+    """``cls, i``: the classes of a table (labels and predictions; a null is a class of its own, last), or the
+    given ones, with their 0-based place. One row per class."""
+    if classes is not None:
+        kind = df.schema[label].dataType.simpleString()
+        return df.sparkSession.createDataFrame([(i, None if c is None else str(c)) for i, c in enumerate(classes)], "i bigint, c string").select(
+            F.col("c").cast(kind).alias("cls"), "i")
+    vals = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
+    return vals.select("cls", (F.row_number().over(Window.orderBy(F.col("cls").asc_nulls_last())) - 1).cast("bigint").alias("i"))
 
 
 def confusion_long(df: DataFrame, label: str = "label", pred: str = "prediction",
                    classes: list | None = None) -> DataFrame:
-    """E5: ``(label, prediction, count)`` for every class pair, zeros kept. The k^2
-    cells are generated by a distributed ``range`` (not in one task) and joined to
-    the observed counts; the join strategy is left to AQE's runtime size check."""
-    classes = class_list(df, label, pred) if classes is None else list(classes)
-    k = len(classes)
+    """E5: ``(label, prediction, count)`` for every class pair, zeros kept; a null label or prediction counts
+    under the class null. The k^2 cells are generated by a distributed ``range`` and meet the classes and
+    the observed counts in equi-joins; no class list reaches the driver."""
+    table = class_table(df, label, pred, classes)
+    k = table.count()
     counts = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(
         F.count(F.lit(1)).alias("count"))
-    arr = F.array(*[F.lit(c) for c in classes])
-    cells = df.sparkSession.range(k * k).select(
-        F.element_at(arr, (F.col("id") / k).cast("int") + 1).alias("label"),
-        F.element_at(arr, (F.col("id") % k).cast("int") + 1).alias("prediction"))
-    return (cells.join(counts, ["label", "prediction"], "left")
+    cells = df.sparkSession.range(k * k).select(F.floor(F.col("id") / max(k, 1)).alias("_i"), (F.col("id") % max(k, 1)).alias("_j"))
+    cells = (cells.join(table.select(F.col("cls").alias("label"), F.col("i").alias("_i")), "_i")
+             .join(table.select(F.col("cls").alias("prediction"), F.col("i").alias("_j")), "_j").drop("_i", "_j"))
+    return (null_safe_join(cells, counts, ["label", "prediction"], "left")
             .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
 def confusion_wide(df: DataFrame, label: str = "label", pred: str = "prediction",
                    classes: list | None = None) -> DataFrame:
-    """E5 wide form: rows actual, one column per predicted class."""
-    classes = class_list(df, label, pred) if classes is None else list(classes)
+    """E5 wide form: rows actual, one column per predicted class (column names need the class list)."""
+    if classes is None:
+        classes = [r["cls"] for r in class_table(df, label, pred).orderBy("i").collect()]
     long = confusion_long(df, label, pred, classes)
-    return long.groupBy("label").pivot("prediction", classes).agg(F.first("count"))
+    cell = lambda c: F.sum(F.when(F.col("prediction").eqNullSafe(F.lit(c)), F.col("count")))
+    return long.groupBy("label").agg(*[cell(c).alias("null" if c is None else str(c)) for c in classes])
 
 
 def per_class_stats(df: DataFrame, label: str = "label", pred: str = "prediction",
                     classes: list | None = None) -> DataFrame:
     """Per class: precision, recall, f1, support. One aggregate over the k^2 confusion
     counts: each cell is credited to its true class (support, hits) and to its
-    predicted class (predicted); classes seen as label or prediction appear."""
+    predicted class (predicted). Without ``classes``, those seen as label or prediction appear (null
+    is one); with it exactly the given ones do, unseen ones with zeros."""
     counts = df.groupBy(F.col(label).alias("_y"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     hit = F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(F.lit(0))
     credited = counts.select(F.explode(F.array(
@@ -87,7 +90,7 @@ def per_class_stats(df: DataFrame, label: str = "label", pred: str = "prediction
     s = credited.groupBy("cls").agg(F.sum("s").alias("support"), F.sum("p").alias("predicted"),
                                     F.sum("t").alias("tp"))
     if classes is not None:
-        s = s.where(F.col("cls").isin(list(classes)))
+        s = null_safe_join(class_table(df, label, pred, classes).drop("i"), s, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
     prec = _div0(F.col("tp"), F.col("predicted"))
     rec = _div0(F.col("tp"), F.col("support"))
     return s.select(
@@ -156,6 +159,17 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
                              F.col("u") / (F.col("p") * F.col("n"))).alias("roc_auc"))
 
 
+def roc_auc_by(df: DataFrame, group_col: str, label: str = "label", score: str = "score", positive=1,
+               target_rows: int = TARGET_ROWS) -> DataFrame:
+    """E7 for many models at once: ``group_col, roc_auc`` from one running total per group."""
+    y = F.col(label) == F.lit(positive)
+    sc = df.groupBy(group_col, F.col(score).alias("score")).agg(F.count_if(y).cast("double").alias("pos"), F.count_if(~y).cast("double").alias("neg"))
+    cum = running_totals(sc, "score", ["neg"], target_rows=target_rows, group_cols=[group_col])
+    agg = cum.groupBy(group_col).agg(F.sum(F.col("pos") * (F.col("neg_cum") - 0.5 * F.col("neg"))).alias("u"),
+                                     F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    return agg.select(group_col, F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("u") / (F.col("p") * F.col("n"))).alias("roc_auc"))
+
+
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1,
               target_rows: int = TARGET_ROWS, drop_intermediate: bool = False) -> DataFrame:
     """One ``(threshold, fpr, tpr)`` point per distinct score (predict positive when

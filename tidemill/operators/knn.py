@@ -19,26 +19,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAND_SCHEMA = "qid bigint, tid bigint, tlabel double, dist double"
-QUERY_CHUNK = 64
 CHUNK_BYTES = 64 << 20      # working memory per chunk of queries
-WIDE_DIM = 32               # above this, distances via one matrix product per chunk
 
 
-def squared_distances(q: np.ndarray, t: np.ndarray, t_sq: np.ndarray | None = None) -> np.ndarray:
-    """Squared Euclidean distances between the rows of ``q`` and ``t``. Narrow vectors
-    use exact differences; wide ones ``|q|^2 + |t|^2 - 2 q.t`` (one GEMM), clipped at 0."""
-    if q.shape[1] <= WIDE_DIM:
-        diff = q[:, None, :] - t[None, :, :]
-        return np.sum(diff * diff, axis=-1)
-    t_sq = np.einsum("ij,ij->i", t, t) if t_sq is None else t_sq
-    d2 = np.einsum("ij,ij->i", q, q)[:, None] + t_sq[None, :] - 2.0 * (q @ t.T)
-    return np.maximum(d2, 0.0)
+def squared_distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances between the rows of ``q`` and ``t`` by exact differences, one
+    dimension at a time: the same sums for any number of dimensions and rows."""
+    out = np.zeros((len(q), len(t)))
+    for j in range(q.shape[1]):
+        d = q[:, j][:, None] - t[:, j][None, :]
+        out += d * d
+    return out
 
 
-def query_chunk(n_t: int, d: int) -> int:
+def query_chunk(n_t: int) -> int:
     """Queries per chunk so that the largest temporary stays within CHUNK_BYTES."""
-    per_query = n_t * (d if d <= WIDE_DIM else 1) * 8
-    return int(max(1, min(QUERY_CHUNK if d <= WIDE_DIM else 4096, CHUNK_BYTES // max(per_query, 1))))
+    return int(max(1, min(4096, CHUNK_BYTES // max(n_t * 8, 1))))
 
 
 def _blocks(df: DataFrame, id_col: str, cols, n_blocks: int, prefix: str, label: str | None = None) -> DataFrame:
@@ -69,11 +65,10 @@ def _pair_top_k(k: int):
                 tv = np.vstack(row.t_vecs)[order]
                 qv = np.vstack(row.q_vecs)
                 kk = min(k, len(t_ids))
-                step = query_chunk(len(t_ids), tv.shape[1])
-                t_sq = np.einsum("ij,ij->i", tv, tv)
+                step = query_chunk(len(t_ids))
                 for s in range(0, len(q_ids), step):
                     q = qv[s:s + step]
-                    d2 = squared_distances(q, tv, t_sq)
+                    d2 = squared_distances(q, tv)
                     idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
                     rows = np.repeat(np.arange(len(q)), kk)
                     cols = idx.ravel()
@@ -97,8 +92,6 @@ def knn_candidates(train: DataFrame, query: DataFrame, cols, label: str, train_i
     # each query block meets every train block once (equi-join on the train block number)
     q_rep = q_blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(tb - 1))).alias("t_blk"))
     pairs = q_rep.join(t_blocks, "t_blk")
-    if tb * qb > 1:
-        pairs = pairs.repartition(tb * qb)  # one block pair per task
     cands = pairs.mapInPandas(_pair_top_k(k), CAND_SCHEMA)
     w = Window.partitionBy("qid").orderBy("dist", "tid")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -51,7 +51,7 @@ def lasso(alpha: float, features: str = "features", label: str = "label",
 
 
 def logistic(c: float, n: int, features: str = "features", label: str = "label",
-             max_iter: int = 200, weight_col: str | None = None) -> LogisticRegression:
+             max_iter: int = 1000, weight_col: str | None = None) -> LogisticRegression:
     """M5: L2 logistic regression with sklearn's ``C`` (regParam = 1 / (C n))."""
     lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (c * n),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-10)
@@ -67,19 +67,19 @@ def decision_tree(max_depth: int = 30, max_bins: int = 256, seed: int = 42,
                                   maxDepth=min(max_depth, 30), maxBins=max_bins, seed=seed)
 
 
-def random_forest(num_trees: int = 100, max_depth: int = 20, seed: int = 42, weight_col: str | None = None,
+def random_forest(num_trees: int = 100, max_depth: int = 30, seed: int = 42, weight_col: str | None = None,
                   features: str = "features", label: str = "label",
                   bootstrap: bool = True) -> RandomForestClassifier:
     """M7: random forest classifier, ``sqrt`` features per split, optional class weights."""
     rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees,
                                 maxDepth=min(max_depth, 30), featureSubsetStrategy="sqrt", seed=seed,
-                                bootstrap=bootstrap, maxBins=64)
+                                bootstrap=bootstrap, maxBins=256)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
 
 
-def random_forest_regressor(num_trees: int = 200, max_depth: int = 20, seed: int = 42,
+def random_forest_regressor(num_trees: int = 200, max_depth: int = 30, seed: int = 42,
                             features: str = "features", label: str = "label") -> RandomForestRegressor:
     """M8: forest regressor considering all features per split (sklearn's default)."""
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees,
@@ -88,7 +88,7 @@ def random_forest_regressor(num_trees: int = 200, max_depth: int = 20, seed: int
 
 def gradient_boosting(max_iter: int = 100, step: float = 0.1, depth: int = 3, seed: int = 42,
                       features: str = "features", label: str = "label"):
-    """M9: gradient-boosted trees (sklearn defaults); multi-class through one-vs-rest."""
+    """M9: gradient-boosted trees (sklearn defaults), binary labels (MLlib's booster has no multi-class form)."""
     return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, stepSize=step,
                          maxDepth=depth, seed=seed)
 
@@ -171,8 +171,8 @@ def random_cut_points(mins: list[float], maxs: list[float], cuts: int, seed: int
     return out
 
 
-def extra_trees_proxy(train: DataFrame, feature_cols: list[str], label: str = "label", groups: int = 4,
-                      trees_per_group: int = 15, cuts: int = 7, seed: int = 42, max_depth: int = 20):
+def extra_trees_proxy(train: DataFrame, feature_cols: list[str], label: str = "label", groups: int = 8,
+                      trees_per_group: int = 100, cuts: int = 31, seed: int = 42, max_depth: int = 30):
     """Per group, random cut points inside each feature's [min, max] bucketize the
     features, then a forest without bootstrap is fitted on the buckets; predictions
     average the groups' probabilities. Returns a list of fitted PipelineModels."""

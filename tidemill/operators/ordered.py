@@ -26,6 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.joins import null_safe_join
 from tidemill.session import cut_lineage
 
 TARGET_ROWS = 1_000_000
@@ -53,14 +54,14 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], tie_col
     totals = rp.groupBy("_bkt", *groups).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     before = (Window.partitionBy(*groups) if groups else Window).orderBy("_bkt").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.select("_bkt", *groups, *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
-                                               for v in value_cols])
+    # null while no value has come, as in a plain window sum
+    offsets = totals.select("_bkt", *groups, *[F.sum(f"_t_{v}").over(before).alias(f"_o_{v}") for v in value_cols])
     if not groups and parts <= BROADCAST_OFFSETS_MAX:
         offsets = F.broadcast(offsets)  # one row per partition
-    joined = rp.join(offsets, ["_bkt", *groups], "left")
+    joined = null_safe_join(rp, offsets, ["_bkt", *groups], "left")  # a null group is a group
     w = Window.partitionBy("_bkt", *groups).orderBy(*ordering[len(groups):]).rowsBetween(
         Window.unboundedPreceding, 0)
     return joined.select(
         *[F.col(c) for c in df.columns],
-        *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols],
+        *[F.coalesce(F.sum(v).over(w) + F.col(f"_o_{v}"), F.sum(v).over(w), F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols],
     )

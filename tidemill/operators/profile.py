@@ -7,16 +7,18 @@ aggregate expression per column, never as a Python loop of jobs over columns.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import running_totals
+from tidemill.functions.exprs import number
+from tidemill.operators.joins import null_safe_join
+from tidemill.operators.ordered import TARGET_ROWS, running_totals
 from tidemill.operators.quantiles import quantiles
 
-CORR_EXPR_LIMIT = 10
-
 
 def _lit_map(values: dict, key_col: str):
     """CASE key WHEN k THEN v ... (literal per-column statistics)."""
@@ -34,7 +36,7 @@ def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     from tidemill.operators.quantiles import grouped_quantiles
 
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
+    long = df.select(*[number(c).alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     base = long.groupBy("feature").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max")).collect()
@@ -50,7 +52,7 @@ def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
 
 
 def null_counts(df: DataFrame, cols=None) -> DataFrame:
-    """A3: missing values per column in one pass, largest first."""
+    """A3: missing values per column in one pass; one row per column."""
     cols = list(cols or df.columns)
     wide = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
     return wide.unpivot([], cols, "feature", "missing_count")
@@ -73,9 +75,9 @@ def rate(df: DataFrame, cond, name: str = "rate_pct") -> DataFrame:
 def basic_stats(df: DataFrame, cols) -> DataFrame:
     """Mean, median, mode (ties -> smallest), sample variance and deviation."""
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
+    long = df.select(*[number(c).alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     med = quantiles(df, cols, [0.5])
-    mode = modes(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    mode = modes(df.select(*[number(c).alias(c) for c in cols]), cols)
     return long.groupBy("feature").agg(
         F.avg("v").alias("mean"), F.var_samp("v").alias("variance"), F.stddev_samp("v").alias("stdev"),
     ).select("feature", "mean", _lit_map({c: med[c][0] for c in cols}, "feature").cast("double").alias("median"),
@@ -86,7 +88,7 @@ def skew_kurt(df: DataFrame, cols) -> DataFrame:
     """Bias-corrected skewness and excess kurtosis (pandas / DuckDB definitions);
     Spark's own ``skewness``/``kurtosis`` are the population values, corrected here."""
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "v")
+    long = df.select(*[number(c).alias(c) for c in cols]).unpivot([], cols, "feature", "v")
     a = long.groupBy("feature").agg(F.count("v").alias("n"), F.skewness("v").alias("g1"),
                                     F.kurtosis("v").alias("g2"))
     n = F.col("n").cast("double")
@@ -96,47 +98,58 @@ def skew_kurt(df: DataFrame, cols) -> DataFrame:
 
 
 def _safe_corr(a: str, b: str):
-    """Pearson correlation; a constant column gives null instead of an error."""
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    """Pearson correlation over the rows where both are present (NaN counts as missing); a constant
+    column gives null instead of an error."""
+    x, y = F.when(number(b).isNotNull(), number(a)), F.when(number(a).isNotNull(), number(b))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
+def pair_moments(df: DataFrame, cols) -> DataFrame:
+    """``a, b, n, sx, sy, sxx, syy, sxy`` for every pair of columns over the rows where both are present,
+    after subtracting column means (one aggregate) so that the sums keep their precision. Each task adds
+    up one Gram matrix; only matrices are shuffled, whatever the number of rows."""
+    cols = list(cols)
+    means = df.agg(*[F.avg(number(c)).alias(c) for c in cols]).first()
+    shift = np.array([means[c] if means[c] is not None else 0.0 for c in cols])
+
+    def gram(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, len(cols), len(cols)))
+        for frame in frames:
+            x = frame.to_numpy(float) - shift
+            m = (~np.isnan(x)).astype(float)
+            x = np.where(m > 0, x, 0.0)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.indices(total.shape[1:])
+        n, s, ss, p = total
+        yield pd.DataFrame({"a": i.ravel(), "b": j.ravel(), "n": n.ravel(), "sx": s.ravel(), "sy": s.T.ravel(),
+                            "sxx": ss.ravel(), "syy": ss.T.ravel(), "sxy": p.ravel()})
+
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    part = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)]).mapInPandas(gram, "a int, b int, " + ", ".join(f"{c} double" for c in names))
+    return part.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def corr_long(df: DataFrame, cols, upper_only: bool = False, diagonal: bool = True) -> DataFrame:
-    """The correlation matrix as ``(feature_1, feature_2, corr)`` rows.
-    Up to ``CORR_EXPR_LIMIT`` columns: one aggregate with one expression per pair.
-    Beyond: MLlib ``Correlation.corr`` on a vector column (one tree-aggregated Gram
-    matrix; only the d x d result reaches the driver)."""
+    """The correlation matrix as ``(feature_1, feature_2, corr)`` rows, each pair over the rows
+    where both columns are present, for any number of columns. A constant column, or a pair that is never
+    present together, gives null."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
-             if (i < j if upper_only else (diagonal or i != j))]
-    if len(cols) <= CORR_EXPR_LIMIT:
-        uniq = {tuple(sorted((a, b), key=cols.index)) for a, b in pairs}
-        exprs = {f"{a}|{b}": (_safe_corr(a, b) if a != b else
-                              F.when(F.stddev_samp(a) > 0, F.lit(1.0)))
-                 for a, b in uniq}
-        cast = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        wide = cast.agg(*[e.alias(k) for k, e in exprs.items()])
-        long = wide.unpivot([], list(exprs), "_pair", "corr")
-        long = long.select(F.split("_pair", r"\|").alias("p"), "corr").select(
-            F.col("p")[0].alias("a"), F.col("p")[1].alias("b"), "corr")
-        both = long.unionByName(long.where(F.col("a") != F.col("b")).select(
-            F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
-        pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
-        ia, ib = pos[F.col("a")], pos[F.col("b")]
-        keep = (ia < ib) if upper_only else (F.lit(True) if diagonal else ia != ib)
-        return both.where(keep).select(F.col("a").alias("feature_1"), F.col("b").alias("feature_2"), "corr")
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df).select("_v")
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    idx = {c: i for i, c in enumerate(cols)}
-    # a constant column has no correlation: NaN from MLlib becomes null, as on the other path
-    rows = [(a, b, None if math.isnan(m[idx[a], idx[b]]) else float(m[idx[a], idx[b]])) for a, b in pairs]
-    return df.sparkSession.createDataFrame(rows, "feature_1 string, feature_2 string, corr double")
+    m = pair_moments(df, cols)
+    m = m.where(F.col("a") < F.col("b")) if upper_only else m if diagonal else m.where(F.col("a") != F.col("b"))
+    n, (sx, sy, sxx, syy, sxy) = F.col("n"), (F.col(c) for c in ("sx", "sy", "sxx", "syy", "sxy"))
+    vx, vy = sxx - F.try_divide(sx * sx, n), syy - F.try_divide(sy * sy, n)
+    # what rounding leaves of a constant column's variance is not variance
+    real = (vx > 1e-14 * sxx) & (vy > 1e-14 * syy)
+    r = F.when(real, F.try_divide(sxy - F.try_divide(sx * sy, n), F.sqrt(vx) * F.sqrt(vy)))
+    name = F.array(*[F.lit(c) for c in cols])
+    corr = F.when(F.col("a") == F.col("b"), F.when(vx > 1e-14 * sxx, F.lit(1.0))).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    corr = F.when(F.col("a") == F.col("b"), corr).when(r.isNotNull(), corr)  # least and greatest skip nulls
+    return m.select(F.get(name, F.col("a")).alias("feature_1"), F.get(name, F.col("b")).alias("feature_2"), corr.alias("corr"))
 
 
 def corr_with_target(df: DataFrame, cols, target: str) -> DataFrame:
-    """Correlation of every feature with the target, one aggregate."""
+    """Correlation of every feature with the target, one aggregate; each over the rows where
+    both are present."""
     cols = [c for c in cols if c != target]
     wide = df.agg(*[_safe_corr(c, target).alias(c) for c in cols])
     return wide.unpivot([], cols, "feature", "corr").withColumn("abs_corr", F.abs("corr"))
@@ -154,7 +167,7 @@ def class_feature_stats(df: DataFrame, groups: dict, label: str, neg=0, pos=1) -
     the absolute mean difference; one aggregate over the long form."""
     feats = [f for fs in groups.values() for f in fs]
     gmap = F.create_map(*[x for g, fs in groups.items() for f in fs for x in (F.lit(f), F.lit(g))])
-    long = df.select(label, *[F.col(f).cast("double").alias(f) for f in feats]).unpivot(
+    long = df.select(label, *[number(f).alias(f) for f in feats]).unpivot(
         [label], feats, "feature", "v")
     y = F.col(label)
     a = long.groupBy("feature").agg(
@@ -174,64 +187,74 @@ def split_summary(df: DataFrame, split_col: str, n_features: int) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between min and max (last bin closed), one row per
-    non-empty bin with its edges and count."""
-    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    lo, hi = float(mm["lo"]), float(mm["hi"])
+    non-empty bin with its edges and count; a column without values gives no rows."""
+    vals = df.select(number(col).alias("v")).where(F.col("v").isNotNull())
+    mm = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    lo, hi = (mm["lo"], mm["hi"]) if mm["lo"] is not None else (0.0, 0.0)
     width = (hi - lo) / bins if hi > lo else 1.0
-    b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)).cast("bigint"), F.lit(bins - 1))
-    h = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("bigint"), F.lit(bins - 1))
+    h = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return h.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
                     F.col("count").cast("bigint").alias("count"))
 
 
-def box_stats(df: DataFrame, cols, class_col: str, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, cols, class_col: str, approx: bool = False, task_rows: int | None = None) -> DataFrame:
     """Per (feature, class): quartiles, median and whiskers (the most extreme
-    values inside the 1.5 IQR fences), fliers excluded. Quartiles per group come from
-    the exact distributed selection (or a sketch with ``approx``); fences are applied
-    as literals, so the whiskers are one more grouped aggregate, no join."""
-    from tidemill.operators.quantiles import grouped_quantiles
-
-    cols = list(cols)
-    long = df.select(class_col, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    values inside the 1.5 IQR fences), fliers excluded; a null class is a class, a group without
+    values has null statistics. Quartiles of groups that fit a task are a grouped aggregate and stay
+    in Spark; larger groups (at most rows / ``task_rows`` of them) go through the exact distributed
+    selection, or a sketch with ``approx``. Quartiles meet the rows in an equi-join."""
+    from tidemill.operators.quantiles import TASK_ROWS, grouped_quantiles
+
+    cols, probs, limit = list(cols), [0.25, 0.5, 0.75], task_rows or TASK_ROWS
+    long = df.select(class_col, *[number(c).alias(c) for c in cols]).unpivot(
         [class_col], cols, "feature", "v")
-    key = F.concat_ws("\u0001", F.col("feature"), F.col(class_col).cast("string"))
-    keyed = long.select(key.alias("_k"), "feature", class_col, "v")
+    keys = ["feature", class_col]
     if approx:
-        rows = keyed.groupBy("_k").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 100_000).alias("q")).collect()
-        q = {r["_k"]: list(r["q"]) for r in rows}
+        q = long.groupBy(*keys).agg(F.percentile_approx("v", probs, 100_000).alias("q"))
     else:
-        q = grouped_quantiles(keyed.select(F.col("_k").alias("feature"), "v"), [0.25, 0.5, 0.75])
-
-    def lit_of(i):
-        return F.create_map(*[x for k, v in q.items() for x in (F.lit(k), F.lit(float(v[i])))])[F.col("_k")]
-
-    q1, med, q3 = lit_of(0), lit_of(1), lit_of(2)
+        sizes = long.groupBy(*keys).agg(F.count("v").alias("n"))
+        big = sizes.where(F.col("n") > limit).collect()
+        bounded = null_safe_join(long, sizes.where(F.col("n") <= limit).select(*keys), keys)
+        q = bounded.groupBy(*keys).agg(F.percentile("v", probs).alias("q"))
+        if big:
+            tag = lambda f, c: F.concat_ws("\u0001", f, F.coalesce(c.cast("string"), F.lit("\u0002")))
+            keyed = long.select(tag(F.col("feature"), F.col(class_col)).alias("feature"), "v")
+            names = ["\u0001".join([r["feature"], "\u0002" if r[class_col] is None else str(r[class_col])]) for r in big]
+            got = grouped_quantiles(keyed, probs, limit, counts={k: r["n"] for k, r in zip(names, big)})
+            rows = df.sparkSession.createDataFrame([(r["feature"], r[class_col], got[k]) for k, r in zip(names, big)], q.schema)
+            q = q.unionByName(rows)
+    j = null_safe_join(long, q, keys)
+    q1, med, q3 = (F.get("q", F.lit(i)) for i in range(3))
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("v") >= lo) & (F.col("v") <= hi)
-    w = keyed.groupBy("_k", "feature", class_col).agg(
+    return j.groupBy(*keys).agg(
+        F.first(q1).alias("q1"), F.first(med).alias("median"), F.first(q3).alias("q3"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"), F.max(F.when(inside, F.col("v"))).alias("whisker_high"))
-    return w.select("feature", class_col, q1.alias("q1"), med.alias("median"), q3.alias("q3"),
-                    "whisker_low", "whisker_high")
 
 
 def modes(df: DataFrame, cols) -> dict:
     """Most frequent value per column, ties -> smallest, as a two-level aggregate:
     counts per (column, value) are shuffled by value, then one arg-max per column
     (partial aggregation keeps one candidate per task). No task holds a column's
-    whole value map."""
-    out = {}
-    parts = []
+    whole value map. Columns of one kind (numbers, texts) share a job."""
+    out = dict.fromkeys(cols)
+    kinds: dict[str, list] = {}
     for c in cols:
-        vc = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(vc.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias("m")))
-    for c, p in zip(cols, parts):
-        out[c] = p.first()["m"]
+        t = df.schema[c].dataType.simpleString()
+        kinds.setdefault("double" if t in ("tinyint", "smallint", "int", "bigint", "float", "double") else t, []).append(c)
+    for kind, own in kinds.items():
+        long = df.select(*[(number(c) if kind == "double" else F.col(c)).alias(c) for c in own]).unpivot([], own, "feature", "v")
+        counts = long.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("_n"))
+        for r in counts.groupBy("feature").agg(F.min_by("v", F.struct(-F.col("_n"), F.col("v"))).alias("m")).collect():
+            whole = df.schema[r["feature"]].dataType.simpleString() not in ("float", "double")
+            out[r["feature"]] = int(r["m"]) if kind == "double" and whole else r["m"]
     return out
 
 
 def cumulative_sum(df: DataFrame, value_col: str, order_col: str, partition_cols=(), tie_cols=(),
-                   out: str = "cumsum", bounded_groups: bool = False) -> DataFrame:
+                   out: str = "cumsum", bounded_groups: bool = False, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Running total, per group when ``partition_cols`` are given. Exact and
     distributed even for a hot group (range-partitioned running totals); with
     ``bounded_groups=True`` (groups known to be small, e.g. per-day aggregates) a
@@ -241,7 +264,7 @@ def cumulative_sum(df: DataFrame, value_col: str, order_col: str, partition_cols
             Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value_col).over(w))
     return running_totals(df, order_col, [value_col], tie_cols=list(tie_cols), suffix="_cum",
-                          group_cols=list(partition_cols)).withColumnRenamed(f"{value_col}_cum", out)
+                          group_cols=list(partition_cols), target_rows=target_rows).withColumnRenamed(f"{value_col}_cum", out)
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_hex, hash_uniform
+from tidemill.operators.joins import null_safe_join
 from tidemill.operators.ordered import running_totals
 
 BROADCAST_ROWS_MAX = 100_000
@@ -73,7 +74,7 @@ def rank_within(df: DataFrame, group_cols, key: str, seed: int = 42, buckets: in
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*groups, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"),
                          F.sum("_nb").over(Window.partitionBy(*groups)).alias("_group_n"))
-    j = tagged.join(offs, [*groups, "_b"])
+    j = null_safe_join(tagged, offs, [*groups, "_b"])  # a null group is a group
     w = Window.partitionBy(*groups, "_b").orderBy("_h", key)
     return j.withColumn(out, F.row_number().over(w) + F.col("_off")).drop("_b", "_h", "_off", "_nb")
 
@@ -93,7 +94,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2
 
 def oversample(df: DataFrame, key: str, label: str, minority, target_n: int, seed: int = 42) -> DataFrame:
     """The minority class resampled with replacement to ``target_n`` rows, the
-    others unchanged. Draw i picks minority row ``pmod(hash(seed, i), m)``; draws are
+    others unchanged (a null class is one of them). Draw i picks minority row ``pmod(hash(seed, i), m)``; draws are
     generated with ``range`` (distributed) and joined to the indexed minority rows."""
     spark = df.sparkSession
     minor = df.where(F.col(label) == F.lit(minority))
@@ -108,13 +109,13 @@ def oversample(df: DataFrame, key: str, label: str, minority, target_n: int, see
     draws = spark.range(target_n).select(F.pmod(draw_hash.cast("bigint"), F.lit(m)).alias("_pos"))
     # the join strategy is AQE's: broadcast only when the measured minority side is small
     resampled = draws.join(m_idx, "_pos").drop("_pos")
-    return df.where(F.col(label) != F.lit(minority)).unionByName(resampled)
+    return df.where(~F.col(label).eqNullSafe(F.lit(minority))).unionByName(resampled)
 
 
 def oversample_target(df: DataFrame, label: str, minority, target: str = "max_class") -> int:
     """Q2: size to resample the minority class to: the largest other class
     (``'max_class'``, default) or all other rows together (``'rest'``, the reference)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where(F.col(label) != F.lit(minority))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where(~F.col(label).eqNullSafe(F.lit(minority)))
     row = counts.agg(F.max("n").alias("mx"), F.sum("n").alias("rest")).first()
     return int(row["mx"] if target == "max_class" else row["rest"])
 
@@ -127,9 +128,9 @@ def shuffle_rows(df: DataFrame, key, seed: int = 42) -> DataFrame:
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_c) as a weight column. The class
     count table has one row per class (bounded) and is broadcast."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).cache()
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k")).first()
     w = counts.select(label, (F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("_nc"))).alias(out))
     if tot["k"] <= BROADCAST_ROWS_MAX:  # one row per class: bounded by the checked class count
         w = F.broadcast(w)
-    return df.join(w, label, "left")
+    return null_safe_join(df, w, label, "left")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemill.operators.joins import null_safe_join
+
 
 def _keys(cols) -> list[str]:
     if cols is None:
@@ -95,18 +97,25 @@ def with_series_features(df: DataFrame, w: WindowSpec, value_col: str, ma=(5, 10
 
 
 def chronological_split(df: DataFrame, series_cols, order_col: str, train_frac: float = 0.8,
-                        split_col: str = "split", tie_cols=(), block_rows: int = 1_000_000) -> DataFrame:
-    """First ``int(frac * n)`` rows of each series (in order) are ``train``.
+                        split_col: str = "split", tie_cols=(), block_rows: int = 1_000_000,
+                        bounded_series: bool = False) -> DataFrame:
+    """First ``int(frac * n)`` rows of each series (in order) are ``train``; a null key is a series.
     Positions inside each series are exact and bounded per task even for a hot series
-    (``blocked_series.series_positions``)."""
+    (``blocked_series.series_positions``). ``bounded_series`` says that every series is known to
+    be short (periods of an aggregate): position and length then come from one exchange."""
     from tidemill.operators.blocked_series import series_positions
 
     keys = _keys(series_cols)
     order = _keys(order_col)
+    if bounded_series:
+        whole = Window.partitionBy(*keys)
+        pos = F.row_number().over(whole.orderBy(*order, *tie_cols)) - 1
+        first = pos < F.floor(F.count(F.lit(1)).over(whole) * F.lit(train_frac))
+        return df.withColumn(split_col, F.when(first, F.lit("train")).otherwise(F.lit("test")))
     pos = series_positions(df, keys, order[0], list(order[1:]) + list(tie_cols),
                            target_rows=block_rows, small_max=block_rows)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    j = pos.join(sizes, keys)
+    j = null_safe_join(pos, sizes, keys)
     return j.withColumn(split_col, F.when(F.col("_pos") < F.floor(F.col("_n") * F.lit(train_frac)), F.lit("train"))
                         .otherwise(F.lit("test"))).drop("_pos", "_n")
 

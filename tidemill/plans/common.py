@@ -70,9 +70,13 @@ CUSTOMER_NULLS_SQL = f"""(SELECT c_custkey, c_name, c_nationkey,
   FROM customer)"""
 
 
-# ---- embeddings: first dimensions as doubles, and the derived targets -------------------
+# ---- embeddings: all dimensions as doubles, and the derived targets ---------------------
 
-def emb(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
+EMB_DIMS = 64
+EMB_COLS = [f"e{i}" for i in range(1, EMB_DIMS + 1)]
+
+
+def emb(spark: SparkSession, sf: str, dims: int = EMB_DIMS) -> DataFrame:
     e = read_table(spark, sf, "embeddings")
     cols = [F.col("embedding")[i].cast("double").alias(f"e{i + 1}") for i in range(dims)]
     out = e.select("vec_id", "label", *cols)
@@ -82,7 +86,7 @@ def emb(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
     return out.select("*", y3.alias("y3"), ring.alias("ring"))
 
 
-def emb_sql(dims: int = 8) -> str:
+def emb_sql(dims: int = EMB_DIMS) -> str:
     cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i + 1}" for i in range(dims))
     return f"""(SELECT *,
   CASE WHEN e1 >= e2 AND e1 >= e3 THEN 0 WHEN e2 >= e3 THEN 1 ELSE 2 END AS y3,
@@ -124,7 +128,7 @@ SCORED_SQL = """(SELECT doc_id, toxic AS label, round((n_chars % 997) / 996.0, 3
 
 def multiclass_preds(spark: SparkSession, sf: str) -> DataFrame:
     """label = y3 (derived target); prediction = the same rule on noisier inputs."""
-    e = emb(spark, sf, 8)
+    e = emb(spark, sf)
     a = [F.col("e1") + F.col("e4") * 0.5, F.col("e2") + F.col("e5") * 0.5, F.col("e3") + F.col("e6") * 0.5]
     pred = F.when((a[0] >= a[1]) & (a[0] >= a[2]), 0).when(a[1] >= a[2], 1).otherwise(2)
     return e.select("vec_id", F.col("y3").alias("label"), pred.alias("prediction"))
@@ -133,4 +137,4 @@ def multiclass_preds(spark: SparkSession, sf: str) -> DataFrame:
 MULTI_SQL = f"""(SELECT vec_id, y3 AS label,
   CASE WHEN e1 + e4 * 0.5 >= e2 + e5 * 0.5 AND e1 + e4 * 0.5 >= e3 + e6 * 0.5 THEN 0
        WHEN e2 + e5 * 0.5 >= e3 + e6 * 0.5 THEN 1 ELSE 2 END AS prediction
-  FROM {emb_sql(8)})"""
+  FROM {emb_sql()})"""

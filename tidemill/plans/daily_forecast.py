@@ -38,7 +38,7 @@ def daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = daily_features(spark, sf_dir).na.drop("any")
-    return chronological_split(feats, SERIES, "order_day", 0.8)
+    return chronological_split(feats, SERIES, "order_day", 0.8, bounded_series=True)  # days x priorities
 
 
 def forecast_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,8 +43,8 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     data = M.assembler(FEATURES).transform(z)
     tr = data.where(F.col("split") == "train")
     n = tr.count()
-    ests = {"logistic": M.logistic(1.0, n), "random_forest": M.random_forest(num_trees=50, max_depth=8),
-            "gradient_boosting": M.gradient_boosting(max_iter=30, depth=3)}
+    ests = {"logistic": M.logistic(1.0, n), "random_forest": M.random_forest(num_trees=400, max_depth=30),
+            "gradient_boosting": M.gradient_boosting(max_iter=100, depth=3)}
     outs = []
     for name, est in ests.items():
         p = est.fit(tr).transform(data.where(F.col("split") == "test"))
@@ -56,8 +56,4 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 def comparison(spark: SparkSession, sf: str) -> DataFrame:
     p = predictions(spark, sf).cache()
     m = evaluate.binary_metrics_by(p, "model")
-    aucs = None
-    for name in ("logistic", "random_forest", "gradient_boosting"):
-        a = evaluate.roc_auc(p.where(F.col("model") == name)).select(F.lit(name).alias("model"), "roc_auc")
-        aucs = a if aucs is None else aucs.unionByName(a)
-    return m.join(aucs, "model").orderBy(F.col("f1").desc(), F.col("accuracy").desc(), "model")
+    return m.join(evaluate.roc_auc_by(p, "model"), "model").orderBy(F.col("f1").desc(), F.col("accuracy").desc(), "model")

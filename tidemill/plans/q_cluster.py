@@ -6,35 +6,35 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import cluster as K
 from tidemill.plans.catalog import query
-from tidemill.plans.common import duck_h, emb, emb_sql, r6
+from tidemill.plans.common import EMB_COLS, duck_h, emb, emb_sql, r6
 
-E8 = [f"e{i}" for i in range(1, 9)]
+ES = EMB_COLS
 
 
 def _seeds_sql(k: int) -> str:
-    return (f"(SELECT row_number() OVER (ORDER BY {duck_h('vec_id')}, vec_id) - 1 AS cluster, {', '.join(E8)} "
-            f"FROM {emb_sql(8)} ORDER BY {duck_h('vec_id')}, vec_id LIMIT {k})")
+    return (f"(SELECT row_number() OVER (ORDER BY {duck_h('vec_id')}, vec_id) - 1 AS cluster, {', '.join(ES)} "
+            f"FROM {emb_sql()} ORDER BY {duck_h('vec_id')}, vec_id LIMIT {k})")
 
 
 def _assign_sql(k: int) -> str:
-    dist = " + ".join(f"(p.{c} - s.{c}) * (p.{c} - s.{c})" for c in E8)
+    dist = " + ".join(f"(p.{c} - s.{c}) * (p.{c} - s.{c})" for c in ES)
     return f"""(SELECT * FROM (SELECT p.*, s.cluster, {dist} AS sqd,
   row_number() OVER (PARTITION BY p.vec_id ORDER BY {dist}, s.cluster) AS r
-  FROM {emb_sql(8)} p CROSS JOIN {_seeds_sql(k)} s) WHERE r = 1)"""
+  FROM {emb_sql()} p CROSS JOIN {_seeds_sql(k)} s) WHERE r = 1)"""
 
 
 def _assigned(spark, sf, k=3):
-    d = emb(spark, sf, 8)
-    return K.assign(d, E8, K.seed_centroids(d, "vec_id", E8, k))
+    d = emb(spark, sf)
+    return K.assign(d, ES, K.seed_centroids(d, "vec_id", ES, k))
 
 
 @query("k1_lloyd_step", sql=f"""
-SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, {', '.join(f'round(avg({c}), 6) AS {c}' for c in E8)}
+SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, {', '.join(f'round(avg({c}), 6) AS {c}' for c in ES)}
 FROM {_assign_sql(3)} GROUP BY cluster""")
 def k1_lloyd_step(spark, sf):
-    d = emb(spark, sf, 8)
-    step = K.lloyd_step(d, E8, K.seed_centroids(d, "vec_id", E8, 3))
-    return step.select("cluster", "n", *[r6(c).alias(c) for c in E8])
+    d = emb(spark, sf)
+    step = K.lloyd_step(d, ES, K.seed_centroids(d, "vec_id", ES, 3))
+    return step.select("cluster", "n", *[r6(c).alias(c) for c in ES])
 
 
 @query("k2_wcss_by_k", sql=" UNION ALL ".join(
@@ -44,21 +44,21 @@ def k2_wcss_by_k(spark, sf):
 
 
 def _wcss_curve(spark, sf):
-    d = emb(spark, sf, 8)
-    seeds = K.seed_centroids(d, "vec_id", E8, 10)
-    return K.wcss_by_prefix(d, E8, seeds, range(2, 11))
+    d = emb(spark, sf)
+    seeds = K.seed_centroids(d, "vec_id", ES, 10)
+    return K.wcss_by_prefix(d, ES, seeds, range(2, 11))
 
 
 @query("k3_silhouette_exact", sql=f"""
 WITH a AS {_assign_sql(3)},
 d AS (SELECT x.vec_id, x.cluster AS own, y.cluster AS cl,
-        sqrt({' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in E8)}) AS dist FROM a x CROSS JOIN a y),
+        sqrt({' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in ES)}) AS dist FROM a x CROSS JOIN a y),
 pc AS (SELECT vec_id, own, cl, sum(dist) AS sd, count(*) AS cnt FROM d GROUP BY ALL),
 s AS (SELECT vec_id, max(cnt) FILTER (WHERE cl = own) AS n_own, max(sd / (cnt - 1)) FILTER (WHERE cl = own) AS a,
         min(sd / cnt) FILTER (WHERE cl <> own) AS b FROM pc GROUP BY vec_id)
 SELECT round(avg(CASE WHEN n_own <= 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
 def k3_silhouette_exact(spark, sf):
-    s = K.silhouette_exact(_assigned(spark, sf), "vec_id", E8, "cluster")
+    s = K.silhouette_exact(_assigned(spark, sf), "vec_id", ES, "cluster")
     return s.select(r6("silhouette").alias("silhouette"))
 
 
@@ -67,7 +67,7 @@ def k3_silhouette_squared(spark, sf):
     a = _assigned(spark, sf)
     from pyspark.ml.feature import VectorAssembler
 
-    v = VectorAssembler(inputCols=E8, outputCol="features").transform(a)
+    v = VectorAssembler(inputCols=ES, outputCol="features").transform(a)
     return spark.range(1).select(F.lit(K.silhouette_squared(v, "features", "cluster")).alias("silhouette_squared"))
 
 
@@ -83,27 +83,27 @@ def k4_choose_k(spark, sf):
 
 @query("k5_davies_bouldin", sql=f"""
 WITH a AS {_assign_sql(3)},
-c AS (SELECT cluster, {', '.join(f'avg({c}) AS {c}' for c in E8)} FROM a GROUP BY cluster),
-s AS (SELECT a.cluster, avg(sqrt({' + '.join(f'(a.{c} - c.{c}) * (a.{c} - c.{c})' for c in E8)})) AS s
+c AS (SELECT cluster, {', '.join(f'avg({c}) AS {c}' for c in ES)} FROM a GROUP BY cluster),
+s AS (SELECT a.cluster, avg(sqrt({' + '.join(f'(a.{c} - c.{c}) * (a.{c} - c.{c})' for c in ES)})) AS s
       FROM a JOIN c USING (cluster) GROUP BY a.cluster),
-m AS (SELECT i.cluster AS ci, j.cluster AS cj, sqrt({' + '.join(f'(i.{c} - j.{c}) * (i.{c} - j.{c})' for c in E8)}) AS m
+m AS (SELECT i.cluster AS ci, j.cluster AS cj, sqrt({' + '.join(f'(i.{c} - j.{c}) * (i.{c} - j.{c})' for c in ES)}) AS m
       FROM c i, c j WHERE i.cluster <> j.cluster),
 r AS (SELECT ci, max((si.s + sj.s) / m) AS worst FROM m JOIN s si ON si.cluster = ci JOIN s sj ON sj.cluster = cj GROUP BY ci)
 SELECT round(avg(worst), 6) AS davies_bouldin FROM r""")
 def k5_davies_bouldin(spark, sf):
-    return K.davies_bouldin(_assigned(spark, sf), E8, "cluster").select(r6("davies_bouldin").alias("davies_bouldin"))
+    return K.davies_bouldin(_assigned(spark, sf), ES, "cluster").select(r6("davies_bouldin").alias("davies_bouldin"))
 
 
 @query("k6_calinski_harabasz", sql=f"""
 WITH a AS {_assign_sql(3)},
-g AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in E8)}, count(*) AS n FROM a),
-c AS (SELECT cluster, count(*) AS n, {', '.join(f'avg({c}) AS {c}' for c in E8)} FROM a GROUP BY cluster),
-b AS (SELECT sum(c.n * ({' + '.join(f'(c.{c} - g.{c}) * (c.{c} - g.{c})' for c in E8)})) AS between_ss,
+g AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in ES)}, count(*) AS n FROM a),
+c AS (SELECT cluster, count(*) AS n, {', '.join(f'avg({c}) AS {c}' for c in ES)} FROM a GROUP BY cluster),
+b AS (SELECT sum(c.n * ({' + '.join(f'(c.{c} - g.{c}) * (c.{c} - g.{c})' for c in ES)})) AS between_ss,
         count(*) AS k FROM c, g),
-w AS (SELECT sum({' + '.join(f'(a.{c} - c.{c}) * (a.{c} - c.{c})' for c in E8)}) AS within_ss FROM a JOIN c USING (cluster))
+w AS (SELECT sum({' + '.join(f'(a.{c} - c.{c}) * (a.{c} - c.{c})' for c in ES)}) AS within_ss FROM a JOIN c USING (cluster))
 SELECT round((between_ss / (k - 1)) / (within_ss / ((SELECT n FROM g) - k)), 6) AS calinski_harabasz FROM b, w""")
 def k6_calinski_harabasz(spark, sf):
-    return K.calinski_harabasz(_assigned(spark, sf), E8, "cluster").select(
+    return K.calinski_harabasz(_assigned(spark, sf), ES, "cluster").select(
         r6("calinski_harabasz").alias("calinski_harabasz"))
 
 
@@ -118,18 +118,18 @@ def k7_cluster_sizes(spark, sf):
 @query("k1_kmeans_fit")
 def k1_kmeans_fit(spark, sf):
     """K1 full fit: best of 10 starts, up to 300 iterations; centroids as rows."""
-    model, _ = K.fit_kmeans(emb(spark, sf, 8), E8, 3, n_init=10, max_iter=300)
+    model, _ = K.fit_kmeans(emb(spark, sf), ES, 3, n_init=10, max_iter=300)
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in E8))
+    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in ES))
 
 
 @query("k8_compare_k")
 def k8_compare_k(spark, sf):
     """K8: fit K in (2, 3, 4, 5, 6, 8); inertia and squared-Euclidean silhouette."""
-    d = emb(spark, sf, 8)
+    d = emb(spark, sf)
     rows = []
     for k in (2, 3, 4, 5, 6, 8):
-        model, data = K.fit_kmeans(d, E8, k, n_init=3, max_iter=100)
+        model, data = K.fit_kmeans(d, ES, k, n_init=10, max_iter=300)
         sil = K.silhouette_squared(model.transform(data))
         rows.append((k, float(model.summary.trainingCost), float(sil)))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
@@ -138,12 +138,12 @@ def k8_compare_k(spark, sf):
 @query("k9_init_convergence")
 def k9_init_convergence(spark, sf):
     """K9: three seeds x (k-means||, random): mean iterations and inertia."""
-    d = emb(spark, sf, 8)
+    d = emb(spark, sf)
     rows = []
     for mode in ("k-means||", "random"):
         its, costs = [], []
         for s in range(3):
-            model, _ = K.fit_kmeans(d, E8, 3, n_init=1, max_iter=300, seed=42 + s, init_mode=mode)
+            model, _ = K.fit_kmeans(d, ES, 3, n_init=1, max_iter=300, seed=42 + s, init_mode=mode)
             its.append(model.summary.numIter)
             costs.append(model.summary.trainingCost)
         rows.append((mode, sum(its) / 3.0, sum(costs) / 3.0))
@@ -153,13 +153,13 @@ def k9_init_convergence(spark, sf):
 @query("k10_interpretation")
 def k10_interpretation(spark, sf):
     """Final metrics of the chosen K and whether it matches the true class count."""
-    d = emb(spark, sf, 8)
-    model, data = K.fit_kmeans(d, E8, 3, n_init=3, max_iter=100)
+    d = emb(spark, sf)
+    model, data = K.fit_kmeans(d, ES, 3, n_init=10, max_iter=300)
     pred = model.transform(data).withColumnRenamed("prediction", "cluster")
     true_k = d.agg(F.count_distinct("y3")).first()[0]
     sil = K.silhouette_squared(pred, "features", "cluster")
-    db = K.davies_bouldin(pred, E8, "cluster").first()[0]
-    ch = K.calinski_harabasz(pred, E8, "cluster").first()[0]
+    db = K.davies_bouldin(pred, ES, "cluster").first()[0]
+    ch = K.calinski_harabasz(pred, ES, "cluster").first()[0]
     return spark.createDataFrame([(3, int(true_k), float(sil), float(db), float(ch), 3 == true_k)],
                                  "k int, true_k int, silhouette double, davies_bouldin double, "
                                  "calinski_harabasz double, matches_true_k boolean")

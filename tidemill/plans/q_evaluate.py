@@ -1,4 +1,4 @@
-"""Registered queries: evaluation and model comparison (E1-E16) on fixed-rule
+"""Registered queries: evaluation and model comparison (E1-ES) on fixed-rule
 predictions, so Spark and DuckDB score the very same prediction table."""
 
 from __future__ import annotations
@@ -201,7 +201,7 @@ _NOISE = {"noise_0.25": 0.25, "noise_0.5": 0.5, "noise_1.0": 1.0}
 def _multi_rules(spark, sf):
     from tidemill.plans.common import emb
 
-    e = emb(spark, sf, 8)
+    e = emb(spark, sf)
     arr = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(w).alias("w")) for m, w in _NOISE.items()])
     x = e.select("y3", "e1", "e2", "e3", "e4", "e5", "e6", F.inline(arr))
     a = [F.col("e1") + F.col("e4") * F.col("w"), F.col("e2") + F.col("e5") * F.col("w"),
@@ -217,7 +217,7 @@ def _multi_rules_sql():
     for m, w in _NOISE.items():
         a1, a2, a3 = f"e1 + e4 * {w}", f"e2 + e5 * {w}", f"e3 + e6 * {w}"
         parts.append(f"SELECT '{m}' AS model, y3 AS label, CASE WHEN {a1} >= {a2} AND {a1} >= {a3} THEN 0 "
-                     f"WHEN {a2} >= {a3} THEN 1 ELSE 2 END AS prediction FROM {emb_sql(8)}")
+                     f"WHEN {a2} >= {a3} THEN 1 ELSE 2 END AS prediction FROM {emb_sql()}")
     return " UNION ALL ".join(parts)
 
 

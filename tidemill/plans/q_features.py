@@ -12,31 +12,29 @@ from tidemill.operators import encode as E
 from tidemill.operators.sampling import stratified_split
 from tidemill.operators.select import mutual_information, select_by_correlation
 from tidemill.plans.catalog import query
-from tidemill.plans.common import CUSTOMER_NULLS_SQL, customer_with_nulls, duck_h, emb, emb_sql, r6
+from tidemill.plans.common import EMB_COLS, CUSTOMER_NULLS_SQL, customer_with_nulls, duck_h, emb, emb_sql, r6
 from tidemill.sources.tables import read_table
 
-E4 = ["e1", "e2", "e3", "e4"]
-E8 = [f"e{i}" for i in range(1, 9)]
-E16 = [f"e{i}" for i in range(1, 17)]
+ES = EMB_COLS
 
 _SPLIT_SQL = f"""(SELECT *, CASE WHEN row_number() OVER (PARTITION BY y3 ORDER BY {duck_h('vec_id')}, vec_id)
-    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql(16)})"""
+    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql()})"""
 
 
-def _split(spark, sf, dims=16):
-    return stratified_split(emb(spark, sf, dims), "vec_id", "y3", 0.2)
+def _split(spark, sf):
+    return stratified_split(emb(spark, sf), "vec_id", "y3", 0.2)
 
 
 @query("t1_standardize", sql=f"""
-WITH t AS {_SPLIT_SQL}, s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in E4)}
+WITH t AS {_SPLIT_SQL}, s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in ES)}
                              FROM t WHERE split = 'train')
 SELECT vec_id, split, {', '.join(f'round(CASE WHEN s_{c} = 0 THEN 0 ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}'
-                                 for c in E4)} FROM t, s""")
+                                 for c in ES)} FROM t, s""")
 def t1_standardize(spark, sf):
-    d = _split(spark, sf).select("vec_id", "split", *E4)
-    stats = E.fit_standardizer(d.where(F.col("split") == "train"), E4)
+    d = _split(spark, sf).select("vec_id", "split", *ES)
+    stats = E.fit_standardizer(d.where(F.col("split") == "train"), ES)
     z = E.apply_standardizer(d, stats)
-    return z.select("vec_id", "split", *[r6(c).alias(c) for c in E4])
+    return z.select("vec_id", "split", *[r6(c).alias(c) for c in ES])
 
 
 @query("t2_label_encode", sql="""
@@ -59,32 +57,32 @@ def t3_first_seen_codes(spark, sf):
 
 @query("t4_pca_two_components")
 def t4_pca_two_components(spark, sf):
-    d = emb(spark, sf, 8)
-    fit = D.fit_pca(d, E8, 2)
+    d = emb(spark, sf)
+    fit = D.fit_pca(d, ES, 2)
     p = fit.transform(d, 2)
     return p.select("vec_id", r6(F.col("pca")[0]).alias("pc1"), r6(F.col("pca")[1]).alias("pc2"))
 
 
 @query("t5_pca_variance_share")
 def t5_pca_variance_share(spark, sf):
-    d = emb(spark, sf, 16)
-    fit = D.fit_pca(d, E16)
+    d = emb(spark, sf)
+    fit = D.fit_pca(d, ES)
     k = D.components_for_share(fit, 0.92)
     return D.explained_variance_rows(spark, fit, k)
 
 
 @query("t5_pca_reduced_rows")
 def t5_pca_reduced_rows(spark, sf):
-    d = emb(spark, sf, 16)
-    fit = D.fit_pca(d, E16)
+    d = emb(spark, sf)
+    fit = D.fit_pca(d, ES)
     k = D.components_for_share(fit, 0.95)
     return fit.transform(d, k).select("vec_id", "pca")
 
 
 @query("t6_pc1_importance")
 def t6_pc1_importance(spark, sf):
-    d = emb(spark, sf, 16)
-    fit = D.fit_pca(d, E16)
+    d = emb(spark, sf)
+    fit = D.fit_pca(d, ES)
     rows = D.first_component_importance(fit, 10)
     return spark.createDataFrame(rows, "feature string, abs_loading double")
 
@@ -93,7 +91,7 @@ def _mi_sql(cols, label, bins=10):
     probs = ", ".join(str(i / bins) for i in range(1, bins))
     l_sql = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, {label} AS y FROM t" for c in cols)
     return f"""
-WITH t AS {emb_sql(16)}, l AS ({l_sql}),
+WITH t AS {emb_sql()}, l AS ({l_sql}),
 q AS (SELECT feature, quantile_cont(v, [{probs}]) AS cuts FROM l GROUP BY feature),
 j AS (SELECT feature, len(list_filter(cuts, lambda c: c < v)) AS bin, y, count(*) AS n_by FROM l JOIN q USING (feature)
       GROUP BY ALL),
@@ -102,9 +100,9 @@ p AS (SELECT *, sum(n_by) OVER (PARTITION BY feature) AS n, sum(n_by) OVER (PART
 SELECT feature, round(sum(n_by / n * ln(n_by * n / (nb * ny))), 6) AS mutual_info FROM p GROUP BY feature"""
 
 
-@query("t7_mutual_info", sql=_mi_sql(E16, "y3"))
+@query("t7_mutual_info", sql=_mi_sql(ES, "y3"))
 def t7_mutual_info(spark, sf):
-    mi = mutual_information(emb(spark, sf, 16), E16, "y3", 10)
+    mi = mutual_information(emb(spark, sf), ES, "y3", 10)
     return mi.select("feature", r6("mutual_info").alias("mutual_info"))
 
 
@@ -112,8 +110,8 @@ _T8_TARGET = "3 * e1 - 2 * e2 + e3 * e3"
 
 
 @query("t8_corr_selection", sql=f"""
-WITH t AS (SELECT *, {_T8_TARGET} AS target FROM {emb_sql(16)}),
-c AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, corr({c}, target) AS corr FROM t" for c in E16)}),
+WITH t AS (SELECT *, {_T8_TARGET} AS target FROM {emb_sql()}),
+c AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, corr({c}, target) AS corr FROM t" for c in ES)}),
 k AS (SELECT count(*) AS n FROM c WHERE abs(corr) > 0.1)
 SELECT feature, round(corr, 6) AS corr, round(abs(corr), 6) AS abs_corr FROM c
 WHERE (SELECT n FROM k) >= 3 AND abs(corr) > 0.1
@@ -121,9 +119,9 @@ UNION ALL
 SELECT feature, round(corr, 6), round(abs(corr), 6) FROM (SELECT * FROM c ORDER BY abs(corr) DESC, feature LIMIT 10)
 WHERE (SELECT n FROM k) < 3""")
 def t8_corr_selection(spark, sf):
-    d = emb(spark, sf, 16)
+    d = emb(spark, sf)
     d = d.withColumn("target", 3 * F.col("e1") - 2 * F.col("e2") + F.col("e3") * F.col("e3"))
-    s = select_by_correlation(d, E16, "target")
+    s = select_by_correlation(d, ES, "target")
     return s.select("feature", r6("corr").alias("corr"), r6("abs_corr").alias("abs_corr"))
 
 
@@ -134,7 +132,7 @@ def t9_scale_reduce_fit(spark, sf):
     d = _split(spark, sf).withColumn("label", F.col("y3").cast("double"))
     n = d.where(F.col("split") == "train").count()
     pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=E16, outputCol="raw"),
+        VectorAssembler(inputCols=ES, outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
         PCA(k=6, inputCol="scaled", outputCol="features"),
         LogisticRegression(regParam=1.0 / n, standardization=False, maxIter=200),

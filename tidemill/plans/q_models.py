@@ -15,9 +15,9 @@ from tidemill.operators.bayes import fit_gaussian_nb, predict_gaussian_nb
 from tidemill.operators.knn import knn_classify
 from tidemill.operators.sampling import stratified_split
 from tidemill.plans.catalog import query
-from tidemill.plans.common import duck_h, emb, emb_sql, rk
+from tidemill.plans.common import EMB_COLS, duck_h, emb, emb_sql, rk
 
-E8 = [f"e{i}" for i in range(1, 9)]
+ES = EMB_COLS
 
 
 def reg_target():
@@ -26,17 +26,17 @@ def reg_target():
 REG_TARGET_SQL = "3 * e1 - 2 * e2 + e3 * e3"
 
 SPLIT_SQL = f"""(SELECT *, CASE WHEN row_number() OVER (PARTITION BY y3 ORDER BY {duck_h('vec_id')}, vec_id)
-    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql(8)})"""
+    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql()})"""
 
 
 def split_emb(spark, sf):
-    d = stratified_split(emb(spark, sf, 8), "vec_id", "y3", 0.2)
+    d = stratified_split(emb(spark, sf), "vec_id", "y3", 0.2)
     return d.withColumn("target", reg_target())
 
 
 def _xy(spark, sf, label="y3"):
     d = split_emb(spark, sf)
-    va = M.assembler(E8)
+    va = M.assembler(ES)
     return va.transform(d).withColumn("label", F.col(label).cast("double"))
 
 
@@ -47,9 +47,9 @@ def _train_test(spark, sf, label="y3"):
 
 @query("m1_least_squares", sql=f"""
 SELECT round(regr_intercept({REG_TARGET_SQL}, e1), 6) AS intercept, round(regr_slope({REG_TARGET_SQL}, e1), 6) AS slope
-FROM {emb_sql(8)}""")
+FROM {emb_sql()}""")
 def m1_least_squares(spark, sf):
-    d = M.assembler(["e1"]).transform(emb(spark, sf, 8).withColumn("label", reg_target()))
+    d = M.assembler(["e1"]).transform(emb(spark, sf).withColumn("label", reg_target()))
     model = M.least_squares().fit(d)
     return spark.range(1).select(rk(F.lit(model.intercept), 6).alias("intercept"),
                                  rk(F.lit(float(model.coefficients[0])), 6).alias("slope"))
@@ -63,26 +63,26 @@ def _coef_rows(spark, model, cols):
 @query("m1_least_squares_multi")
 def m1_least_squares_multi(spark, sf):
     tr, _ = _train_test(spark, sf, "target")
-    return _coef_rows(spark, M.least_squares().fit(tr), E8)
+    return _coef_rows(spark, M.least_squares().fit(tr), ES)
 
 
 @query("m2_ridge")
 def m2_ridge(spark, sf):
     tr, _ = _train_test(spark, sf, "target")
     st = tr.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
-    return _coef_rows(spark, M.ridge(1.0, st["s"], st["n"]).fit(tr), E8)
+    return _coef_rows(spark, M.ridge(1.0, st["s"], st["n"]).fit(tr), ES)
 
 
 @query("m3_lasso")
 def m3_lasso(spark, sf):
     tr, _ = _train_test(spark, sf, "target")
-    return _coef_rows(spark, M.lasso(0.001).fit(tr), E8)
+    return _coef_rows(spark, M.lasso(0.001).fit(tr), ES)
 
 
 @query("m4_knn", sql=f"""
 WITH t AS {SPLIT_SQL},
 tr AS (SELECT * FROM t WHERE split = 'train'), te AS (SELECT * FROM t WHERE split = 'test'),
-d AS (SELECT te.vec_id AS qid, tr.vec_id AS tid, tr.y3 AS y, sqrt({' + '.join(f'(te.{c} - tr.{c}) * (te.{c} - tr.{c})' for c in E8)}) AS dist
+d AS (SELECT te.vec_id AS qid, tr.vec_id AS tid, tr.y3 AS y, sqrt({' + '.join(f'(te.{c} - tr.{c}) * (te.{c} - tr.{c})' for c in ES)}) AS dist
       FROM te CROSS JOIN tr),
 nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS r FROM d) WHERE r <= 5),
 v AS (SELECT qid, y, count(*) AS votes FROM nn GROUP BY qid, y)
@@ -91,7 +91,7 @@ SELECT qid AS vec_id, CAST(y AS DOUBLE) AS prediction, votes / 5.0 AS vote_share
 def m4_knn(spark, sf):
     d = split_emb(spark, sf).cache()  # read by the block builders and their counts
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    return knn_classify(tr, te, E8, "y3", "vec_id", "vec_id", k=5)
+    return knn_classify(tr, te, ES, "y3", "vec_id", "vec_id", k=5)
 
 
 @query("m5_logistic")
@@ -102,21 +102,21 @@ def m5_logistic(spark, sf):
                                       vector_to_array("probability").alias("probability"))
 
 
-_NB_TERMS = " ".join(f"- 0.5 * ln(2 * pi() * v_{c}) - ({c} - m_{c}) * ({c} - m_{c}) / (2 * v_{c})" for c in E8)
+_NB_TERMS = " ".join(f"- 0.5 * ln(2 * pi() * v_{c}) - ({c} - m_{c}) * ({c} - m_{c}) / (2 * v_{c})" for c in ES)
 
 
 @query("m10_gaussian_nb", sql=f"""
 WITH t AS {SPLIT_SQL}, tr AS (SELECT * FROM t WHERE split = 'train'),
-ov AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in E8)}) AS eps FROM tr),
+ov AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in ES)}) AS eps FROM tr),
 cs AS (SELECT y3 AS c, ln(count(*) / (SELECT count(*) FROM tr)) AS lp,
-         {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) + any_value(eps) AS v_{c}' for c in E8)}
+         {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) + any_value(eps) AS v_{c}' for c in ES)}
        FROM tr, ov GROUP BY y3),
 sc AS (SELECT vec_id, c, lp {_NB_TERMS} AS s FROM t CROSS JOIN cs WHERE split = 'test')
 SELECT vec_id, c AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) AS r FROM sc)
 WHERE r = 1""")
 def m10_gaussian_nb(spark, sf):
     d = split_emb(spark, sf)
-    model = fit_gaussian_nb(d.where(F.col("split") == "train"), E8, "y3")
+    model = fit_gaussian_nb(d.where(F.col("split") == "train"), ES, "y3")
     return predict_gaussian_nb(d.where(F.col("split") == "test"), model).select("vec_id", "prediction")
 
 
@@ -127,7 +127,7 @@ def _fit_predict(spark, sf, est, label="y3"):
 
 @query("m6_decision_tree")
 def m6_decision_tree(spark, sf):
-    p = _fit_predict(spark, sf, M.decision_tree(max_depth=10))
+    p = _fit_predict(spark, sf, M.decision_tree())
     return p.select("vec_id", "label", "prediction")
 
 
@@ -136,27 +136,27 @@ def m7_random_forest(spark, sf):
     d = _xy(spark, sf)
     from tidemill.operators.sampling import balanced_weights
 
-    d = balanced_weights(d, "label")
+    d = balanced_weights(d, "label").cache()
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    model = M.random_forest(num_trees=60, max_depth=10, weight_col="weight").fit(tr)
+    model = M.random_forest(num_trees=400, max_depth=30, weight_col="weight").fit(tr)
     return model.transform(te).select("vec_id", "label", "prediction")
 
 
 @query("m8_random_forest_regressor")
 def m8_random_forest_regressor(spark, sf):
-    p = _fit_predict(spark, sf, M.random_forest_regressor(num_trees=50, max_depth=8), "target")
+    p = _fit_predict(spark, sf, M.random_forest_regressor(num_trees=200, max_depth=30), "target")
     return p.select("vec_id", "label", "prediction")
 
 
 @query("m9_gradient_boosting")
 def m9_gradient_boosting(spark, sf):
-    p = _fit_predict(spark, sf, M.gradient_boosting(max_iter=40, depth=3), "ring")
+    p = _fit_predict(spark, sf, M.gradient_boosting(max_iter=100, depth=3), "ring")
     return p.select("vec_id", "label", "prediction", vector_to_array("probability")[1].alias("score"))
 
 
 def _rff(spark, sf, label):
     tr, te = _train_test(spark, sf, label)
-    fmap = M.FourierMap(d=len(E8), n_components=256, gamma=M.gamma_scale(tr, E8), seed=42)
+    fmap = M.FourierMap(d=len(ES), n_components=256, gamma=M.gamma_scale(tr, ES), seed=42)
     # the Python map runs once per row; the iterative fit then reads the cached features
     return fmap.transform(tr).cache(), fmap.transform(te), tr.count()
 
@@ -179,22 +179,22 @@ def m12_rbf_svr(spark, sf):
 def m13_extra_trees(spark, sf):
     d = split_emb(spark, sf).withColumn("label", F.col("ring").cast("double"))
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    models = M.extra_trees_proxy(tr, E8, "label", groups=4, trees_per_group=15, cuts=7)
+    models = M.extra_trees_proxy(tr, ES, "label", groups=8, trees_per_group=100, cuts=31)
     return M.extra_trees_predict(models, te, ["vec_id", "label"])
 
 
 @query("m14_feature_importance")
 def m14_feature_importance(spark, sf):
     tr, _ = _train_test(spark, sf, "ring")
-    model = M.random_forest(num_trees=40, max_depth=8).fit(tr)
-    return spark.createDataFrame(M.importance_table(model, E8, 10), "feature string, importance double")
+    model = M.random_forest(num_trees=400, max_depth=30).fit(tr)
+    return spark.createDataFrame(M.importance_table(model, ES, 10), "feature string, importance double")
 
 
 @query("m15_coefficient_table")
 def m15_coefficient_table(spark, sf):
     tr, _ = _train_test(spark, sf, "target")
     model = M.least_squares().fit(tr)
-    rows = M.coefficient_table(model, E8)
+    rows = M.coefficient_table(model, ES)
     return spark.createDataFrame(rows, "feature string, coefficient double").withColumn(
         "abs_coefficient", F.abs("coefficient"))
 

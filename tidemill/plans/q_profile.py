@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import profile
 from tidemill.operators.evaluate import best_by
 from tidemill.plans.catalog import query
-from tidemill.plans.common import CUSTOMER_NULLS_SQL, DAILY_SQL, customer_with_nulls, daily_orders, emb, emb_sql, r6, rk
+from tidemill.plans.common import EMB_COLS, CUSTOMER_NULLS_SQL, DAILY_SQL, customer_with_nulls, daily_orders, emb, emb_sql, r6, rk
 from tidemill.sources.tables import read_table
 
 LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -102,8 +102,7 @@ def a7_skew_kurt(spark, sf):
     return s.select("feature", r6("skewness").alias("skewness"), r6("kurtosis").alias("kurtosis"))
 
 
-E8 = [f"e{i}" for i in range(1, 9)]
-E16 = [f"e{i}" for i in range(1, 17)]
+ES = EMB_COLS
 
 
 def _pairs_sql(cols, cond):
@@ -116,10 +115,10 @@ def _pairs_sql(cols, cond):
 
 
 @query("a8_corr_matrix", sql=f"""
-WITH t AS {emb_sql(8)}
-SELECT feature_1, feature_2, round(corr, 6) AS corr FROM ({_pairs_sql(E8, lambda i, j: True)})""")
+WITH t AS {emb_sql()}
+SELECT feature_1, feature_2, round(corr, 6) AS corr FROM ({_pairs_sql(ES, lambda i, j: True)})""")
 def a8_corr_matrix(spark, sf):
-    c = profile.corr_long(emb(spark, sf, 8), E8)
+    c = profile.corr_long(emb(spark, sf), ES)
     return c.select("feature_1", "feature_2", r6("corr").alias("corr"))
 
 
@@ -134,27 +133,28 @@ def a9_corr_target(spark, sf):
 
 
 @query("a10_top_abs_pairs", sql=f"""
-WITH t AS {emb_sql(16)}
-SELECT feature_1, feature_2, round(abs(corr), 6) AS abs_corr FROM ({_pairs_sql(E16, lambda i, j: i < j)})
+WITH t AS {emb_sql()}
+SELECT feature_1, feature_2, round(abs(corr), 6) AS abs_corr FROM ({_pairs_sql(ES, lambda i, j: i < j)})
 ORDER BY abs(corr) DESC, feature_1, feature_2 LIMIT 50""")
 def a10_top_abs_pairs(spark, sf):
-    t = profile.top_abs_pairs(emb(spark, sf, 16), E16, 50)
+    t = profile.top_abs_pairs(emb(spark, sf), ES, 50)
     return t.select("feature_1", "feature_2", r6("abs_corr").alias("abs_corr"))
 
 
-GROUPS = {"first_half": ["e1", "e2", "e3", "e4"], "second_half": ["e5", "e6", "e7", "e8"]}
+GROUPS = {"first_half": ES[:32], "second_half": ES[32:]}
+_LIST = ", ".join(ES)
 
 
 @query("a11_class_feature_stats", sql=f"""
-WITH l AS (UNPIVOT (SELECT ring, e1, e2, e3, e4, e5, e6, e7, e8 FROM {emb_sql(8)})
-           ON e1, e2, e3, e4, e5, e6, e7, e8 INTO NAME feature VALUE v)
-SELECT CASE WHEN feature IN ('e1', 'e2', 'e3', 'e4') THEN 'first_half' ELSE 'second_half' END AS "group",
+WITH l AS (UNPIVOT (SELECT ring, {_LIST} FROM {emb_sql()})
+           ON {_LIST} INTO NAME feature VALUE v)
+SELECT CASE WHEN CAST(substr(feature, 2) AS INTEGER) <= 32 THEN 'first_half' ELSE 'second_half' END AS "group",
   feature, round(avg(v) FILTER (WHERE ring = 0), 6) AS neg_mean, round(avg(v) FILTER (WHERE ring = 1), 6) AS pos_mean,
   round(abs(avg(v) FILTER (WHERE ring = 1) - avg(v) FILTER (WHERE ring = 0)), 6) AS mean_difference_abs,
   round(stddev_samp(v) FILTER (WHERE ring = 0), 6) AS neg_std, round(stddev_samp(v) FILTER (WHERE ring = 1), 6) AS pos_std
 FROM l GROUP BY feature""")
 def a11_class_feature_stats(spark, sf):
-    s = profile.class_feature_stats(emb(spark, sf, 8), GROUPS, "ring")
+    s = profile.class_feature_stats(emb(spark, sf), GROUPS, "ring")
     return s.select("group", "feature", *[r6(c).alias(c) for c in
                                           ("neg_mean", "pos_mean", "mean_difference_abs", "neg_std", "pos_std")])
 
@@ -172,7 +172,7 @@ def a13_histogram(spark, sf):
 
 
 @query("a14_box_stats", sql=f"""
-WITH l AS (UNPIVOT (SELECT ring, e1, e2, e3, e4 FROM {emb_sql(8)}) ON e1, e2, e3, e4 INTO NAME feature VALUE v),
+WITH l AS (UNPIVOT (SELECT ring, {_LIST} FROM {emb_sql()}) ON {_LIST} INTO NAME feature VALUE v),
 q AS (SELECT feature, ring, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
         quantile_cont(v, 0.75) AS q3 FROM l GROUP BY ALL)
 SELECT feature, ring, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
@@ -180,7 +180,7 @@ SELECT feature, ring, round(q1, 6) AS q1, round(median, 6) AS median, round(q3,
   round(max(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high
 FROM l JOIN q USING (feature, ring) GROUP BY feature, ring, q1, median, q3""")
 def a14_box_stats(spark, sf):
-    b = profile.box_stats(emb(spark, sf, 8), ["e1", "e2", "e3", "e4"], "ring")
+    b = profile.box_stats(emb(spark, sf), ES, "ring")
     return b.select("feature", "ring", *[r6(c).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")])
 
 

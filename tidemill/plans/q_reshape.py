@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from tidemill.operators.evaluate import comparison_table, metrics_long
 from tidemill.operators.profile import corr_long
 from tidemill.plans.catalog import query
-from tidemill.plans.common import emb, emb_sql, r6
+from tidemill.plans.common import EMB_COLS, emb, emb_sql, r6
 from tidemill.sources.tables import read_table
 
 
 @query("u2_melt", sql=f"""
-SELECT vec_id, feature, v AS value FROM (UNPIVOT (SELECT vec_id, e1, e2, e3, e4 FROM {emb_sql(4)})
-  ON e1, e2, e3, e4 INTO NAME feature VALUE v)""")
+SELECT vec_id, feature, v AS value FROM (UNPIVOT (SELECT vec_id, {", ".join(EMB_COLS)} FROM {emb_sql()})
+  ON {", ".join(EMB_COLS)} INTO NAME feature VALUE v)""")
 def u2_melt(spark, sf):
-    e = emb(spark, sf, 4).select("vec_id", "e1", "e2", "e3", "e4")
-    return e.unpivot(["vec_id"], ["e1", "e2", "e3", "e4"], "feature", "value")
+    e = emb(spark, sf).select("vec_id", *EMB_COLS)
+    return e.unpivot(["vec_id"], EMB_COLS, "feature", "value")
 
 
 _LCOLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -10,7 +10,7 @@ from tidemill.operators.profile import split_summary
 from tidemill.operators.windows import chronological_split
 from tidemill.sources.files import union_splits
 from tidemill.plans.catalog import query
-from tidemill.plans.common import DAILY_SQL, daily_orders, duck_h, duck_u, emb, emb_sql, r6
+from tidemill.plans.common import DAILY_SQL, EMB_COLS, daily_orders, duck_h, duck_u, emb, emb_sql, r6
 from tidemill.sources.tables import read_table
 
 
@@ -48,11 +48,11 @@ def l4_random_split(spark, sf):
 
 
 _STRAT_SQL = f"""(SELECT *, CASE WHEN row_number() OVER (PARTITION BY y3 ORDER BY {duck_h('vec_id')}, vec_id)
-    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql(8)})"""
+    <= round(count(*) OVER (PARTITION BY y3) * 0.2) THEN 'test' ELSE 'train' END AS split FROM {emb_sql()})"""
 
 
 def _stratified(spark, sf):
-    return S.stratified_split(emb(spark, sf, 8), "vec_id", "y3", 0.2)
+    return S.stratified_split(emb(spark, sf), "vec_id", "y3", 0.2)
 
 
 @query("l5_stratified_split", sql=f"SELECT vec_id, y3, split FROM {_STRAT_SQL}")
@@ -61,9 +61,10 @@ def l5_stratified_split(spark, sf):
 
 
 @query("a12_split_summary", sql=f"""
-SELECT split, count(*) AS rows, CAST(64 AS BIGINT) AS features FROM {_STRAT_SQL} GROUP BY split""")
+SELECT split, count(*) AS rows, (SELECT max(len(embedding)) FROM embeddings) AS features FROM {_STRAT_SQL} GROUP BY split""")
 def a12_split_summary(spark, sf):
-    return split_summary(_stratified(spark, sf), "split", 64)
+    d = _stratified(spark, sf)
+    return split_summary(d, "split", sum(c in EMB_COLS for c in d.columns))
 
 
 @query("l6_chronological_split", sql=f"""
@@ -72,7 +73,7 @@ SELECT o_orderpriority, order_day, CASE WHEN row_number() OVER (PARTITION BY o_o
 FROM {DAILY_SQL}""")
 def l6_chronological_split(spark, sf):
     d = daily_orders(spark, sf).select("o_orderpriority", "order_day")
-    return chronological_split(d, "o_orderpriority", "order_day", 0.8)
+    return chronological_split(d, "o_orderpriority", "order_day", 0.8, bounded_series=True)
 
 
 @query("l6_chronological_split_global", sql="""

@@ -26,7 +26,7 @@ from tidemill.sources.tables import read_table
 
 def window_table(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "embeddings").select("vec_id", "embedding")
-    target = emb(spark, sf, 8).select("vec_id", F.col("y3").alias("gesture"))
+    target = emb(spark, sf).select("vec_id", F.col("y3").alias("gesture"))
     rec = stratified_split(e.join(target, "vec_id"), "vec_id", "gesture", 0.2)   # split recordings first
     sig = rec.select("vec_id", "gesture", "split", reshape_channels(F.col("embedding"), 1).alias("signal"))
     w = window_features(sig, "signal", 32, 8, id_cols=["vec_id", "gesture", "split"])
@@ -38,8 +38,8 @@ def model_scores(spark: SparkSession, sf: str) -> DataFrame:
     tr = data.where(F.col("split") == "train")
     te = data.where(F.col("split") == "test")
     n = tr.count()
-    ests = {"logistic": M.logistic(1.0, n), "decision_tree": M.decision_tree(max_depth=10),
-            "random_forest": M.random_forest(num_trees=60, max_depth=10), "naive_bayes": M.gaussian_nb()}
+    ests = {"logistic": M.logistic(1.0, n), "decision_tree": M.decision_tree(),
+            "random_forest": M.random_forest(num_trees=300, max_depth=30), "naive_bayes": M.gaussian_nb()}
     outs = []
     for name, est in ests.items():
         p = est.fit(tr).transform(te)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +35,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only if unset.
+    """Return the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...) and is
-    used as given. Only local runs (tests, bench) fall back to a fresh scratch folder.
-    """
+    On a cluster it must be set to a folder that all executors share (HDFS, S3, ...): without it this
+    raises. Only a local master, whose executors share the machine, gets a scratch folder."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tidemill-ckpt-")
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; master {master} needs a folder that all executors share")
+        d = os.path.join("/tmp", "tidemill-checkpoints", spark.sparkContext.applicationId)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - some deployments refuse runtime core confs
