@@ -72,7 +72,7 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from tidemill.plans import (  # noqa: F401
         q_clean, q_profile, q_windows, q_sampling, q_reshape, q_scalar, q_features,
-        q_models, q_evaluate, q_cluster, q_flows, q_nulls,
+        q_models, q_evaluate, q_cluster, q_flows, q_nulls, q_certificates,
     )
 
 

@@ -62,13 +62,20 @@ def k3_silhouette_exact(spark, sf):
     return s.select(r6("silhouette").alias("silhouette"))
 
 
-@query("k3_silhouette_squared")
+@query("k3_silhouette_squared", sql=f"""
+WITH a AS {_assign_sql(3)},
+d AS (SELECT x.vec_id, x.cluster AS own, y.cluster AS cl,
+        {' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in ES)} AS dist FROM a x CROSS JOIN a y),
+pc AS (SELECT vec_id, own, cl, sum(dist) AS sd, count(*) AS cnt FROM d GROUP BY ALL),
+s AS (SELECT vec_id, max(cnt) FILTER (WHERE cl = own) AS n_own, max(sd / (cnt - 1)) FILTER (WHERE cl = own) AS a,
+        min(sd / cnt) FILTER (WHERE cl <> own) AS b FROM pc GROUP BY vec_id)
+SELECT round(avg(CASE WHEN n_own <= 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_squared FROM s""")
 def k3_silhouette_squared(spark, sf):
     a = _assigned(spark, sf)
     from pyspark.ml.feature import VectorAssembler
 
     v = VectorAssembler(inputCols=ES, outputCol="features").transform(a)
-    return spark.range(1).select(F.lit(K.silhouette_squared(v, "features", "cluster")).alias("silhouette_squared"))
+    return spark.range(1).select(r6(F.lit(K.silhouette_squared(v, "features", "cluster"))).alias("silhouette_squared"))
 
 
 @query("k4_choose_k", sql=f"""
