@@ -60,7 +60,7 @@ def test_extra_trees_proxy_learns_ring(ring):
 def test_rows_only_queries_return_rows(spark):
     sql = E.oracle_sql()
     for name in ["m5_logistic", "t4_pca_two_components", "t6_pc1_importance", "m15_coefficient_table",
-                 "flow_forecast_metrics", "k3_silhouette_squared"]:
+                 "flow_forecast_metrics"]:
         assert name not in sql
         assert E.queries()[name](spark, SF_MID).count() > 0
 
@@ -68,10 +68,12 @@ def test_rows_only_queries_return_rows(spark):
 def test_flow_outputs_are_well_formed(spark):
     q = E.queries()
     suite = q["e14_model_suite"](spark, SF_MID).collect()
-    assert {(r["model"], r["group"], r["split"]) for r in suite} == {
-        (m, g, s) for m in ("logistic", "random_forest", "gradient_boosting")
-        for g in ("first_half", "second_half", "all") for s in ("train", "val", "test")}
-    assert all(0 <= r[c] <= 1 for r in suite for c in ("accuracy", "precision", "recall", "f1"))
+    candidates = [(m, g) for m in ("logistic", "random_forest", "gradient_boosting") for g in ("first_half", "second_half", "all")]
+    candidates += [("rbf_svc", "all"), ("knn", "all"), ("random_forest", "mi_20"), ("random_forest", "pca_95")]
+    assert {(r["model"], r["group"], r["split"]) for r in suite} == {(m, g, s) for m, g in candidates for s in ("train", "val", "test")}
+    assert all(0 <= r[c] <= 1 for r in suite for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))
+    auc = {(r["model"], r["group"]): r["roc_auc"] for r in suite if r["split"] == "train"}
+    assert auc["random_forest", "all"] > 0.95 and auc["gradient_boosting", "all"] > 0.95
     report = q["e15_validation_choice"](spark, SF_MID).collect()
     assert [r["row"] for r in report][-3:] == ["accuracy", "macro avg", "weighted avg"]
     ks = q["k8_compare_k"](spark, SF_MID).collect()
@@ -85,3 +87,20 @@ def test_flow_outputs_are_well_formed(spark):
     assert abs(sum(r["importance"] for r in imp) - 1) < 1e-9 or len(imp) == 10
     scores = q["m16_score_signal"](spark, SF_MID).agg(F.min("score"), F.max("score")).first()
     assert 0 <= scores[0] <= scores[1] <= 1
+
+
+def test_regressors_beat_the_mean(spark):
+    q = E.queries()
+    for name in ("m8_random_forest_regressor", "m12_rbf_svr"):
+        p = q[name](spark, SF_MID)
+        r = p.agg(F.avg((F.col("label") - F.col("prediction")) ** 2).alias("mse"), F.var_pop("label").alias("var"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                  F.min("prediction").alias("plo"), F.max("prediction").alias("phi")).first()
+        assert r["mse"] < 0.8 * r["var"], name
+        if name.startswith("m8"):  # a forest averages labels it has seen
+            assert r["plo"] >= r["lo"] - 0.2 and r["phi"] <= r["hi"] + 0.2
+
+
+def test_interpretation_reports_the_fitted_clusters(spark):
+    (r,) = E.queries()["k10_interpretation"](spark, SF_MID).collect()
+    assert r["k"] == 3 and r["matches_true_k"] == (r["true_k"] == r["k"])
+    assert -1 <= r["silhouette"] <= 1 and r["davies_bouldin"] > 0 and r["calinski_harabasz"] > 0

@@ -120,11 +120,6 @@ def oversample_target(df: DataFrame, label: str, minority, target: str = "max_cl
     return int(row["mx"] if target == "max_class" else row["rest"])
 
 
-def shuffle_rows(df: DataFrame, key, seed: int = 42) -> DataFrame:
-    """L7's shuffle: a seeded random order."""
-    return df.orderBy(hash_hex(key, seed))
-
-
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_c) as a weight column. The class
     count table has one row per class (bounded) and is broadcast."""

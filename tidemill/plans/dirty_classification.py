@@ -43,7 +43,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     data = M.assembler(FEATURES).transform(z)
     tr = data.where(F.col("split") == "train")
     n = tr.count()
-    ests = {"logistic": M.logistic(1.0, n), "random_forest": M.random_forest(num_trees=400, max_depth=30),
+    ests = {"logistic": M.logistic(1.0, n), "random_forest": M.random_forest(num_trees=100, max_depth=30),
             "gradient_boosting": M.gradient_boosting(max_iter=100, depth=3)}
     outs = []
     for name, est in ests.items():

@@ -72,7 +72,7 @@ def e5_confusion_wide(spark, sf):
     return w.select("label", *[F.col(c).cast("bigint").alias(c) for c in w.columns if c != "label"])
 
 
-@query("e6_classification_report", sql=f"""
+E6_SQL = f"""
 WITH {_PER_CLASS_SQL}, n AS (SELECT sum(support) AS n, sum(tp) AS hits FROM m)
 SELECT CAST(c AS VARCHAR) AS "row", round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
   CAST(support AS BIGINT) AS support FROM m
@@ -80,7 +80,10 @@ UNION ALL SELECT 'accuracy', round(hits / n, 6), round(hits / n, 6), round(hits
 UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
   CAST(sum(support) AS BIGINT) FROM m
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
-  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM m""")
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM m"""
+
+
+@query("e6_classification_report", sql=E6_SQL)
 def e6_classification_report(spark, sf):
     r = EV.classification_report(multiclass_preds(spark, sf))
     return r.select("row", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support")

@@ -39,7 +39,7 @@ def model_scores(spark: SparkSession, sf: str) -> DataFrame:
     te = data.where(F.col("split") == "test")
     n = tr.count()
     ests = {"logistic": M.logistic(1.0, n), "decision_tree": M.decision_tree(),
-            "random_forest": M.random_forest(num_trees=300, max_depth=30), "naive_bayes": M.gaussian_nb()}
+            "random_forest": M.random_forest(num_trees=100, max_depth=30), "naive_bayes": M.gaussian_nb()}
     outs = []
     for name, est in ests.items():
         p = est.fit(tr).transform(te)
