@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm._shared import map_texts, with_row_id
+from tidemill.llm._shared import map_texts, materialize, with_row_id
 from tidemill.llm._text import KeyTable, Words, mix, run_hashes, split_words, worker_cache
 
 FEATURE_BITS = 17
@@ -200,6 +200,7 @@ def sample_lines(labelled: DataFrame, id_col: str, text_col: str, label_col: str
     rows = rows.where(F.col("_label").isNotNull() & F.col("_text").isNotNull() & (F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) != 2))
     rank = F.row_number().over(Window.partitionBy("_label").orderBy(F.xxhash64("_id", "_label"), "_rid"))
     chosen = rows.select("_rid", "_label", "_id").withColumn("_rank", rank).where(F.col("_rank") <= train_docs).select("_rid")
+    chosen = materialize(chosen, "train-rows")  # stored, its size is known: Spark then need not shuffle the texts to meet it
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
