@@ -87,7 +87,7 @@ def brute_lines(spark, rows, min_words=5):
 
     for i, a in enumerate(norms):
         for b in norms[:i]:
-            if sum(x != y for x, y in zip(sims[a], sims[b])) <= 3 and 1 - levenshtein(a, b) / max(len(a), len(b)) >= 0.8:
+            if sum(x != y for x, y in zip(sims[a], sims[b])) <= 3 and 1 - levenshtein(a.split(), b.split()) / max(len(a.split()), len(b.split())) >= 0.8:
                 parent[root(a)] = root(b)
     best = {}
     for o in occ:
@@ -208,8 +208,8 @@ def test_samples_agree_as_often_as_the_weighted_jaccard_similarity():
     a, b = rng.uniform(1, 8, 300), rng.uniform(1, 8, 300)
     want = wm.similarity(keys, a, keys, b)
     n = 4000
-    _, x = wm.band_keys(np.zeros(300, int), keys, a, 1, n, 1)
-    _, y = wm.band_keys(np.zeros(300, int), keys, b, 1, n, 1)
+    _, x, _ = wm.band_keys(np.zeros(300, int), keys, a, 1, n, 1)
+    _, y, _ = wm.band_keys(np.zeros(300, int), keys, b, 1, n, 1)
     assert (x == y).mean() == pytest.approx(want, abs=0.03)
 
 
