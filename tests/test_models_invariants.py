@@ -89,15 +89,21 @@ def test_flow_outputs_are_well_formed(spark):
     assert 0 <= scores[0] <= scores[1] <= 1
 
 
-def test_regressors_beat_the_mean(spark):
-    q = E.queries()
-    for name in ("m8_random_forest_regressor", "m12_rbf_svr"):
-        p = q[name](spark, SF_MID)
-        r = p.agg(F.avg((F.col("label") - F.col("prediction")) ** 2).alias("mse"), F.var_pop("label").alias("var"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-                  F.min("prediction").alias("plo"), F.max("prediction").alias("phi")).first()
-        assert r["mse"] < 0.8 * r["var"], name
-        if name.startswith("m8"):  # a forest averages labels it has seen
-            assert r["plo"] >= r["lo"] - 0.2 and r["phi"] <= r["hi"] + 0.2
+def test_forest_regressor_beats_the_mean(spark):
+    p = E.queries()["m8_random_forest_regressor"](spark, SF_MID)
+    r = p.agg(F.avg((F.col("label") - F.col("prediction")) ** 2).alias("mse"), F.var_pop("label").alias("var"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+              F.min("prediction").alias("plo"), F.max("prediction").alias("phi")).first()
+    assert r["mse"] < 0.3 * r["var"]
+    assert r["plo"] >= r["lo"] - 0.2 and r["phi"] <= r["hi"] + 0.2  # a forest averages labels it has seen
+
+
+def test_kernel_regressor_learns_on_few_features(spark):
+    d = M.assembler(E8[:3]).transform(emb(spark, SF_MID, 8)).withColumn("label", 3 * F.col("e1") - 2 * F.col("e2") + F.col("e3") * F.col("e3"))
+    fm = M.FourierMap(d=3, n_components=128, gamma=M.gamma_scale(d, E8[:3]), seed=42)
+    mapped = fm.transform(d).cache()
+    p = M.rbf_svr(n=mapped.count()).fit(mapped).transform(mapped)
+    r = p.agg(F.avg((F.col("label") - F.col("prediction")) ** 2).alias("mse"), F.var_pop("label").alias("var")).first()
+    assert r["mse"] < 0.1 * r["var"]
 
 
 def test_interpretation_reports_the_fitted_clusters(spark):
