@@ -69,7 +69,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Characters that a Python worker handles at a time.
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 2_000_000
 
 
 def map_texts(df: DataFrame, keep: dict[str, Column], text: Column, new: str,

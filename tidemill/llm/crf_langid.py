@@ -28,7 +28,7 @@ EPOCHS = 4
 #: Words of one chain: longer lines are cut.
 CHAIN_WORDS = 256
 #: Words whose scores a worker remembers.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 300_000
 UNKNOWN = "und"
 
 def distinct_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,8 +236,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     def work():
         labels, weights, step, start = shared.value
-        cache, name = worker_cache(), ("field", zlib.crc32(weights.tobytes()), tuple(labels))
-        model = cache[name] if name in cache else cache.setdefault(name, Field(labels, weights, step, start))
+        cache, name = worker_cache(), (zlib.crc32(weights.tobytes()), tuple(labels))
+        if cache.get("field", (None,))[0] != name:  # one field at a time stays in the worker
+            cache["field"] = name, Field(labels, weights, step, start)
+        model = cache["field"][1]
 
         def run(texts: list[str]):
             found = model.predict(texts)

@@ -25,7 +25,7 @@ END_ID = 2
 GROUP_PIECES = 20_000
 #: Word encodings that a worker remembers, and characters that it cuts into words at a time.
 PART_CHARS = 4_000_000
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 800_000
 
 
 class WordEncoder:
