@@ -121,6 +121,44 @@ def test_fuzzy_lines_match_brute_force(spark):
     assert any(d for *_, d in want)
 
 
+def edited_lines():
+    """Lines and copies with as many edits as the similarity allows, or one more."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(120):
+        n = int(rng.integers(5, 45))
+        base = [f"w{k}{'x' * int(rng.integers(6))}{rng.integers(12)}" for _ in range(n)]
+        rows.append(base)
+        for _ in range(3):
+            copy = list(base)
+            for _ in range(n // 5 + int(rng.integers(-1, 2))):
+                i = int(rng.integers(len(copy)))
+                copy[i:i + int(rng.integers(2))] = [f"e{rng.integers(1 << 30)}"] * int(rng.integers(2))
+            rows.append(copy)
+    return [" ".join(r) for r in rows if len(r) >= 5]
+
+
+def test_fuzzy_lines_find_every_link_of_edit_similarity_alone(spark):
+    lines = edited_lines()
+    parent = list(range(len(lines)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    links = 0
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines[:i]):
+            longer = max(len(a.split()), len(b.split()))
+            if abs(len(a.split()) - len(b.split())) * 5 <= longer and levenshtein(a.split(), b.split()) * 5 <= longer:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+                links += 1
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), max_bits=None).collect()
+    assert links > 100
+    assert {r["doc_id"] for r in got if r["lines_dropped"] == 0} == {i for i in range(len(lines)) if root(i) == i}
+
+
 def test_fuzzy_lines_empty_table(spark):
     assert fuzzy_lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
