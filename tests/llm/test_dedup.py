@@ -159,6 +159,15 @@ def test_fuzzy_lines_find_every_link_of_edit_similarity_alone(spark):
     assert {r["doc_id"] for r in got if r["lines_dropped"] == 0} == {i for i in range(len(lines)) if root(i) == i}
 
 
+def test_fuzzy_lines_of_few_words_and_of_scripts_without_spaces(spark):
+    chinese, thai = "本站所有内容均由用户自行上传发布", "สงวนลขสทธตามกฎหมายหามคดลอก"
+    rows = [(1, f"Share on Facebook\n{chinese}\n\n- -"), (2, f"share on facebook!\n{chinese.replace('用', '客')}\n\n- -"),
+            (3, f"Share on Twitter\n{thai}\n二〇二四"), (4, f"{thai}\n二〇二四\n二〇二五"), (5, f"{chinese[::-1]}\n{chinese}")]
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_bits=None, short_lines=True)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {
+        1: rows[0][1], 2: "\n- -", 3: rows[2][1], 4: "二〇二五", 5: chinese[::-1]}
+
+
 def test_fuzzy_lines_empty_table(spark):
     assert fuzzy_lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

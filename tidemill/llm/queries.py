@@ -67,7 +67,7 @@ FROM e GROUP BY conv_id
 
 
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_bits=None)
+    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_bits=None, short_lines=True)
     return out.select("doc_id", "lines_total", "lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
