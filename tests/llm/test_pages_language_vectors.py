@@ -163,5 +163,19 @@ def test_links_match_brute_force_however_work_is_cut(spark, task, cell):
     assert set(heads) >= {r["component_id"] for r in out if r["component_id"] is not None}
 
 
+@pytest.mark.parametrize("spread", [0.001, 1.0])
+def test_vector_tasks_stay_bounded_and_meet_every_pair(spark, tmp_path, spread):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal(16) + spread * rng.standard_normal((1200, 16))
+    reps = spark.createDataFrame([(1, [float(x) for x in v], i, 1) for i, v in enumerate(vectors)], "_label int, _v array<double>, _rep long, _n long")
+    groups = {}
+    for r in sj.deal_pairs(reps, 0.14, 1e-9, 8, 50, 200).drop("_raw").collect():
+        groups.setdefault(r["_group"], ([], []))[r["_role"]].append(r["_rep"])
+    assert max(len(g) for pair in groups.values() for g in pair) <= 100
+    near = {(a, b) for ask, see in groups.values() for a in ask for b in see}
+    unit = sj.unit(vectors)
+    assert {(int(a), int(b)) for a, b in zip(*np.nonzero(unit @ unit.T >= 0.93))} <= near
+
+
 def test_vectors_empty_table(spark):
     assert sj.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0

@@ -26,6 +26,8 @@ BLOCK_DIMS = 8
 TASK_VECTORS = 2048
 #: Vectors per label and block beyond which the block's space is cut once more.
 CELL_VECTORS = 8192
+#: Pairs whose block distances a task holds at a time.
+SLICE_PAIRS = 1 << 22
 
 
 def rotation(dims: int, seed: int = 7) -> np.ndarray:
@@ -81,6 +83,47 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+def deal_pairs(reps: DataFrame, threshold: float, slack: float, block_dims: int, task_vectors: int, cell_vectors: int) -> DataFrame:
+    """``_group, _role, _rep, _n, _b, _raw``: the rows of ``reps`` (``_label, _v, _rep, _n``) once per block, cell and run
+    as one who asks (role 0) and as one who is looked at (role 1). Runs follow from counts of both roles in the
+    cell, so that a group holds about ``task_vectors`` rows of a role however many lie in the cell."""
+    sizes = reps.groupBy("_label", F.size("_v").alias("_dims")).agg(F.count(F.lit(1)).alias("_rows"))
+    dealt = reps.withColumn("_dims", F.size("_v")).join(sizes, ["_label", "_dims"]).select("_label", "_v", "_rep", "_n", "_dims", "_rows")
+
+    def place(whole: bool):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """A row per block and cell that a vector lies in or looks into; counts of them unless ``whole``."""
+            for frame in frames:
+                for (label, dims, rows), part in frame.groupby(["_label", "_dims", "_rows"], sort=False):
+                    raw = np.array(part["_v"].tolist(), dtype=float)
+                    turned = unit(raw) @ rotation(int(dims))
+                    payload = [r.tobytes() for r in raw] if whole else []
+                    rep, n = part["_rep"].to_numpy(), part["_n"].to_numpy()
+                    splits = max(0, int(rows) // cell_vectors).bit_length()
+                    for b, s in enumerate(block_slices(int(dims), block_dims)):
+                        width = s.stop - s.start
+                        radius = math.sqrt(threshold * width / dims) + slack
+                        row, cell, home = cells_within(turned[:, s], cell_cuts(width, int(dims), splits), radius)
+                        if whole:
+                            yield pd.DataFrame({"_cell": [f"{label}|{dims}|{b}|{c}" for c in cell], "_home": home, "_rep": rep[row], "_n": n[row],
+                                                "_b": b, "_raw": [payload[k] for k in row]})
+                        else:
+                            name, at = np.unique(cell, return_inverse=True)
+                            yield pd.DataFrame({"_cell": [f"{label}|{dims}|{b}|{c}" for c in name], "_ask": np.bincount(at[home], minlength=len(name)),
+                                                "_see": np.bincount(at, minlength=len(name))})
+        return run
+
+    large = dealt.where(F.col("_rows") > task_vectors).mapInPandas(place(False), "_cell string, _ask long, _see long")
+    runs = (large.groupBy("_cell").agg(F.sum("_ask").alias("_ask"), F.sum("_see").alias("_see")).where(F.col("_see") > task_vectors)
+            .select("_cell", *[F.greatest(F.ceil(F.col(c) / task_vectors), F.lit(1)).cast("long").alias(c) for c in ("_ask", "_see")]))
+    placed = dealt.mapInPandas(place(True), "_cell string, _home boolean, _rep long, _n long, _b int, _raw binary")
+    placed = placed.join(runs, "_cell", "left").withColumns({c: F.coalesce(c, F.lit(1).cast("long")) for c in ("_ask", "_see")})
+    each = "transform(sequence(0L, {} - 1), i -> struct(concat_ws('|', _cell, {}) as _group, {} as _role))"
+    ask = each.format("_see", "pmod(xxhash64(_rep), _ask), i", 0)
+    see = each.format("_ask", "i, pmod(xxhash64(_rep), _see)", 1)
+    return placed.withColumn("_to", F.explode(F.expr(f"if(_home, concat({ask}, {see}), {see})"))).select("_to._group", "_to._role", "_rep", "_n", "_b", "_raw")
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                  min_cosine: float = MIN_COSINE, block_dims: int = BLOCK_DIMS, task_vectors: int = TASK_VECTORS,
                  cell_vectors: int = CELL_VECTORS) -> DataFrame:
@@ -95,8 +138,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     Scale: per label and block, space is cut into cells, one more cut per doubling of the label; a
     vector is compared at home with what lies within the block's radius of its cell. Cells are cut
-    further into pairs of runs of ``task_vectors`` rows, so tasks stay bounded for any hot label
-    or dense cluster. Pairs never leave a task: it returns link counts (a pair counts in the first
+    further into pairs of runs of about ``task_vectors`` rows by counts of their rows, and pairs are worked
+    through in slices, so tasks stay bounded for any hot label or dense cluster; the rows dealt grow with the
+    square of a cell over ``task_vectors``. Pairs never leave a task: it returns link counts (a pair counts in the first
     block that finds it) and at most one connecting link per vector and task.
     """
     base = with_row_id(vectors.select(F.col(id_col).alias("_id"), F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("_v"), F.col(label_col).alias("_label")))
@@ -104,35 +148,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     usable = F.col("_label").isNotNull() & F.col("_v").isNotNull() & (F.size("_v") > 0) & ~F.coalesce(bad, F.lit(True))
     usable_rows = base.where(usable).withColumn("_key", F.sha2(F.concat_ws("|", F.col("_label").cast("string"), F.to_json("_v")), 256))
     reps = materialize(usable_rows.groupBy("_label", "_v").agg(F.min("_rid").alias("_rep"), F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_key")), "vectors")
-    sizes = reps.groupBy("_label", F.size("_v").alias("_dims")).agg(F.count(F.lit(1)).alias("_rows"))
-    dealt = reps.withColumn("_dims", F.size("_v")).join(sizes, ["_label", "_dims"])
     threshold = 2.0 * (1.0 - min_cosine)
     slack = 1e-9
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row per block, cell, run as one who asks (role 0) and as one who is looked at (role 1)."""
-        for frame in frames:
-            for (label, dims, rows), part in frame.groupby(["_label", "_dims", "_rows"], sort=False):
-                raw = np.array(part["_v"].tolist(), dtype=float)
-                turned = unit(raw) @ rotation(int(dims))
-                payload = [r.tobytes() for r in raw]
-                rep, n = part["_rep"].to_numpy(), part["_n"].to_numpy()
-                runs = -(-int(rows) // task_vectors)
-                splits = max(0, int(rows) // cell_vectors).bit_length()
-                run = ((rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(max(1, runs >> splits))
-                run = run.astype(np.int64)
-                n_runs = max(1, runs >> splits)
-                for b, s in enumerate(block_slices(int(dims), block_dims)):
-                    width = s.stop - s.start
-                    radius = math.sqrt(threshold * width / dims) + slack
-                    row, cell, home = cells_within(turned[:, s], cell_cuts(width, int(dims), splits), radius)
-                    for other in range(n_runs):
-                        for role, at in ((0, np.flatnonzero(home)), (1, np.arange(len(row)))):
-                            i = row[at]
-                            key = [f"{label}|{dims}|{b}|{c}|{x}|{y}" for c, x, y in
-                                   zip(cell[at], run[i] if role == 0 else np.full(len(i), other), np.full(len(i), other) if role == 0 else run[i])]
-                            yield pd.DataFrame({"_group": key, "_role": role, "_rep": rep[i], "_n": n[i], "_b": b, "_raw": [payload[k] for k in i]})
-
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({"_rep": pd.Series(dtype="int64"), "_links": pd.Series(dtype="int64"), "_other": pd.Series(dtype="int64")})
         ask, see = frame[frame["_role"] == 0], frame[frame["_role"] == 1]
@@ -145,30 +163,35 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         budget = [threshold * (s.stop - s.start) / dims + slack for s in blocks]
         tx, ty = x @ turn, y @ turn
         s = blocks[b]
-        near = (tx[:, s] ** 2).sum(1)[:, None] + (ty[:, s] ** 2).sum(1)[None, :] - 2 * tx[:, s] @ ty[:, s].T <= budget[b]
-        near &= ask["_rep"].to_numpy()[:, None] != see["_rep"].to_numpy()[None, :]
-        i, j = np.nonzero(near)
         links, hits = np.zeros(len(x), np.int64), []
         weight = see["_n"].to_numpy()
-        for lo in range(0, len(i), 200_000):
-            p, q = i[lo:lo + 200_000], j[lo:lo + 200_000]
-            hit = np.einsum("ij,ij->i", x[p], y[q]) >= min_cosine
-            p, q = p[hit], q[hit]
-            hits.append((p, q))
-            first = np.ones(len(p), bool)  # counted in the first block that finds the pair
-            for e in range(b):
-                first &= ((tx[p, blocks[e]] - ty[q, blocks[e]]) ** 2).sum(1) > budget[e]
-            np.add.at(links, p[first], weight[q[first]])
+        ask_rep, see_rep = ask["_rep"].to_numpy(), see["_rep"].to_numpy()
+        step = max(1, SLICE_PAIRS // len(y))
+        for top in range(0, len(x), step):
+            t = tx[top:top + step, s]
+            near = (t ** 2).sum(1)[:, None] + (ty[:, s] ** 2).sum(1)[None, :] - 2 * t @ ty[:, s].T <= budget[b]
+            near &= ask_rep[top:top + step, None] != see_rep[None, :]
+            i, j = np.nonzero(near)
+            i += top
+            for lo in range(0, len(i), 200_000):
+                p, q = i[lo:lo + 200_000], j[lo:lo + 200_000]
+                hit = np.einsum("ij,ij->i", x[p], y[q]) >= min_cosine
+                p, q = p[hit], q[hit]
+                hits.append((p, q))
+                first = np.ones(len(p), bool)  # counted in the first block that finds the pair
+                for e in range(b):
+                    first &= ((tx[p, blocks[e]] - ty[q, blocks[e]]) ** 2).sum(1) > budget[e]
+                np.add.at(links, p[first], weight[q[first]])
         if not hits:
             return out
-        name, at = np.unique(np.concatenate([ask["_rep"].to_numpy(), see["_rep"].to_numpy()]), return_inverse=True)
+        name, at = np.unique(np.concatenate([ask_rep, see_rep]), return_inverse=True)
         root = local_roots(len(name), at[np.concatenate([p for p, _ in hits])], at[len(ask) + np.concatenate([q for _, q in hits])])
         total = np.zeros(len(name), np.int64)
         total[at[:len(ask)]] = links
         found = (total > 0) | (root != np.arange(len(name)))
         return pd.DataFrame({"_rep": name[found], "_links": total[found], "_other": name[root[found]]})
 
-    raw = dealt.select("_label", "_v", "_rep", "_n", "_dims", "_rows").mapInPandas(deal, "_group string, _role int, _rep long, _n long, _b int, _raw binary")
+    raw = deal_pairs(reps, threshold, slack, block_dims, task_vectors, cell_vectors)
     found = materialize(raw.groupBy("_group").applyInPandas(compare, "_rep long, _links long, _other long"), "vector-links")
     links = found.groupBy("_rep").agg(F.sum("_links").alias("_links"))
     roots = components(found.where("_rep != _other").select(F.col("_rep").alias("a"), F.col("_other").alias("b")))
