@@ -265,3 +265,14 @@ def test_common_shingles_are_counted_exactly(spark):
     df = spark.createDataFrame(rows, "text string").repartition(7)
     keys, counts, n, _ = wm.common_shingles(df, "text", 0.01)
     assert n == 600 and len(keys) == 4 and set(counts) == {300.0}
+
+
+def test_many_candidates_for_common_shingles_stay_in_spark(spark, monkeypatch):
+    """Runs of few documents hide much, so every shingle of a copied document becomes a candidate."""
+    rows = [(f"boiler plate text of five words and more unique{i // 2} token{i // 2} here{i // 2}",) for i in range(400)]
+    df = spark.createDataFrame(rows, "text string").repartition(20)
+    want = wm.common_shingles(df, "text", 0.01)
+    monkeypatch.setattr(wm, "HANDED_SHINGLES", 3)
+    got = wm.common_shingles(df, "text", 0.01)
+    assert sorted(zip(got[0], got[1])) == sorted(zip(want[0], want[1]))
+    assert got[2] == 400 and len(got[0]) == 4 and set(got[1]) == {400.0}
