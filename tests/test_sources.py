@@ -5,9 +5,11 @@ import os
 import struct
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.sources import files as S
+from tidemill.sources import idx
 
 
 def _tmp():
@@ -60,3 +62,50 @@ def test_csv_and_json_sinks_round_trip(spark):
     js = S.report_to_json(df, "cls").collect()
     objs = [json.loads(r["json"]) for r in js]
     assert {"a": {"precision": 0.5, "support": 1}} in objs
+
+
+def _images(spark, n, parts=3):
+    rows = spark.range(n, numPartitions=parts).withColumn("px", F.array(*[(F.col("id") * k) % 256 for k in range(1, 7)]))
+    return rows.select("id", idx.to_bytes("px").alias("b"))
+
+
+def test_idx_is_written_per_task_and_read_by_byte_ranges(spark):
+    d = _tmp()
+    idx.write_idx(_images(spark, 50_000), "b", f"{d}/t", [2, 3])
+    assert len(os.listdir(f"{d}/t")) == 3
+    back = idx.read_idx(spark, f"{d}/t", range_bytes=20_000)
+    assert back.rdd.getNumPartitions() > 3  # more than one a file
+    got = {tuple(r["px"]): r["n"] for r in back.groupBy(idx.byte_array("items").alias("px")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {}
+    for i in range(50_000):
+        k = tuple(i * j % 256 for j in range(1, 7))
+        want[k] = want.get(k, 0) + 1
+    assert got == want
+    assert back.select("dims").distinct().first()["dims"] == [2, 3]
+    assert back.groupBy("file").agg(F.max("row_id").alias("m"), F.count(F.lit(1)).alias("n")).where("m <> n - 1").count() == 0
+
+
+def test_idx_overwrite_append_and_failed_jobs(spark):
+    d = f"{_tmp()}/t"
+    idx.write_idx(_images(spark, 30), "b", d, [6])
+    idx.write_idx(_images(spark, 10), "b", d, [6], mode="append")
+    assert idx.read_idx(spark, d).count() == 40
+    before = sorted(os.listdir(d))
+    with pytest.raises(Exception, match="bytes, 7 are wanted"):
+        idx.write_idx(_images(spark, 10), "b", d, [7])
+    with pytest.raises(Exception, match="no bytes"):
+        idx.write_idx(_images(spark, 10).withColumn("b", F.when(F.col("id") < 9, F.col("b"))), "b", d, [6])
+    assert sorted(os.listdir(d)) == before  # nothing half-written, nothing lost
+    idx.write_idx(_images(spark, 5, 1), "b", d, [6])
+    assert idx.read_idx(spark, d).count() == 5
+    idx.write_idx(_images(spark, 0, 1), "b", d, [6])
+    assert idx.read_idx(spark, d).count() == 0
+
+
+@pytest.mark.parametrize("raw", [b"", b"\x00\x00\x08", b"\x00\x01\x08\x01\x00\x00\x00\x00", b"\x00\x00\x0d\x01\x00\x00\x00\x00", b"\x00\x00\x08\x01\x00\x00\x00\x02\x01"])
+def test_damaged_idx_files_raise(spark, raw):
+    d = _tmp()
+    with open(f"{d}/x.idx", "wb") as f:
+        f.write(raw)
+    with pytest.raises(Exception, match="x.idx"):
+        idx.read_idx(spark, f"{d}/x.idx").count()

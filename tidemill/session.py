@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +75,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet below the shared checkpoint folder: the table read back, and its path for ``discard``."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``store`` wrote, once nothing reads it any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.sources import idx
+
 # Cells pandas' CSV reader treats as missing by default; Spark keeps them as text.
 PANDAS_NA_TOKENS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "<NA>", "n/a", "-NaN", "-nan"]
 
@@ -60,39 +62,14 @@ def read_labelled_signals(spark: SparkSession, glob: str, n_values: int, label_f
 
 
 def read_idx_images(spark: SparkSession, path: str) -> DataFrame:
-    """S3: IDX image file (big-endian magic, n, rows, cols, then bytes) -> one row per image.
-
-    Pure SQL expressions over the ``binaryFile`` source: the header is decoded with
-    ``conv(hex(...))`` and the payload is cut with ``substring``; no Python per row.
-    A file is one task, so convert once to Parquet and read that afterwards.
-    """
-    raw = spark.read.format("binaryFile").load(path).select("content")
-    hdr = raw.select(
-        "content",
-        F.expr("cast(conv(hex(substring(content, 5, 4)), 16, 10) AS INT)").alias("n"),
-        F.expr("cast(conv(hex(substring(content, 9, 4)), 16, 10) AS INT)").alias("rows"),
-        F.expr("cast(conv(hex(substring(content, 13, 4)), 16, 10) AS INT)").alias("cols"),
-    )
-    px = F.col("rows") * F.col("cols")
-    imgs = hdr.select(
-        px.alias("px"), "content",
-        F.posexplode(F.sequence(F.lit(0), F.col("n") - 1)).alias("row_id", "i"),
-    ).drop("i")
-    return imgs.select(
-        F.col("row_id").cast("bigint").alias("row_id"),
-        F.expr("transform(sequence(0, px - 1), j -> "
-               "cast(conv(hex(substring(content, 17 + row_id * px + j, 1)), 16, 10) AS INT))").alias("pixels"),
-    )
+    """S3: IDX image files (rank 3) -> ``row_id, pixels``, one row per image; byte ranges of a file are read by separate
+    tasks (``sources.idx``). Row numbers count within a file."""
+    return idx.read_idx(spark, path).where("size(dims) = 2").select("row_id", idx.byte_array("items").alias("pixels"))
 
 
 def read_idx_labels(spark: SparkSession, path: str) -> DataFrame:
-    """S3: IDX label file (magic, n, then one byte per label)."""
-    raw = spark.read.format("binaryFile").load(path).select("content")
-    n = F.expr("cast(conv(hex(substring(content, 5, 4)), 16, 10) AS INT)")
-    return raw.select(F.posexplode(F.sequence(F.lit(0), n - 1)).alias("row_id", "i"), "content").select(
-        F.col("row_id").cast("bigint").alias("row_id"),
-        F.expr("cast(conv(hex(substring(content, 9 + row_id, 1)), 16, 10) AS INT)").alias("label"),
-    )
+    """S3: IDX label files (rank 1, one byte per label) -> ``row_id, label``."""
+    return idx.read_idx(spark, path).where("size(dims) = 0").select("row_id", idx.byte_array("items")[0].alias("label"))
 
 
 def union_splits(parts: dict[str, DataFrame], split_col: str = "split") -> DataFrame:
