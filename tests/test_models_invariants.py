@@ -82,7 +82,7 @@ def test_flow_outputs_are_well_formed(spark):
     inertia = {r["k"]: r["inertia"] for r in ks}
     assert inertia[8] < inertia[2]
     conv = q["k9_init_convergence"](spark, SF_MID).collect()
-    assert {r["init_mode"] for r in conv} == {"k-means||", "random"}
+    assert {r["init_mode"] for r in conv} == {"k-means++", "random"}
     imp = q["m14_feature_importance"](spark, SF_MID).collect()
     assert abs(sum(r["importance"] for r in imp) - 1) < 1e-9 or len(imp) == 10
     scores = q["m16_score_signal"](spark, SF_MID).agg(F.min("score"), F.max("score")).first()

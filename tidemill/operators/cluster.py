@@ -1,7 +1,7 @@
 """Clustering and cluster validity.
 
-Centroids are model-sized (k x d): assignment is an array expression against a
-literal centroid array (no join), each Lloyd step is one ``groupBy(cluster)``.
+Centroids are model-sized (k x d): assignment is one matrix step per Arrow batch against
+the centroids (no join), each Lloyd step is one ``groupBy(cluster)``.
 Exact Euclidean silhouette is quadratic; it uses the same blocked pairing as kNN,
 emitting per (point, cluster) partial sums instead of pairs.
 """
@@ -12,9 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +30,39 @@ def seed_centroids(df: DataFrame, key: str, cols, k: int, seed: int = 42) -> lis
     return [[float(r[c]) for c in cols] for r in rows]
 
 
-def sq_dist_to(cols, centroid) -> Column:
-    e = None
-    for c, m in zip(cols, centroid):
-        t = (F.col(c).cast("double") - F.lit(float(m))) ** 2
-        e = t if e is None else e + t
-    return e
+def _per_row(cols, returns: str, work) -> Column:
+    """``work`` on a matrix of the rows of an Arrow batch; rows with a missing value give null."""
+    @F.pandas_udf(returns)
+    def run(rows: pd.Series) -> pd.Series:
+        out = np.full(len(rows), None, dtype=object)
+        whole = np.array([v is not None and not np.isnan(np.asarray(v, float)).any() for v in rows], bool)
+        if whole.any():
+            x = np.vstack([np.asarray(v, float) for v in rows[whole]])
+            out[np.flatnonzero(whole)] = work(x)
+        return pd.Series(out)
+
+    return run(_vec(cols))
+
+
+def sq_distances(cols, centroids) -> Column:
+    """Squared distances to all centroids as one array, a matrix at a time; differences are added in the order of the
+    columns, as in SQL."""
+    c = np.array(centroids, float)
+
+    def work(x: np.ndarray) -> np.ndarray:
+        d = squared_distances(x, c)
+        out = np.empty(len(d), object)
+        out[:] = list(d)
+        return out
+
+    return _per_row(cols, "array<double>", work)
 
 
 def assign(df: DataFrame, cols, centroids, out: str = "cluster") -> DataFrame:
-    """Nearest centroid (ties -> smallest index) and the squared distance to it."""
-    d = F.array(*[sq_dist_to(cols, c) for c in centroids])
-    best = F.array_min(d)
-    return df.withColumn(out, (F.array_position(d, best) - 1).cast("int")).withColumn("_sqdist", best)
+    """Nearest centroid (ties -> smallest index) and the squared distance to it; null where a value is missing."""
+    d = df.withColumn("_d", sq_distances(cols, centroids))
+    best = F.array_min("_d")
+    return d.withColumn(out, (F.array_position("_d", best) - 1).cast("int")).withColumn("_sqdist", best).drop("_d")
 
 
 def lloyd_step(df: DataFrame, cols, centroids, out: str = "cluster") -> DataFrame:
@@ -62,24 +80,11 @@ def wcss_by_prefix(df: DataFrame, cols, seeds, ks) -> DataFrame:
     """K2 for many K in one scan: with centroids ``seeds[:k]`` for every k in ``ks``, the
     squared distances to all seeds are computed once per row and each k takes the
     minimum over its prefix; one aggregate returns ``(k, wcss)`` rows."""
-    d = F.array(*[sq_dist_to(cols, c) for c in seeds])
-    per_k = [F.sum(F.array_min(F.slice(d, 1, k))).alias(f"k{k}") for k in ks]
-    wide = df.agg(*per_k)
+    per_k = [F.sum(F.array_min(F.slice("_d", 1, k))).alias(f"k{k}") for k in ks]
+    wide = df.select(sq_distances(cols, seeds).alias("_d")).agg(*per_k)
     return wide.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("wcss")) for k in ks])))
 
 
-def fit_kmeans(df: DataFrame, cols, k: int, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-               init_mode: str = "k-means||", tol: float = 1e-4):
-    """K1: best of ``n_init`` MLlib fits by training cost (MLlib has no ``n_init``)."""
-    data = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).cache()
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, maxIter=max_iter, seed=seed + i, initMode=init_mode, tol=tol).fit(data)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best, data
-
-
 def silhouette_squared(pred: DataFrame, features: str = "features", cluster: str = "prediction") -> float:
     """K3 (linear cost): MLlib silhouette with squared Euclidean distance."""
     ev = ClusteringEvaluator(featuresCol=features, predictionCol=cluster, distanceMeasure="squaredEuclidean")
@@ -144,10 +149,9 @@ def davies_bouldin(df: DataFrame, cols, cluster: str) -> DataFrame:
     k x k step runs on model-sized centroids."""
     prof = cluster_profile(df, cols, cluster).collect()
     cents = {r[cluster]: [float(r[c]) for c in cols] for r in prof}
-    dist = F.sqrt(F.element_at(F.create_map(*[x for k, v in cents.items()
-                                              for x in (F.lit(k), sq_dist_to(cols, v))]), F.col(cluster)))
-    spread = {r[cluster]: float(r["s"]) for r in
-              df.groupBy(cluster).agg(F.avg(dist).alias("s")).collect()}
+    place = F.create_map(*[x for i, k in enumerate(cents) for x in (F.lit(k), F.lit(i + 1))])[F.col(cluster)]
+    dist = df.select(cluster, F.sqrt(F.element_at(sq_distances(cols, list(cents.values())), place)).alias("_r"))
+    spread = {r[cluster]: float(r["s"]) for r in dist.groupBy(cluster).agg(F.avg("_r").alias("s")).collect()}
     keys = sorted(cents)
     worst = []
     for i in keys:

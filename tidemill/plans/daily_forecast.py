@@ -17,6 +17,7 @@ from tidemill.operators.evaluate import metrics_long, regression_metrics
 from tidemill.operators.models import assembler, least_squares
 from tidemill.operators.windows import add_series_features, chronological_split
 from tidemill.sources.tables import read_table
+from tidemill.session import cut_lineage
 
 SERIES = "o_orderpriority"
 FEATURES = ["prev_total", "ma_5", "ma_10", "volatility_5", "total_return", "day_of_week", "month"]
@@ -44,8 +45,7 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecast_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = model_table(spark, sf_dir)
     va = assembler(FEATURES)
-    data = va.transform(table).select(SERIES, "order_day", "split", "features",
-                                      F.col("next_total").alias("label")).cache()
+    data = cut_lineage(va.transform(table).select(SERIES, "order_day", "split", "features", F.col("next_total").alias("label")))
     model = least_squares().fit(data.where(F.col("split") == "train"))
     return model.transform(data.where(F.col("split") == "test"))
 

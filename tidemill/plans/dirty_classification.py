@@ -20,6 +20,7 @@ from tidemill.functions.exprs import yes_flag
 from tidemill.operators import clean, encode, evaluate, models as M
 from tidemill.operators.sampling import stratified_split
 from tidemill.plans.common import dirty_customer
+from tidemill.session import cut_lineage
 
 FEATURES = ["acct_cents", "c_nationkey_code", "acct_was_dirty"]
 
@@ -36,7 +37,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    d = stratified_split(cleaned(spark, sf), "c_custkey", "label", 0.2).cache()
+    d = cut_lineage(stratified_split(cleaned(spark, sf), "c_custkey", "label", 0.2))
     train = d.where(F.col("split") == "train")
     stats = encode.fit_standardizer(train, FEATURES)
     z = encode.apply_standardizer(d, stats)
@@ -54,6 +55,6 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comparison(spark: SparkSession, sf: str) -> DataFrame:
-    p = predictions(spark, sf).cache()
+    p = cut_lineage(predictions(spark, sf))
     m = evaluate.binary_metrics_by(p, "model")
     return m.join(evaluate.roc_auc_by(p, "model"), "model").orderBy(F.col("f1").desc(), F.col("accuracy").desc(), "model")

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import cluster as K
 from tidemill.operators import decompose as D
+from tidemill.operators import kmeans as KM
 from tidemill.operators import models as M
 from tidemill.plans.catalog import query
 from tidemill.plans.common import EMB_COLS, emb, emb_sql, r6, rk
 from tidemill.plans.q_models import _train_test
+from tidemill.session import cut_lineage
 
 _ZEROS = " UNION ALL ".join(f"SELECT '{c}' AS term, CAST(0 AS DOUBLE) AS {{0}}" for c in EMB_COLS)
 
@@ -83,10 +85,8 @@ def t5_total_variance(spark, sf):
 @query("k1_fit_is_stable", sql="SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS cluster, false AS moved")
 def k1_fit_is_stable(spark, sf):
     """One more Lloyd step from the fitted centroids moves none beyond the fit's tolerance."""
-    d = emb(spark, sf)
-    model, data = K.fit_kmeans(d, EMB_COLS, 3, n_init=10, max_iter=300)
-    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+    d = cut_lineage(emb(spark, sf))
+    centers = KM.fit(d, "vec_id", EMB_COLS, 3).centroids.tolist()
     step = K.lloyd_step(d, EMB_COLS, centers)
-    data.unpersist()
     far = [(F.col(c) - F.get(F.array(*[F.lit(x[j]) for x in centers]), F.col("cluster"))) ** 2 for j, c in enumerate(EMB_COLS)]
     return step.select("cluster", (F.sqrt(reduce(lambda a, b: a + b, far)) > 1e-3).alias("moved"))

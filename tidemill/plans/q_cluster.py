@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import cluster as K
+from tidemill.operators import kmeans as KM
 from tidemill.plans.catalog import query
-from tidemill.plans.common import EMB_COLS, duck_h, emb, emb_sql, r6
+from tidemill.plans.common import EMB_COLS, duck_h, duck_u, emb, emb_sql, r6, rk
+from tidemill.session import cut_lineage
 
 ES = EMB_COLS
 
@@ -122,47 +124,73 @@ def k7_cluster_sizes(spark, sf):
     return s.select("cluster", "size", r6("share").alias("share"))
 
 
+def _fitted(spark, sf, k, **kw):
+    d = cut_lineage(emb(spark, sf))  # read once per centre and step
+    return d, KM.fit(d, "vec_id", ES, k, **kw)
+
+
+def _near_sql(k: int) -> str:
+    """Squared distance of each row to the nearest of the first k start rows."""
+    return "least(" + ", ".join(f"({' + '.join(f'(p.{c} - s{i}.{c}) * (p.{c} - s{i}.{c})' for c in ES)})" for i in range(k)) + ")"
+
+
+def _draw_sql(k: int) -> str:
+    u = duck_u("p.vec_id", 42 + 1000 * k)
+    return (f"s{k} AS (SELECT * EXCLUDE (d) FROM (SELECT p.*, {_near_sql(k)} AS d FROM e p, {', '.join(f's{i}' for i in range(k))}) p WHERE d > 0 "
+            f"ORDER BY ln(greatest({u}, 1.0 / 8589934592)) / d DESC, vec_id LIMIT 1)")
+
+
+@query("k1_start_rows", sql=f"""
+WITH e AS (SELECT * FROM {emb_sql()}),
+s0 AS (SELECT * FROM e ORDER BY {duck_h('vec_id')}, vec_id LIMIT 1), {', '.join(_draw_sql(k) for k in range(1, 4))}
+SELECT CAST(0 AS INTEGER) AS place, vec_id FROM s0 UNION ALL SELECT 1, vec_id FROM s1 UNION ALL SELECT 2, vec_id FROM s2 UNION ALL SELECT 3, vec_id FROM s3""")
+def k1_start_rows(spark, sf):
+    """D-squared sampling: the rows that the first four centres start from."""
+    rows = KM._rows(cut_lineage(emb(spark, sf)), "vec_id", ES)
+    _, keys = KM.plus_plus(rows, 4, [42])
+    return spark.createDataFrame(list(enumerate(keys[0])), "place int, vec_id long")
+
+
 @query("k1_kmeans_fit")
 def k1_kmeans_fit(spark, sf):
-    """K1 full fit: best of 10 starts, up to 300 iterations; centroids as rows."""
-    model, _ = K.fit_kmeans(emb(spark, sf), ES, 3, n_init=10, max_iter=300)
-    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    """K1 full fit: best of 10 D-squared starts, Lloyd steps to a fixpoint; centroids as rows."""
+    _, fit = _fitted(spark, sf, 3)
+    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(fit.centroids)]
     return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in ES))
 
 
+def _with_features(df):
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=ES, outputCol="features").transform(df)
+
+
 @query("k8_compare_k")
 def k8_compare_k(spark, sf):
     """K8: fit K in (2, 3, 4, 5, 6, 8); inertia and squared-Euclidean silhouette."""
-    d = emb(spark, sf)
-    rows = []
-    for k in (2, 3, 4, 5, 6, 8):
-        model, data = K.fit_kmeans(d, ES, k, n_init=10, max_iter=300)
-        sil = K.silhouette_squared(model.transform(data))
-        rows.append((k, float(model.summary.trainingCost), float(sil)))
+    d, rows = cut_lineage(emb(spark, sf)), []
+    for k, fit in KM.fit_many(d, "vec_id", ES, [2, 3, 4, 5, 6, 8]).items():
+        sil = K.silhouette_squared(_with_features(KM.predict(d, ES, fit.centroids)), "features", "cluster")
+        rows.append((k, fit.inertia, float(sil)))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 @query("k9_init_convergence")
 def k9_init_convergence(spark, sf):
-    """K9: three seeds x (k-means||, random): mean iterations and inertia."""
-    d = emb(spark, sf)
+    """K9: three seeds x (k-means++, random): mean steps and inertia."""
+    d = cut_lineage(emb(spark, sf))
     rows = []
-    for mode in ("k-means||", "random"):
-        its, costs = [], []
-        for s in range(3):
-            model, _ = K.fit_kmeans(d, ES, 3, n_init=1, max_iter=300, seed=42 + s, init_mode=mode)
-            its.append(model.summary.numIter)
-            costs.append(model.summary.trainingCost)
-        rows.append((mode, sum(its) / 3.0, sum(costs) / 3.0))
+    for start in KM.STARTS:
+        fit = KM.fit(d, "vec_id", ES, 3, n_init=3, start=start)
+        rows.append((start, sum(fit.steps) / 3.0, sum(fit.inertias) / 3.0))
     return spark.createDataFrame(rows, "init_mode string, mean_iterations double, mean_inertia double")
 
 
 @query("k10_interpretation")
 def k10_interpretation(spark, sf):
     """Final metrics of the chosen K and whether it matches the true class count."""
-    d = emb(spark, sf)
-    model, data = K.fit_kmeans(d, ES, 3, n_init=10, max_iter=300)
-    pred = model.transform(data).withColumnRenamed("prediction", "cluster")
+    d, fit = _fitted(spark, sf, 3)
+    pred = cut_lineage(_with_features(KM.predict(d, ES, fit.centroids)))
     true_k = d.agg(F.count_distinct("y3")).first()[0]
     sil = K.silhouette_squared(pred, "features", "cluster")
     db = K.davies_bouldin(pred, ES, "cluster").first()[0]
@@ -170,3 +198,19 @@ def k10_interpretation(spark, sf):
     return spark.createDataFrame([(3, int(true_k), float(sil), float(db), float(ch), 3 == true_k)],
                                  "k int, true_k int, silhouette double, davies_bouldin double, "
                                  "calinski_harabasz double, matches_true_k boolean")
+
+
+@query("k10_quality_of_fit", sql=f"""
+WITH f AS (SELECT 1)
+SELECT (SELECT count(*) FROM {emb_sql()}) AS n_rows, CAST(0 AS DOUBLE) AS moved, CAST(0 AS DOUBLE) AS inertia_gap, true AS not_worse_than_starts FROM f""")
+def k10_quality_of_fit(spark, sf):
+    """The chosen centroids are the means of the rows nearest to them, the reported inertia is the sum of squares to them, and no
+    other start ended lower."""
+    d, fit = _fitted(spark, sf, 3)
+    a = K.assign(d, ES, fit.centroids)
+    means = a.groupBy("cluster").agg(F.array(*[F.avg(c) for c in ES]).alias("m"), F.sum("_sqdist").alias("ss"), F.count(F.lit(1)).alias("n"))
+    own = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in fit.centroids])[F.col("cluster")]
+    far = F.aggregate(F.zip_with("m", own, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda x, y: F.greatest(x, y))
+    total = means.agg(F.sum("n").alias("n"), F.max(far).alias("far"), F.sum("ss").alias("ss"))
+    return total.select(F.col("n").alias("n_rows"), (rk("far", 6) + F.lit(0.0)).alias("moved"), (rk(F.abs(F.col("ss") - F.lit(fit.inertia)), 6) + F.lit(0.0)).alias("inertia_gap"),
+                        F.lit(all(fit.inertia <= i for i in fit.inertias)).alias("not_worse_than_starts"))

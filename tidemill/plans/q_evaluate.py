@@ -10,6 +10,7 @@ from tidemill.operators.profile import histogram
 from tidemill.plans.catalog import query
 from tidemill.plans.common import MULTI_SQL, SCORED_SQL, multiclass_preds, r6, rk, scored_docs
 from tidemill.sources.tables import read_table
+from tidemill.session import cut_lineage
 
 
 @query("e1_accuracy", sql=f"""
@@ -246,7 +247,7 @@ SELECT round(f1, 6) AS candidate, round((SELECT f1 FROM m WHERE model = 'rule_mi
   round(f1 - (SELECT f1 FROM m WHERE model = 'rule_mid'), 6) AS gain
 FROM (SELECT * FROM m ORDER BY f1 DESC, model LIMIT 1)""")
 def e16_gain_over_baseline(spark, sf):
-    m = EV.binary_metrics_by(_rule_preds(spark, sf), "model").cache()
+    m = cut_lineage(EV.binary_metrics_by(_rule_preds(spark, sf), "model"))
     best = EV.best_by(m, "model", "f1")
     g = EV.gain_over(best, m.where(F.col("model") == "rule_mid"), "f1")
     return g.select(*[r6(c).alias(c) for c in ("candidate", "baseline", "gain")])

@@ -45,7 +45,7 @@ def _xy(spark, sf, label="y3"):
 
 
 def _train_test(spark, sf, label="y3"):
-    d = _xy(spark, sf, label).cache()
+    d = cut_lineage(_xy(spark, sf, label))
     return d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
 
 
@@ -93,7 +93,7 @@ v AS (SELECT qid, y, count(*) AS votes FROM nn GROUP BY qid, y)
 SELECT qid AS vec_id, CAST(y AS DOUBLE) AS prediction, votes / 5.0 AS vote_share FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, y) AS r FROM v) WHERE r = 1""")
 def m4_knn(spark, sf):
-    d = split_emb(spark, sf).cache()  # read by the block builders and their counts
+    d = cut_lineage(split_emb(spark, sf))  # read by the block builders and their counts
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     return knn_classify(tr, te, ES, "y3", "vec_id", "vec_id", k=5)
 
@@ -119,7 +119,7 @@ sc AS (SELECT vec_id, c, lp {_NB_TERMS} AS s FROM t CROSS JOIN cs WHERE split =
 SELECT vec_id, c AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) AS r FROM sc)
 WHERE r = 1""")
 def m10_gaussian_nb(spark, sf):
-    d = split_emb(spark, sf)
+    d = cut_lineage(split_emb(spark, sf))
     model = fit_gaussian_nb(d.where(F.col("split") == "train"), ES, "y3")
     return predict_gaussian_nb(d.where(F.col("split") == "test"), model).select("vec_id", "prediction")
 
@@ -140,7 +140,7 @@ def m7_random_forest(spark, sf):
     d = _xy(spark, sf)
     from tidemill.operators.sampling import balanced_weights
 
-    d = balanced_weights(d, "label").cache()
+    d = cut_lineage(balanced_weights(d, "label"))
     tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     model = M.random_forest(num_trees=400, max_depth=30, weight_col="weight").fit(tr)
     return model.transform(te).select("vec_id", "label", "prediction")

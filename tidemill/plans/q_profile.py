@@ -114,9 +114,10 @@ def _pairs_sql(cols, cond):
     return " UNION ALL ".join(parts)
 
 
-@query("a8_corr_matrix", sql=f"""
-WITH t AS {emb_sql()}
-SELECT feature_1, feature_2, round(corr, 6) AS corr FROM ({_pairs_sql(ES, lambda i, j: True)})""")
+@query("a8_corr_matrix", sql="""
+WITH l AS (SELECT vec_id, unnest(range(1, 65)) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT 'e' || a.j AS feature_1, 'e' || b.j AS feature_2, round(corr(a.v, b.v), 6) AS corr
+FROM l a JOIN l b USING (vec_id) GROUP BY a.j, b.j""")
 def a8_corr_matrix(spark, sf):
     c = profile.corr_long(emb(spark, sf), ES)
     return c.select("feature_1", "feature_2", r6("corr").alias("corr"))

@@ -22,6 +22,7 @@ from tidemill.operators.sampling import stratified_split
 from tidemill.operators.signal import reshape_channels, window_features
 from tidemill.plans.common import emb
 from tidemill.sources.tables import read_table
+from tidemill.session import cut_lineage
 
 
 def window_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,7 +35,7 @@ def window_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_scores(spark: SparkSession, sf: str) -> DataFrame:
-    data = window_table(spark, sf).cache()
+    data = cut_lineage(window_table(spark, sf))
     tr = data.where(F.col("split") == "train")
     te = data.where(F.col("split") == "test")
     n = tr.count()
