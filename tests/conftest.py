@@ -18,6 +18,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "10g")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
