@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import kernel_svm as S
 from tidemill.operators import models as M
+from tidemill.operators import trees as TR
 from tidemill.operators.bayes import fit_gaussian_nb, predict_gaussian_nb
 from tidemill.operators.knn import knn_classify
 from tidemill.operators.sampling import stratified_split
@@ -131,8 +132,48 @@ def _fit_predict(spark, sf, est, label="y3"):
 
 @query("m6_decision_tree")
 def m6_decision_tree(spark, sf):
-    p = _fit_predict(spark, sf, M.decision_tree())
-    return p.select("vec_id", "label", "prediction")
+    """Exact Gini tree to purity, scored on the test split."""
+    tr, te = kernel_split(spark, sf)
+    p = TR.fit_tree(tr, ES, "y3").predict(te)
+    return p.select("vec_id", F.col("y3").cast("double").alias("label"), "prediction")
+
+
+@query("m6_training_fit", sql=f"""
+SELECT count(*) AS n_rows, count(*) AS correct FROM {SPLIT_SQL} WHERE split = 'train'""")
+def m6_training_fit(spark, sf):
+    """A tree grown to purity is right on all its training rows (no two are alike)."""
+    tr, _ = kernel_split(spark, sf)
+    p = TR.fit_tree(tr, ES, "y3").predict(tr)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("prediction") == F.col("y3")).cast("long")).alias("correct"))
+
+
+_LONG_SQL = f"""t AS (SELECT vec_id, y3, [{', '.join(ES)}] AS x FROM {SPLIT_SQL} WHERE split = 'train'),
+l AS (SELECT vec_id, y3, unnest(range(64)) AS j, unnest(x) AS v FROM t)"""
+_SCORE_SQL = ("(l0 * l0 + l1 * l1 + l2 * l2) / (l0 + l1 + l2) + ((a0 - l0) * (a0 - l0) + (a1 - l1) * (a1 - l1) + (a2 - l2) * (a2 - l2)) "
+              "/ (a0 + a1 + a2 - l0 - l1 - l2)")
+
+
+def _exact_sql(rows: str, name: str) -> str:
+    """Best split per node of ``rows`` (node, vec_id)."""
+    sums = ", ".join(f"CAST(sum(c{c}) OVER (PARTITION BY node, j ORDER BY v) AS DOUBLE) AS l{c}, CAST(sum(c{c}) OVER (PARTITION BY node, j) AS DOUBLE) AS a{c}" for c in range(3))
+    return f"""{name}_n AS (SELECT node, j, v, {', '.join(f'count(*) FILTER (WHERE y3 = {c}) AS c{c}' for c in range(3))} FROM {rows} JOIN l USING (vec_id) GROUP BY node, j, v),
+{name}_s AS (SELECT node, j, v, {sums}, lead(v) OVER (PARTITION BY node, j ORDER BY v) AS w FROM {name}_n),
+{name}_c AS (SELECT node, j, CASE WHEN (v + w) / 2 < w THEN (v + w) / 2 ELSE v END AS threshold, {_SCORE_SQL} AS score, l0 + l1 + l2 AS n_left,
+  a0 + a1 + a2 - l0 - l1 - l2 AS n_right FROM {name}_s WHERE w IS NOT NULL AND greatest(a0, a1, a2) < a0 + a1 + a2),
+{name} AS (SELECT * FROM {name}_c QUALIFY row_number() OVER (PARTITION BY node ORDER BY score DESC, j, threshold) = 1)"""
+
+
+@query("m6_first_splits", sql=f"""
+WITH {_LONG_SQL}, r AS (SELECT CAST(1 AS BIGINT) AS node, vec_id FROM t), {_exact_sql('r', 'root')},
+k AS (SELECT CASE WHEN l.v <= threshold THEN 2 ELSE 3 END AS node, l.vec_id FROM root JOIN l USING (j)), {_exact_sql('k', 'kids')}
+SELECT node, 'e' || (j + 1) AS feature, round(threshold, 6) AS threshold, CAST(n_left AS BIGINT) AS n_left, CAST(n_right AS BIGINT) AS n_right
+FROM (SELECT * FROM root UNION ALL SELECT * FROM kids)""")
+def m6_first_splits(spark, sf):
+    """Root and children of the exact tree."""
+    tr, _ = kernel_split(spark, sf)
+    rows = [r[1:] for r in TR.split_table(TR.fit_tree(tr, ES, "y3", max_depth=2), 2)]
+    d = spark.createDataFrame(rows, "node long, feature string, threshold double, n_left long, n_right long")
+    return d.withColumn("threshold", rk("threshold", 6))
 
 
 @query("m7_random_forest")
@@ -223,10 +264,35 @@ def m12_svr_optimality(spark, sf):
 
 @query("m13_extra_trees")
 def m13_extra_trees(spark, sf):
-    d = split_emb(spark, sf).withColumn("label", F.col("ring").cast("double"))
-    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    models = M.extra_trees_proxy(tr, ES, "label", groups=8, trees_per_group=100, cuts=31)
-    return M.extra_trees_predict(models, te, ["vec_id", "label"])
+    tr, te = kernel_split(spark, sf)
+    p = TR.fit_extra_trees(tr, ES, "ring", trees=100).predict(te)
+    return p.select("vec_id", F.col("ring").cast("double").alias("label"), "probability", "prediction")
+
+
+def _drawn_sql(rows: str, name: str) -> str:
+    """Best of the eight drawn thresholds per tree and node of ``rows`` (tree, node, vec_id)."""
+    sides = ", ".join(f"CAST(count(*) FILTER (WHERE y3 = {c} AND v <= threshold) AS DOUBLE) AS l{c}, CAST(count(*) FILTER (WHERE y3 = {c}) AS DOUBLE) AS a{c}" for c in range(3))
+    return f"""{name}_d AS (SELECT tree, node, j, row_number() OVER (PARTITION BY tree, node ORDER BY md5(tree || '|' || node || '|' || j || '|42')) AS place
+  FROM (SELECT DISTINCT tree, node FROM {rows}), (SELECT unnest(range(64)) AS j) QUALIFY place <= 8),
+{name}_r AS (SELECT tree, node, j, place, min(v) AS lo, max(v) AS hi FROM {rows} JOIN {name}_d USING (tree, node) JOIN l USING (vec_id, j) GROUP BY ALL),
+{name}_t AS (SELECT *, lo + CAST('0x' || substr(md5(tree || '|' || node || '|' || j || '|cut|42'), 1, 8) AS BIGINT) / 4294967296.0 * (hi - lo) AS threshold
+  FROM {name}_r WHERE lo < hi),
+{name}_c AS (SELECT tree, node, j, place, threshold, {sides} FROM {rows} JOIN {name}_t USING (tree, node) JOIN l USING (vec_id, j) GROUP BY ALL),
+{name} AS (SELECT tree, node, j, threshold, l0 + l1 + l2 AS n_left, a0 + a1 + a2 - l0 - l1 - l2 AS n_right FROM {name}_c WHERE greatest(a0, a1, a2) < a0 + a1 + a2
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY {_SCORE_SQL} DESC, place) = 1)"""
+
+
+@query("m13_first_levels", sql=f"""
+WITH {_LONG_SQL}, r AS (SELECT tree, CAST(1 AS BIGINT) AS node, vec_id FROM t, (SELECT unnest(range(20)) AS tree)), {_drawn_sql('r', 'root')},
+k AS (SELECT tree, CAST(CASE WHEN l.v <= threshold THEN 2 ELSE 3 END AS BIGINT) AS node, l.vec_id FROM root JOIN l USING (j)), {_drawn_sql('k', 'kids')}
+SELECT tree, node, 'e' || (j + 1) AS feature, round(threshold, 6) AS threshold, CAST(n_left AS BIGINT) AS n_left, CAST(n_right AS BIGINT) AS n_right
+FROM (SELECT * FROM root UNION ALL SELECT * FROM kids)""")
+def m13_first_levels(spark, sf):
+    """First two levels of twenty extremely randomised trees."""
+    tr, _ = kernel_split(spark, sf)
+    rows = TR.split_table(TR.fit_extra_trees(tr, ES, "y3", trees=20, max_depth=2), 2)
+    d = spark.createDataFrame(rows, "tree long, node long, feature string, threshold double, n_left long, n_right long")
+    return d.withColumn("threshold", rk("threshold", 6))
 
 
 @query("m14_feature_importance")
