@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import decompose as D
 from tidemill.operators import encode as E
 from tidemill.operators.sampling import stratified_split
+from tidemill.operators.neighbour_mi import neighbour_mutual_information
 from tidemill.operators.select import mutual_information, select_by_correlation
 from tidemill.plans.catalog import query
 from tidemill.plans.common import EMB_COLS, CUSTOMER_NULLS_SQL, customer_with_nulls, duck_h, emb, emb_sql, r6
@@ -106,6 +107,23 @@ def t7_mutual_info(spark, sf):
     return mi.select("feature", r6("mutual_info").alias("mutual_info"))
 
 
+@query("t7_neighbour_mi", sql=f"""
+WITH l AS (SELECT vec_id AS i, y3 AS y, unnest(range(1, 65)) AS j, unnest([{', '.join(ES)}]) AS v FROM {emb_sql()}),
+o AS (SELECT *, count(*) OVER (PARTITION BY j, y) AS n_class, [v - lag(v, 1) OVER w, v - lag(v, 2) OVER w, v - lag(v, 3) OVER w,
+  lead(v, 1) OVER w - v, lead(v, 2) OVER w - v, lead(v, 3) OVER w - v] AS near FROM l WINDOW w AS (PARTITION BY j, y ORDER BY v, i)),
+d AS (SELECT j, i, v, n_class, least(3, n_class - 1) AS kk, list_sort(list_filter(near, lambda x: x IS NOT NULL))[least(3, n_class - 1)] AS d FROM o WHERE n_class > 1),
+m AS (SELECT a.j, a.i, any_value(a.n_class) AS n_class, any_value(a.kk) AS kk, count(*) AS m FROM d a JOIN d b ON a.j = b.j
+  AND (b.v = a.v OR a.d > 0 AND b.v > a.v - a.d AND b.v < a.v + a.d) GROUP BY a.j, a.i),
+h AS (SELECT n, coalesce(sum(CASE WHEN n > 1 THEN 1.0 / (n - 1) END) OVER (ORDER BY n), 0) AS psi FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM embeddings))) AS n))
+SELECT 'e' || j AS feature, round(greatest(any_value(hn.psi) + avg(hk.psi) - avg(hc.psi) - avg(hm.psi), 0), 6) AS mutual_info
+FROM (SELECT *, count(*) OVER (PARTITION BY j) AS n FROM m) m JOIN h hn ON hn.n = m.n JOIN h hk ON hk.n = m.kk JOIN h hc ON hc.n = m.n_class JOIN h hm ON hm.n = m.m
+GROUP BY j""")
+def t7_neighbour_mi(spark, sf):
+    """Neighbour estimator, three neighbours, every value of every feature."""
+    mi = neighbour_mutual_information(emb(spark, sf), ES, "y3", "vec_id")
+    return mi.select("feature", r6("mutual_info").alias("mutual_info"))
+
+
 _T8_TARGET = "3 * e1 - 2 * e2 + e3 * e3"
 
 
