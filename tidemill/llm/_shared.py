@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,7 +32,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _stored[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+#: Paths of the tables that ``materialize`` returned and that are still in use.
+_stored: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once everything that reads them is itself stored."""
+    for df in tables:
+        ref, path = _stored.pop(id(df), (None, ""))
+        if ref is not None and ref() is df:
+            at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:
