@@ -19,7 +19,6 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", "10g")
-         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:+UseParallelGC")  # short queries: compile less
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())

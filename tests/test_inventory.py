@@ -10,7 +10,6 @@ HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 # IDs served by a query with another prefix, or by tests only (with the reason in README)
 OTHER_HOMES = {
     "J3": ["m4_knn", "k3_silhouette_exact"],     # all-pairs distances inside kNN and silhouette
-    "S3": [],                                    # IDX files: tests/test_sources.py
     "S6": ["s1_csv_roundtrip"],                  # CSV sink feeds the CSV scan
 }
 
