@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tidemill.llm import exact_dedup, fuzzy_lines, weighted_minhash as wm
+from tidemill.llm._shared import with_row_id
 from tidemill.llm.graph import components
 
 DOCS = "doc_id long, text string, kept string, _rid string"
@@ -46,6 +47,20 @@ def test_exact_groups_empty_table(spark):
     assert run_exact(spark, []) == Counter()
 
 
+def test_row_numbers_do_not_follow_the_cut_of_files(spark, tmp_path):
+    spark.range(4000).selectExpr("id", "id AS _metadata", "'x' AS _rid").repartition(16).write.parquet(str(tmp_path / "t"))
+    t = lambda: with_row_id(spark.read.parquet(str(tmp_path / "t")).where("id > 5").select("id", "_rid", "_metadata"))
+    seen = []
+    for size in ("128m", "20k", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1" if size == "20k" else "4m")
+        seen.append(sorted((r["id"], r["_rid"]) for r in t().collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == seen[1] == seen[2] and len({n for _, n in seen[0]}) == 3994
+    assert t().columns == ["id", "_metadata", "_rid"]
+
+
 def test_components_are_connected_sets(spark):
     edges = [(1, 2), (2, 3), (9, 8), (7, 8), (20, 21), (5, 5)] + [(i, i + 1) for i in range(100, 130)] + [(30, i) for i in range(31, 60)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())

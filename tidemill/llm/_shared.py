@@ -7,6 +7,7 @@ import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -59,10 +60,19 @@ def release(spark: SparkSession) -> None:
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """Number the rows of a stored table. The number depends on the file splits only, so
-    every read of the same table in one session gives a row the same number; write a
-    computed table first (``materialize``)."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Number the rows of a stored table by file (in the order of the paths) and place in the file, so every read of
+    the table gives a row the same number, however files are cut into tasks. Only the file names, which the driver lists to
+    read them, are gathered. Local rows and computed ones (a union, say) have no place in a file: they are numbered by
+    partition, so write a computed table first (``materialize``) where it is to be read twice."""
+    try:
+        at = df.metadataColumn("_metadata")
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    paths = sorted(r[0] for r in df.select(at["file_path"]).distinct().collect())
+    files = df.sparkSession.createDataFrame(pa.table({"_path_of_file": pa.array(paths, pa.string()), "_no_of_file": pa.array(range(len(paths)), pa.int64())}))
+    placed = df.select(*kept, at["file_path"].alias("_path_of_file"), at["row_index"].alias("_row_of_file"))
+    return placed.join(F.broadcast(files), "_path_of_file").select(*kept, (F.shiftleft("_no_of_file", 40) + F.col("_row_of_file")).alias(name))
 
 
 def text_or_empty(col: str = "text") -> Column:
