@@ -1,8 +1,10 @@
 """Chat formatting and secret scanning."""
 
 import hashlib
+import math
 import re
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +104,50 @@ def test_guess_cost_is_a_minimum_over_segmentations():
         assert cost(v) <= sum(map(ss.char_cost, v)) + 1e-9
 
 
+def priced(cost, seg):
+    """Prices of one segment, stated anew: a word, one character, a run of one character or of neighbouring ones, copies."""
+    if len(seg) == 1:
+        yield math.log10(10 if seg.isdigit() else 26 if seg.isalpha() and seg.isascii() else 33)
+    if seg in cost.rank:
+        yield math.log10(cost.rank[seg] + 1) + 0.3
+    if len(seg) > 2 and len(set(seg)) == 1:
+        yield math.log10(10 if seg.isdigit() else 26) + math.log10(len(seg))
+    if len(seg) > 2 and len({ord(b) - ord(a) for a, b in zip(seg, seg[1:])}) == 1 and abs(ord(seg[1]) - ord(seg[0])) == 1:
+        yield 1.7 + math.log10(len(seg))
+
+
+def independent_cost(cost, value):
+    best = [0.0] + [math.inf] * len(value)
+    for i in range(1, len(value) + 1):
+        for j in range(i):
+            best[i] = min([best[i], *(best[j] + p for p in priced(cost, value[j:i]))])
+            n = i - j
+            for block in range(2, n):  # value[j:i] is one block said several times, the first one paid for
+                if n % block == 0 and value[j:i] == value[j:j + block] * (n // block):
+                    best[i] = min(best[i], best[j + block] + math.log10(n // block))
+    return best[-1]
+
+
+def test_guess_cost_against_an_independent_segmentation():
+    cost = ss.GuessCost(["patience", "identifier"])
+    for v in ("x7kq9", "patience", "mypatience7", "aaaaaab", "abcdefg!x", "secretsecret", "x9k!x9k!x9k!", "k2j8fd0slwk2j8fd0slw", "!!dragon4444"):
+        assert cost(v) == pytest.approx(independent_cost(cost, v), abs=1e-9), v
+
+
+@pytest.mark.parametrize("block, times", [("x7kq!9zp2", 80), ("k2j8fd0slw9mz", 50), ("q9", 400), ("h3!k" * 3 + "z", 30)])
+def test_repeats_of_any_length_cost_one_block_and_their_number(block, times):
+    cost = ss.GuessCost()
+    assert cost(block * times) == pytest.approx(cost(block) + math.log10(times), abs=0.5)
+
+
+def test_clean_sentences_give_no_span():
+    cost = ss.GuessCost(ss.vocabulary_words(str(public_tokenizers.path("word_bpe_49k.json"))))
+    for t in ("The secret: patience and practice", "token: identifier of a session", "credentials: authentication first", "Password: required", "auth: Bearer",
+              "the api: documentation follows", "Secret: nobody knows, yet", "passphrase: something memorable"):
+        assert ss.guess_spans(t, cost, ss.MIN_LOG10_GUESSES, []) == [], t
+    assert len(ss.guess_spans("password: x7Kq!9zP2m#L", cost, ss.MIN_LOG10_GUESSES, [])) == 1
+
+
 @pytest.mark.parametrize("easy, hard", [("password1", "pxsqwzrd1"), ("aaaaaaaaaa", "akzqpdvbwo"), ("qwertyuiop", "qpwoeirutz"), ("1987-05-12", "8197x50y21"), ("abcdefghij", "ahdjbfigce"), ("p@ssw0rd", "p@zsw0xd"), ("hjhjhjhjhj", "hjkqzwmxvp")])
 def test_patterns_are_cheaper_than_random_values(easy, hard):
     cost = ss.GuessCost()

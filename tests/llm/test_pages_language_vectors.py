@@ -30,6 +30,11 @@ def page(body):
     (f"<article><p>{P1}</p><style>p{{a,b,c}}</style><!-- c, c, c --><noscript>No, js</noscript><p style='display:none'>hidden, text</p></article>", P1),
     ("<nav><a href=x>only</a> <a href=y>links</a></nav>", ""),
     ("<ul><li><a href=a>x</a><li><a href=b>y</a></ul>", ""),
+    (f"<div><section>{f'<p>{P1}</p>' * 20}</section><section><h2>Conclusion</h2><p>short end.</p></section></div>", " ".join([P1] * 20) + " Conclusion short end."),
+    (f"<div>Before it.<div><p>{P1}</p><p>{P2}</p></div>After <b>it</b>.</div>", f"Before it. {P1} {P2} After it."),
+    (f"<div><div><p>{P1}</p><p>{P2}</p></div><table><tr><td>1</td><td>2</td></tr></table></div>", f"{P1} {P2} 1 2"),
+    (f"<div><div><div><p>{P1}</p><p>{P2}</p></div></div><p>Last words.</p></div>", f"{P1} {P2} Last words."),
+    (f"<div><div><p>{P1}</p><p>{P2}</p></div><a href=x>Next</a><ul><li><a href=a>One</a><li><a href=b>Two</a></ul><section class=related><p>{P1}</p></section></div>", f"{P1} {P2}"),
 ])
 def test_main_text(body, want):
     assert hm.main_text(page(body)) == want

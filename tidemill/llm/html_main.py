@@ -3,7 +3,8 @@
 A page is cut into tags and text by one regular expression and built into a tree. Text blocks
 pass points for length and commas to their ancestors, halved at each step; an ancestor's points are
 discounted by the share of its text that lies in links. The container with the most
-points is kept together with siblings that read like it.
+points is kept together with siblings that read like it: text elements and containers of its kind with few
+links, tables, and text that stands loose beside it.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ FURNITURE = frozenset("""ad ads adv advert adverts advertisement advertising spo
 CONTENT = frozenset("article content main body entry post story text page hentry maincontent".split())
 SCORED = frozenset("p pre td li blockquote dd h1 h2 h3 h4 h5 h6 div section article main body".split())
 
+#: Elements that hold text, not other containers.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure section".split())
+
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 TELLING = re.compile("class|id|role|style|hidden", re.I)
@@ -173,8 +177,8 @@ def score(root: Node) -> list[Node]:
                     box = at
                     while box.tag not in SCORED and box.parent is not None:
                         box = box.parent
-                    points, up, share = text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100.0, 30.0) + 0.25, box.parent or box, 1.0
-                    while up is not None and share > 0.01:
+                    points, up, share = text.count(",") + text.count("،") + text.count("、") + len(text) / 100.0 + 0.25, box.parent or box, 1.0
+                    while up is not None:
                         up.points += points * share
                         got[id(up)] = up
                         up, share = up.parent, share / 2
@@ -188,6 +192,42 @@ def rank(node: Node) -> float:
     return node.points * bonus * (1.0 - (node.linked / node.chars if node.chars else 0.0))
 
 
+def belongs(kid: Node, kind: str, least: float) -> bool:
+    """Whether an element beside the best container of tag ``kind`` goes with it: it reads like one, or it is a text
+    element or a container of the same kind with few links."""
+    if rank(kid) >= least:
+        return True
+    if not kid.chars or kid.linked / kid.chars >= 0.25:
+        return False
+    return kid.tag in TEXT or (kid.tag == kind and any(isinstance(x, Node) and x.tag in TEXT for x in kid.kids))
+
+
+def beside(parent: Node, best: Node, middle: list[str], least: float) -> list[str]:
+    """``middle``, the blocks of ``best``, between those of its siblings that belong to it; text and inline elements that
+    stand loose in ``parent`` are blocks too."""
+    out, loose = [], Node("div", None)
+
+    def close() -> None:
+        nonlocal loose
+        said = [x for x in loose.kids if isinstance(x, str) or x.tag != "a"]
+        if any(isinstance(x, str) and x.strip() or isinstance(x, Node) and x.chars > 2 * x.linked for x in said):
+            out.extend(blocks(loose))
+        loose = Node("div", None)
+
+    for kid in parent.kids:
+        if isinstance(kid, str) or (kid is not best and kid.tag not in BLOCK):
+            if isinstance(kid, str) or not dropped(kid, False):
+                loose.kids.append(kid)
+            continue
+        close()
+        if kid is best:
+            out += middle
+        elif not dropped(kid, False) and belongs(kid, best.tag, least):
+            out += blocks(kid)
+    close()
+    return out
+
+
 def main_text(page: str) -> str:
     root = build(page)
     got = score(root)
@@ -199,18 +239,17 @@ def main_text(page: str) -> str:
         if up.tag in ("article", "main"):
             best = up
         up = up.parent
-    if best.parent is None:
-        return " ".join(blocks(best))
-    least, out = max(1.0, 0.2 * rank(best)), []
-    for kid in best.parent.kids:
-        if kid is best:
-            out += blocks(best)
-        elif isinstance(kid, Node) and best.tag not in ("article", "main") and not dropped(kid, False):
-            density = kid.linked / kid.chars if kid.chars else 1.0
-            if rank(kid) >= least or (kid.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "pre", "blockquote") and density < 0.25):
-                out += blocks(kid)
-        elif isinstance(kid, Node) and kid.tag == best.tag and best.tag == "article" and not dropped(kid, False) and rank(kid) >= least:
-            out += blocks(kid)
+    out, least = blocks(best), max(1.0, 0.2 * rank(best))
+    if best.tag in ("article", "main"):
+        if best.parent is None or best.tag == "main":
+            return " ".join(out)
+        return " ".join(x for kid in best.parent.kids if isinstance(kid, Node) for x in (
+            out if kid is best else blocks(kid) if kid.tag == "article" and not dropped(kid, False) and rank(kid) >= least else []))
+    at = best
+    while at.parent is not None:  # siblings of the best container and, below the body, of what is around it
+        if at is not best and (at.tag == "body" or at.parent.tag == "body" or at.parent.parent is None):
+            break
+        out, at = beside(at.parent, at, out, least), at.parent
     return " ".join(out)
 
 

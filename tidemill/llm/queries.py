@@ -75,7 +75,7 @@ def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), words=secret_scan.vocabulary_words(tokenizer_path()))
     written = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
     base = "filter(spans, s -> s.kind <> 'guess')"
     count = "cast(size(filter(spans, s -> s.kind = '{}')) as long) n_{}"

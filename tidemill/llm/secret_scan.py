@@ -8,6 +8,7 @@ that are hard to guess are secrets even where no fixed pattern matches them.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Sequence
@@ -28,7 +29,7 @@ KINDS = ("assign", "access", "hex", "guess")
 CONTEXT_WORDS = ("passwor", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "api", "credential", "auth")
 CONTEXT = re.compile(r"""(?:pass(?:word|wort|wd|phrase|code)|pwd|secret|token|api[_-]?key|credentials?|auth(?:orization)?)["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*["'`]?([^\s"'`<>]+)""", re.I | re.A)
 TRAILING = ".,;:!?)]}"
-MIN_LENGTH = 6
+MIN_LENGTH = 6  # shorter values are open to brute force whatever they are
 MIN_LOG10_GUESSES = 9.0
 
 # Common passwords and words, most common first.
@@ -61,12 +62,37 @@ def _case_cost(text: str) -> float:
     return 0.3 if text.isupper() or text.istitle() else 0.3 * sum(c.isupper() for c in text)
 
 
+#: Repeats of blocks of this length or more are found by the last place of a run of so many characters.
+GRAM = 8
+
+
+def shared_end(text: str, end: int, back: int) -> int:
+    """How many characters up to ``end`` equal those ``back`` before them, found by doubling and halving."""
+    most, n, size = end - back, 0, 64
+    while size:
+        if n + size <= most and text[end - n - size:end - n] == text[end - back - n - size:end - back - n]:
+            n += size
+            size *= 2
+        else:
+            size //= 2
+    return n
+
+
+def vocabulary_words(path: str) -> list[str]:
+    """Words of a public tokenizer's vocabulary in the order of their ids, the most common first: the bounded dictionary
+    (tens of thousands of words) of the query. Marks of word starts and ends are taken off."""
+    with open(path, encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    plain = (w.removesuffix("</w>").lstrip("Ġ▁").lower() for w in sorted(ids, key=ids.get))
+    return list(dict.fromkeys(w for w in plain if len(w) > 2 and w.isalpha()))
+
+
 class GuessCost:
-    """Minimum-cost segmentation; ``words`` are ranked from the most common on."""
+    """Minimum-cost segmentation; ``words``, ranked from the most common on, follow the common ones."""
 
     def __init__(self, words: Sequence[str] = COMMON_WORDS):
         self.rank = {}
-        for i, w in enumerate(words):
+        for i, w in enumerate(dict.fromkeys([*COMMON_WORDS, *words])):
             if len(w) > 2:
                 self.rank.setdefault(w, i + 1)
         self.longest = max(map(len, self.rank), default=0)
@@ -80,6 +106,9 @@ class GuessCost:
         plain = low.translate(LEET)
         best = [0.0] + [math.inf] * n
         walk = turns = repeat = step = 0
+        # letters up to here that equal those k before: all short periods, and longer ones while they go on
+        open_ = dict.fromkeys(range(2, GRAM), 0)
+        seen: dict[str, int] = {}
         for i in range(1, n + 1):
             c = best[i - 1] + char_cost(value[i - 1])
             # words, as written or with look-alike characters
@@ -103,16 +132,26 @@ class GuessCost:
             else:
                 repeat = step = walk = 1
                 prior = 0
-            for run, base in ((repeat, char_cost(value[i - 1])), (step, 1.7), (walk, 1.7 + 0.7 * min(turns, 12))):
+            for run, base in ((repeat, char_cost(value[i - 1])), (step, 1.7), (walk, 1.7 + 0.7 * turns)):
                 if run >= 3:
                     c = min(c, best[i - run] + base + math.log10(run))
-            # repeated blocks of two to eight characters
-            for k in range(2, min(8, i // 2) + 1):
-                if low[i - k:i] == low[i - 2 * k:i - k]:
-                    m = 2
-                    while i - (m + 1) * k >= 0 and low[i - (m + 1) * k:i - m * k] == low[i - k:i] and m < 64:
-                        m += 1
-                    c = min(c, best[i - (m - 1) * k] + math.log10(m))
+            # blocks that were just said, of any length, as often as they were
+            if i >= 2 * GRAM:
+                ago = i - seen.get(low[i - GRAM:i], i)
+                if ago >= GRAM and ago not in open_:
+                    open_[ago] = -1
+            for k in list(open_):
+                if i <= k or low[i - 1] != low[i - 1 - k]:
+                    open_[k] = 0
+                    if k >= GRAM:
+                        del open_[k]
+                    continue
+                open_[k] = shared_end(low, i, k) if open_[k] < 0 else open_[k] + 1
+                m = open_[k] // k
+                if m:
+                    c = min(c, best[i - m * k] + math.log10(m + 1))
+            if i >= GRAM:
+                seen[low[i - GRAM:i]] = i
             # dates
             for k in (4, 6, 7, 8, 9, 10):
                 if k <= i and value[i - k].isdigit() and value[i - 1].isdigit() and DATE.fullmatch(value, i - k, i):
