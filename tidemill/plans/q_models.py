@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidemill.operators import boosting as B
 from tidemill.operators import kernel_svm as S
 from tidemill.operators import models as M
 from tidemill.operators import trees as TR
@@ -295,6 +296,46 @@ def m13_first_levels(spark, sf):
     return d.withColumn("threshold", rk("threshold", 6))
 
 
+def _boost_sql(rows: str, name: str) -> str:
+    """Best split per class and node of ``rows`` (c, node, vec_id), and ``name``_k: the rows in the children."""
+    return f"""{name}_c AS (SELECT c, node, j, v, count(*) AS n, count(*) FILTER (WHERE y3 = c) AS a FROM {rows} JOIN u USING (vec_id) JOIN t USING (vec_id) GROUP BY ALL),
+{name}_s AS (SELECT c, node, j, v, sum(n) OVER w AS nl, sum(a) OVER w AS al, sum(n) OVER g AS n, sum(a) OVER g AS a, lead(v) OVER w AS nxt FROM {name}_c
+  WINDOW w AS (PARTITION BY c, node, j ORDER BY v), g AS (PARTITION BY c, node, j)),
+{name}_g AS (SELECT c, node, j, (v + nxt) / 2 AS threshold, pow(al - nl * p, 2) / nl + pow((a - al) - (n - nl) * p, 2) / (n - nl) AS score, pow(a - n * p, 2) / n AS whole
+  FROM {name}_s JOIN p USING (c) WHERE nxt IS NOT NULL),
+{name} AS (SELECT c, node, j, threshold FROM (SELECT *, max(score) OVER (PARTITION BY c, node) AS top FROM {name}_g)
+  WHERE score >= top * (1 - 1e-12) AND top > whole + 1e-9 QUALIFY row_number() OVER (PARTITION BY c, node ORDER BY j, threshold) = 1),
+{name}_k AS (SELECT r.c, CASE WHEN s.j IS NULL THEN r.node WHEN u.v <= s.threshold THEN 2 * r.node ELSE 2 * r.node + 1 END AS node, r.vec_id
+  FROM {rows} r LEFT JOIN {name} s ON s.c = r.c AND s.node = r.node LEFT JOIN u ON u.vec_id = r.vec_id AND u.j = s.j)"""
+
+
+def steps_of_64(df):
+    """Features in whole 64ths, so that every midpoint is a candidate."""
+    return df.withColumns({c: F.floor(F.col(c) * 64) / F.lit(64.0) for c in ES})
+
+
+@query("m9_first_round", sql=f"""
+WITH {_LONG_SQL}, u AS (SELECT vec_id, j, floor(v * 64) / 64.0 AS v FROM l), p AS (SELECT y3 AS c, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM t) AS p FROM t GROUP BY 1),
+r AS (SELECT c, CAST(1 AS BIGINT) AS node, vec_id FROM p, t), {_boost_sql('r', 'one')}, {_boost_sql('one_k', 'two')}
+SELECT CAST(c AS DOUBLE) AS class, node AS leaf, count(*) AS n_rows,
+  round(2 / 3.0 * (count(*) FILTER (WHERE y3 = c) - count(*) * any_value(p)) / (count(*) * any_value(p) * (1 - any_value(p))), 6) AS value
+FROM two_k JOIN t USING (vec_id) JOIN p USING (c) GROUP BY c, node""")
+def m9_first_round(spark, sf):
+    """Leaves of the first round, three classes, two levels: exact splits and second-order values."""
+    tr, _ = kernel_split(spark, sf)
+    model = B.fit_boosting(steps_of_64(tr), ES, "y3", rounds=1, depth=2, max_bins=1024)
+    d = spark.createDataFrame(B.leaf_table(model, 0), "class double, leaf long, n_rows long, value double")
+    return d.withColumn("value", rk("value", 6))
+
+
+@query("m9_boosted_classes")
+def m9_boosted_classes(spark, sf):
+    """Three classes, Newton leaves, 100 rounds of depth 3."""
+    tr, te = kernel_split(spark, sf)
+    p = B.fit_boosting(tr, ES, "y3").predict(te)
+    return p.select("vec_id", F.col("y3").cast("double").alias("label"), "probability", "prediction")
+
+
 @query("m14_feature_importance")
 def m14_feature_importance(spark, sf):
     tr, _ = _train_test(spark, sf, "ring")
