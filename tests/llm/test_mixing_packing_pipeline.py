@@ -159,6 +159,11 @@ def test_pipeline_stages_chain_and_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     first = docs.columns
     extra = spark.createDataFrame([(90001, "... 123 !!!", "en", "src0", 11), (90002, None, "en", "src0", 0), (90003, docs.first()["text"], "en", "src1", 5)], docs.schema)
+    # two copies of one text on other lines: no line is like another, their shingles are
+    words = " ".join(r["text"] for r in docs.where("lang = 'en'").orderBy("doc_id").limit(5).collect()).split()
+    words = [words[i] for i in np.random.default_rng(4).permutation(len(words))[:240]]
+    cut = lambda n: "\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+    extra = extra.unionByName(spark.createDataFrame([(90004, cut(240), "en", "src0", 9), (90005, cut(11), "en", "src1", 9)], docs.schema))
     docs = materialize(docs.unionByName(extra), "test")
     seen = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -166,7 +171,9 @@ def test_pipeline_stages_chain_and_take_effect(spark):
         assert docs.columns == first
         seen[name] = {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert not seen["language_id"] & {90001, 90002}
+    assert {90004, 90005} <= seen["line_dedup"]
     assert len(seen["near_dedup"]) < len(seen["line_dedup"])
+    assert len({90004, 90005} & seen["near_dedup"]) == 1
     assert seen["mix_sources"] <= seen["near_dedup"]
     out = materialize(corpus_pipeline.STAGES[-1][1](spark, docs, SF), "packed").toPandas()
     check_packing(out, 4096)
