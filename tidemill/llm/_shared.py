@@ -27,12 +27,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemill-llm/{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Has Spark delete a query's shuffle files when the query ends, not when the driver next collects garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the lineage ends
-    at files that every executor sees, so a lost executor costs no recomputation."""
+    at files that every executor sees, so a lost executor costs no recomputation. The shuffle files of the write are
+    deleted at its end: nothing reads them again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     _stored[id(out)] = (weakref.ref(out), path)
     return out
