@@ -174,6 +174,35 @@ def test_fuzzy_lines_find_every_link_of_edit_similarity_alone(spark):
     assert {r["doc_id"] for r in got if r["lines_dropped"] == 0} == {i for i in range(len(lines)) if root(i) == i}
 
 
+def test_fuzzy_lines_whose_pairs_repeat_and_large_groups(spark):
+    """A pair that a line holds twice links at either place; copies of one line with different edits, and copies of two lines that
+    share most pairs, form their own groups."""
+    rng = np.random.default_rng(5)
+    long = "extraordinarily longwindedness"
+    lines = [f"{long} a b c d e f g h {long} i j", f"a b c d e f g h {long} i j", f"k l {long} m n o p q r s t {long}", f"k l m n o p q r s t {long}"]
+    for k in range(2):
+        base = [f"shared{i}" for i in range(14)] + [f"own{k}x{i}" for i in range(12)]
+        for i in range(60):
+            copy = list(base)
+            copy[int(rng.integers(26))] = f"edit{k}x{i}"
+            lines.append(" ".join(copy))
+    words = [x.split() for x in lines]
+    parent = list(range(len(lines)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(words):
+        for j, b in enumerate(words[:i]):
+            if levenshtein(a, b) * 5 <= max(len(a), len(b)):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), max_bits=None).collect()
+    assert {r["doc_id"] for r in got if r["lines_dropped"] == 0} == {i for i in range(len(lines)) if root(i) == i}
+    assert {root(i) for i in range(4, len(lines))} == {4, 64}
+
+
 def test_fuzzy_lines_of_few_words_and_of_scripts_without_spaces(spark):
     chinese, thai = "本站所有内容均由用户自行上传发布", "สงวนลขสทธตามกฎหมายหามคดลอก"
     rows = [(1, f"Share on Facebook\n{chinese}\n\n- -"), (2, f"share on facebook!\n{chinese.replace('用', '客')}\n\n- -"),
