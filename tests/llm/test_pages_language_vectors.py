@@ -182,5 +182,14 @@ def test_vector_tasks_stay_bounded_and_meet_every_pair(spark, tmp_path, spread):
     assert {(int(a), int(b)) for a, b in zip(*np.nonzero(unit @ unit.T >= 0.93))} <= near
 
 
+def test_vectors_of_a_label_travel_once_per_role_and_run(spark):
+    vectors = np.random.default_rng(6).standard_normal((3000, 16))
+    reps = spark.createDataFrame([(1, [float(x) for x in v], i, 1) for i, v in enumerate(vectors)], "_label int, _v array<float>, _rep long, _n long")
+    whole = sj.deal_pairs(reps, 0.14, 1e-9, 8, sj.TASK_VECTORS, sj.CELL_VECTORS)
+    assert whole.count() == 2 * 3000
+    assert sj.deal_pairs(reps, 0.14, 1e-9, 8, 1000, 2000).count() == 2 * 3 * 3000
+    assert "array<float>" in dict(whole.dtypes).values()  # floats are not widened on their way
+
+
 def test_vectors_empty_table(spark):
     assert sj.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0

@@ -8,14 +8,13 @@ of candidates by the cosine of the whole vectors in double precision finds every
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tidemill.llm._shared import materialize, with_row_id
 from tidemill.llm.graph import components
@@ -23,11 +22,13 @@ from tidemill.llm.graph import components
 MIN_COSINE = 0.93
 BLOCK_DIMS = 8
 #: Vectors that one side of a task holds.
-TASK_VECTORS = 2048
-#: Vectors per label and block beyond which the block's space is cut once more.
-CELL_VECTORS = 8192
+TASK_VECTORS = 32_768
+#: Vectors of a label up to which one task compares them all.
+CELL_VECTORS = 32_768
 #: Pairs whose block distances a task holds at a time.
 SLICE_PAIRS = 1 << 22
+#: What single precision may add to the squared distance of two unit vectors in a block.
+FLOAT_SLACK = 1e-5
 
 
 def rotation(dims: int, seed: int = 7) -> np.ndarray:
@@ -43,32 +44,6 @@ def block_slices(dims: int, block_dims: int) -> list[slice]:
     return [slice(i, min(i + block_dims, dims)) for i in range(0, dims, block_dims)]
 
 
-def cell_cuts(block_dims: int, dims: int, splits: int) -> list[np.ndarray]:
-    """Cut points per coordinate of a block for ``splits`` binary splits dealt out in turn: the
-    quantiles of a random unit vector's coordinate. Cuts only share out work: any cut is correct."""
-    per = [splits // block_dims + (i < splits % block_dims) for i in range(block_dims)]
-    normal = NormalDist(0, 1 / math.sqrt(max(dims, 1)))
-    return [np.array([normal.inv_cdf(j / 2 ** s) for j in range(1, 2 ** s)]) for s in per]
-
-
-def cells_within(x: np.ndarray, cuts: list[np.ndarray], radius: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``(row, cell, is_home)``: the cells that rows of ``x`` lie in or come within ``radius`` of
-    in every single coordinate."""
-    row, cell, home = np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
-    for j, c in enumerate(cuts):
-        if not len(c):
-            continue
-        v = x[row, j]
-        at = np.searchsorted(c, v, side="right")
-        lo, hi = np.searchsorted(c, v - radius, side="left"), np.searchsorted(c, v + radius, side="right")
-        n = hi - lo + 1
-        rep = np.repeat(np.arange(len(row)), n)
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[rep]
-        home = home[rep] & (step == at[rep])
-        row, cell = row[rep], cell[rep] * (len(c) + 1) + step
-    return row, cell, home
-
-
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node that each of ``n`` nodes reaches over the links ``a - b``."""
     root = np.arange(n)
@@ -84,44 +59,41 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def deal_pairs(reps: DataFrame, threshold: float, slack: float, block_dims: int, task_vectors: int, cell_vectors: int) -> DataFrame:
-    """``_group, _role, _rep, _n, _b, _raw``: the rows of ``reps`` (``_label, _v, _rep, _n``) once per block, cell and run
-    as one who asks (role 0) and as one who is looked at (role 1). Runs follow from counts of both roles in the
-    cell, so that a group holds about ``task_vectors`` rows of a role however many lie in the cell."""
-    sizes = reps.groupBy("_label", F.size("_v").alias("_dims")).agg(F.count(F.lit(1)).alias("_rows"))
-    dealt = reps.withColumn("_dims", F.size("_v")).join(sizes, ["_label", "_dims"]).select("_label", "_v", "_rep", "_n", "_dims", "_rows")
-
-    def place(whole: bool):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """A row per block and cell that a vector lies in or looks into; counts of them unless ``whole``."""
-            for frame in frames:
-                for (label, dims, rows), part in frame.groupby(["_label", "_dims", "_rows"], sort=False):
-                    raw = np.array(part["_v"].tolist(), dtype=float)
-                    turned = unit(raw) @ rotation(int(dims))
-                    payload = [r.tobytes() for r in raw] if whole else []
-                    rep, n = part["_rep"].to_numpy(), part["_n"].to_numpy()
-                    splits = max(0, int(rows) // cell_vectors).bit_length()
-                    for b, s in enumerate(block_slices(int(dims), block_dims)):
-                        width = s.stop - s.start
-                        radius = math.sqrt(threshold * width / dims) + slack
-                        row, cell, home = cells_within(turned[:, s], cell_cuts(width, int(dims), splits), radius)
-                        if whole:
-                            yield pd.DataFrame({"_cell": [f"{label}|{dims}|{b}|{c}" for c in cell], "_home": home, "_rep": rep[row], "_n": n[row],
-                                                "_b": b, "_raw": [payload[k] for k in row]})
-                        else:
-                            name, at = np.unique(cell, return_inverse=True)
-                            yield pd.DataFrame({"_cell": [f"{label}|{dims}|{b}|{c}" for c in name], "_ask": np.bincount(at[home], minlength=len(name)),
-                                                "_see": np.bincount(at, minlength=len(name))})
-        return run
-
-    large = dealt.where(F.col("_rows") > task_vectors).mapInPandas(place(False), "_cell string, _ask long, _see long")
-    runs = (large.groupBy("_cell").agg(F.sum("_ask").alias("_ask"), F.sum("_see").alias("_see")).where(F.col("_see") > task_vectors)
-            .select("_cell", *[F.greatest(F.ceil(F.col(c) / task_vectors), F.lit(1)).cast("long").alias(c) for c in ("_ask", "_see")]))
-    placed = dealt.mapInPandas(place(True), "_cell string, _home boolean, _rep long, _n long, _b int, _raw binary")
-    placed = placed.join(runs, "_cell", "left").withColumns({c: F.coalesce(c, F.lit(1).cast("long")) for c in ("_ask", "_see")})
-    each = "transform(sequence(0L, {} - 1), i -> struct(concat_ws('|', _cell, {}) as _group, {} as _role))"
-    ask = each.format("_see", "pmod(xxhash64(_rep), _ask), i", 0)
-    see = each.format("_ask", "i, pmod(xxhash64(_rep), _see)", 1)
-    return placed.withColumn("_to", F.explode(F.expr(f"if(_home, concat({ask}, {see}), {see})"))).select("_to._group", "_to._role", "_rep", "_n", "_b", "_raw")
+    """``_group, _role, _rep, _n, _v``: the rows of ``reps`` (``_label, _v, _rep, _n``) as those who ask (role 0) and as those
+    who are looked at (role 1). A label of more than ``cell_vectors`` rows is dealt into runs of about ``task_vectors`` by hash, and
+    every pair of runs is a group. A group sees all blocks of its pairs, so a vector travels twice per run and not once
+    per block too; the radius (``threshold``, ``slack``, ``block_dims``) leaves no pair of runs out."""
+    dealt = reps.withColumn("_dims", F.size("_v"))
+    large = dealt.groupBy("_label", "_dims").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > cell_vectors)
+    runs = large.select("_label", "_dims", F.ceil(F.col("_rows") / task_vectors).cast("long").alias("_runs"))
+    dealt = dealt.join(F.broadcast(runs), ["_label", "_dims"], "left").withColumn("_runs", F.coalesce("_runs", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("_run", F.pmod(F.xxhash64("_rep"), "_runs"))
+    each = "transform(sequence(0L, _runs - 1), i -> struct(concat_ws('|', cast(_label as string), _dims, {}) as _group, {} as _role))"
+    both = F.expr(f"concat({each.format('_run, i', 0)}, {each.format('i, _run', 1)})")
+    return dealt.withColumn("_to", F.explode(both)).select("_to._group", "_to._role", "_rep", "_n", "_v")
+
+
+def near_pairs(x: np.ndarray, y: np.ndarray, block_dims: int, threshold: float, min_cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(i, j)``, slice by slice: rows of the unit vectors ``x`` and ``y`` whose cosine is at least ``min_cosine``. Pairs that lie
+    within a block's share of ``threshold`` in some block are compared whole, in double precision."""
+    dims = x.shape[1]
+    tx, ty = x @ rotation(dims), y @ rotation(dims)
+    squares = lambda v, s: (v[:, s] ** 2).sum(1, keepdims=True)
+    sides = [(np.hstack([tx[:, s], squares(tx, s), np.ones((len(x), 1))]).astype(np.float32),
+              np.hstack([-2 * ty[:, s], np.ones((len(y), 1)), squares(ty, s)]).astype(np.float32).T,
+              np.float32(threshold * (s.stop - s.start) / dims + FLOAT_SLACK)) for s in block_slices(dims, block_dims)]
+    step = max(1, SLICE_PAIRS // len(y))
+    for top in range(0, len(x), step):
+        close = np.zeros((min(step, len(x) - top), len(y)), bool)
+        for left, right, budget in sides:
+            close |= left[top:top + step] @ right <= budget
+        if np.count_nonzero(close) * 64 > close.size:  # crowded: one product rules out most that are clearly too far
+            close &= x[top:top + step] @ y.T >= min_cosine - 1e-9
+        i, j = np.nonzero(close)
+        for lo in range(0, len(i), 200_000):
+            p, q = i[lo:lo + 200_000] + top, j[lo:lo + 200_000]
+            hit = np.einsum("ij,ij->i", x[p], y[q]) >= min_cosine
+            yield p[hit], q[hit]
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -136,63 +108,46 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     A null id never becomes a component id unless a component has no other. ``vectors`` must be
     stored; its other columns are ignored.
 
-    Scale: per label and block, space is cut into cells, one more cut per doubling of the label; a
-    vector is compared at home with what lies within the block's radius of its cell. Cells are cut
-    further into pairs of runs of about ``task_vectors`` rows by counts of their rows, and pairs are worked
-    through in slices, so tasks stay bounded for any hot label or dense cluster; the rows dealt grow with the
-    square of a cell over ``task_vectors``. Pairs never leave a task: it returns link counts (a pair counts in the first
-    block that finds it) and at most one connecting link per vector and task.
+    Scale: a label of up to ``cell_vectors`` different vectors is one task, which sees all blocks, so a vector travels twice
+    in the width it was given in. A larger label is cut into runs of about ``task_vectors``, and each pair of runs is a task: a vector
+    travels twice per run, so the rows dealt grow with the square of a label only beyond that size, and comparisons
+    with the square of a label: blocks of vectors in no order rule out pairs, not regions. Pairs are worked through in slices, so
+    tasks stay bounded for any hot label or dense cluster, and never leave a task: it returns link counts
+    and at most one connecting link per vector and task.
     """
-    base = with_row_id(vectors.select(F.col(id_col).alias("_id"), F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("_v"), F.col(label_col).alias("_label")))
+    item = getattr(vectors.schema[vector_col].dataType, "elementType", None)
+    kind = "float" if isinstance(item, FloatType) else "double"  # floats stay as narrow as they are until a task widens them
+    base = with_row_id(vectors.select(F.col(id_col).alias("_id"), F.transform(F.col(vector_col).cast(f"array<{kind}>"), lambda x: x + F.lit(0.0).cast(kind)).alias("_v"), F.col(label_col).alias("_label")))
     bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) | ~F.exists("_v", lambda x: x != 0)
     usable = F.col("_label").isNotNull() & F.col("_v").isNotNull() & (F.size("_v") > 0) & ~F.coalesce(bad, F.lit(True))
-    usable_rows = base.where(usable).withColumn("_key", F.sha2(F.concat_ws("|", F.col("_label").cast("string"), F.to_json("_v")), 256))
+    usable_rows = base.where(usable).withColumn("_key", F.unhex(F.sha2(F.concat_ws("|", F.col("_label").cast("string"), F.to_json("_v")), 256)))
     reps = materialize(usable_rows.groupBy("_label", "_v").agg(F.min("_rid").alias("_rep"), F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_key")), "vectors")
     threshold = 2.0 * (1.0 - min_cosine)
-    slack = 1e-9
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({"_rep": pd.Series(dtype="int64"), "_links": pd.Series(dtype="int64"), "_other": pd.Series(dtype="int64")})
         ask, see = frame[frame["_role"] == 0], frame[frame["_role"] == 1]
         if not len(ask) or not len(see):
             return out
-        x, y = (unit(np.stack([np.frombuffer(r) for r in f["_raw"]])) for f in (ask, see))
-        dims, b = x.shape[1], int(ask["_b"].iloc[0])
-        turn = rotation(dims)
-        blocks = block_slices(dims, block_dims)
-        budget = [threshold * (s.stop - s.start) / dims + slack for s in blocks]
-        tx, ty = x @ turn, y @ turn
-        s = blocks[b]
-        links, hits = np.zeros(len(x), np.int64), []
-        weight = see["_n"].to_numpy()
+        x, y = (unit(np.stack(f["_v"].to_list()).astype(float)) for f in (ask, see))
+        links, weight = np.zeros(len(x), np.int64), see["_n"].to_numpy()
         ask_rep, see_rep = ask["_rep"].to_numpy(), see["_rep"].to_numpy()
-        step = max(1, SLICE_PAIRS // len(y))
-        for top in range(0, len(x), step):
-            t = tx[top:top + step, s]
-            near = (t ** 2).sum(1)[:, None] + (ty[:, s] ** 2).sum(1)[None, :] - 2 * t @ ty[:, s].T <= budget[b]
-            near &= ask_rep[top:top + step, None] != see_rep[None, :]
-            i, j = np.nonzero(near)
-            i += top
-            for lo in range(0, len(i), 200_000):
-                p, q = i[lo:lo + 200_000], j[lo:lo + 200_000]
-                hit = np.einsum("ij,ij->i", x[p], y[q]) >= min_cosine
-                p, q = p[hit], q[hit]
-                hits.append((p, q))
-                first = np.ones(len(p), bool)  # counted in the first block that finds the pair
-                for e in range(b):
-                    first &= ((tx[p, blocks[e]] - ty[q, blocks[e]]) ** 2).sum(1) > budget[e]
-                np.add.at(links, p[first], weight[q[first]])
-        if not hits:
-            return out
         name, at = np.unique(np.concatenate([ask_rep, see_rep]), return_inverse=True)
-        root = local_roots(len(name), at[np.concatenate([p for p, _ in hits])], at[len(ask) + np.concatenate([q for _, q in hits])])
+        root = np.arange(len(name))
+        for p, q in near_pairs(x, y, block_dims, threshold, min_cosine):
+            other = ask_rep[p] != see_rep[q]
+            p, q = p[other], q[other]
+            np.add.at(links, p, weight[q])
+            a, b = root[at[p]], root[at[len(ask) + q]]
+            if (a != b).any():
+                root = local_roots(len(name), a[a != b], b[a != b])[root]
         total = np.zeros(len(name), np.int64)
         total[at[:len(ask)]] = links
         found = (total > 0) | (root != np.arange(len(name)))
         return pd.DataFrame({"_rep": name[found], "_links": total[found], "_other": name[root[found]]})
 
-    raw = deal_pairs(reps, threshold, slack, block_dims, task_vectors, cell_vectors)
-    found = materialize(raw.groupBy("_group").applyInPandas(compare, "_rep long, _links long, _other long"), "vector-links")
+    dealt = deal_pairs(reps, threshold, FLOAT_SLACK, block_dims, task_vectors, cell_vectors)
+    found = materialize(dealt.groupBy("_group").applyInPandas(compare, "_rep long, _links long, _other long"), "vector-links")
     links = found.groupBy("_rep").agg(F.sum("_links").alias("_links"))
     roots = components(found.where("_rep != _other").select(F.col("_rep").alias("a"), F.col("_other").alias("b")))
     per = (reps.select("_key", "_rep", "_n").join(links, "_rep", "left")
