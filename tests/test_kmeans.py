@@ -68,3 +68,22 @@ def test_few_different_rows_and_empty_tables(spark):
     assert sorted(fit.centroids.ravel()) == [0.0, 1.0] and fit.inertia == 0.0
     assert K.fit(df.limit(0), "id", ["a"], 2, n_init=2).centroids.size == 0
     assert len(K.fit(df, "id", ["a"], 3, n_init=1, start="random").start_keys[0]) == 3
+
+
+def test_one_pass_keeps_digits_far_from_zero(spark):
+    rng = np.random.default_rng(2)
+    x = 1e6 + np.concatenate([rng.normal(m, 0.01, size=(5000, 2)) for m in ((0, 0), (0.2, 0), (0, 0.2))])
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "k long, x array<double>").repartition(3)
+    starts = [x[[0, 5000, 10000]], x[[1, 2]]]
+    new, cost = K.lloyd_pass(rows, starts)
+    for c, n, v in zip(starts, new, cost):
+        d = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+        assert np.allclose(n, [x[d.argmin(axis=1) == j].mean(axis=0) for j in range(len(c))], rtol=0, atol=1e-8)
+        assert abs(v - d.min(axis=1).sum()) < 1e-6 * v
+
+
+def test_the_first_of_equal_starts_counts(points):
+    x, df = points
+    fit = K.fit(df, "id", ["a", "b", "c"], 2, n_init=6)
+    same = [i for i, v in enumerate(fit.inertias) if v <= min(fit.inertias) * (1 + 1e-9)]
+    assert np.allclose(fit.centroids, _lloyd(x, x[fit.start_keys[same[0]]])[0])

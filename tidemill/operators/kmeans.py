@@ -13,15 +13,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_hex, hash_uniform
 from tidemill.operators.cluster import sq_distances
 from tidemill.operators.knn import squared_distances
+from tidemill.session import discard, store
 
 STARTS = ("k-means++", "random")
+#: Rows whose distances to all centres a task holds at a time.
+SLICE_ROWS = 4096
+#: Share by which sums of squares of the same clusters may differ, added up in another order; of such starts the first counts.
+TIE = 1e-10
 
 
 @dataclass
@@ -41,8 +46,8 @@ def _rows(df: DataFrame, key: str, cols) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("k"), x.alias("x")).where("forall(x, v -> v IS NOT NULL AND NOT isnan(v))")
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, float) for v in column])
+def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
 def plus_plus(rows: DataFrame, k: int, seeds: list[int]) -> tuple[list[np.ndarray], list[list[int]]]:
@@ -56,10 +61,12 @@ def plus_plus(rows: DataFrame, k: int, seeds: list[int]) -> tuple[list[np.ndarra
     for step in range(1, k):
         drawn = rows.withColumn("u", F.array(*[hash_uniform("k", s + 1000 * step) for s in seeds]))
 
-        def best(frames: Iterator[pd.DataFrame], centres=centres) -> Iterator[pd.DataFrame]:
+        def best(batches: Iterator[pa.RecordBatch], centres=centres) -> Iterator[pa.RecordBatch]:
             top: dict = {}
-            for f in frames:
-                x, u, ids = _stack(f["x"]), _stack(f["u"]), f["k"].to_numpy()
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, u, ids = _matrix(batch, "x"), _matrix(batch, "u"), batch.column("k").to_numpy()
                 for i, c in enumerate(centres):
                     d = squared_distances(x, c).min(axis=1)
                     with np.errstate(divide="ignore"):
@@ -68,9 +75,10 @@ def plus_plus(rows: DataFrame, k: int, seeds: list[int]) -> tuple[list[np.ndarra
                     if np.isfinite(odds[at]) and (i not in top or (odds[at], -ids[at]) > (top[i][0], -top[i][1])):
                         top[i] = (odds[at], ids[at], x[at])
             if top:
-                yield pd.DataFrame({"start": list(top), "odds": [t[0] for t in top.values()], "k": [t[1] for t in top.values()], "x": [t[2] for t in top.values()]})
+                yield pa.RecordBatch.from_pydict({"start": pa.array(list(top), pa.int32()), "odds": [float(t[0]) for t in top.values()], "k": [int(t[1]) for t in top.values()],
+                                                  "x": [t[2].tolist() for t in top.values()]})
 
-        found = drawn.mapInPandas(best, "start int, odds double, k long, x array<double>")
+        found = drawn.mapInArrow(best, "start int, odds double, k long, x array<double>")
         for r in found.groupBy("start").agg(F.max_by(F.struct("k", "x"), F.struct("odds", -F.col("k"))).alias("b")).collect():
             centres[r["start"]] = np.vstack([centres[r["start"]], r["b"]["x"]])
             keys[r["start"]].append(r["b"]["k"])
@@ -88,35 +96,49 @@ def random_rows(rows: DataFrame, k: int, seeds: list[int]) -> tuple[list[np.ndar
 
 
 def lloyd_pass(rows: DataFrame, starts: list[np.ndarray]) -> tuple[list[np.ndarray], list[float]]:
-    """New centroids and the sum of squares at the old ones, per start; a cluster without rows keeps its centroid."""
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = [np.zeros((len(c), c.shape[1] + 2)) for c in starts]
-        for f in frames:
-            x = _stack(f["x"])
-            for t, c in zip(total, starts):
-                d = squared_distances(x, c)
-                near = d.argmin(axis=1)
-                wide = np.column_stack([x, np.ones(len(x)), d[np.arange(len(x)), near]])
-                np.add.at(t, near, wide)
-        for i, t in enumerate(total):
-            yield pd.DataFrame({"start": i, "cluster": np.repeat(np.arange(len(t)), t.shape[1]), "j": np.tile(np.arange(t.shape[1]), len(t)), "v": t.ravel()})
-
-    parts = rows.select("x").mapInPandas(sums, "start int, cluster int, j int, v double")
-    total = [np.zeros((len(c), c.shape[1] + 2)) for c in starts]
-    for r in parts.groupBy("start", "cluster", "j").agg(F.sum("v").alias("v")).collect():  # starts x clusters x features
-        total[r["start"]][r["cluster"], r["j"]] = r["v"]
-    out = [np.where(t[:, -2:-1] > 0, t[:, :-2] / np.maximum(t[:, -2:-1], 1), c) for t, c in zip(total, starts)]
-    return out, [float(t[:, -1].sum()) for t in total]
+    """New centroids and the sum of squares at the old ones, per start; a cluster without rows keeps its centroid. The centres of
+    all starts meet a slice of rows in one product, taken around the middle of the centres, so that data far from zero lose
+    no digits; a second product adds up the rows of every cluster."""
+    cut = np.concatenate([[0], np.cumsum([len(c) for c in starts])])
+    old = np.vstack(starts)
+    middle = old.mean(axis=0)
+    near = old - middle
+    squares, turned = (near ** 2).sum(axis=1), -2.0 * near.T
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, cost = np.zeros((cut[-1], near.shape[1] + 1)), np.zeros(len(starts))
+        for batch in batches:
+            every = _matrix(batch, "x") if batch.num_rows else np.empty((0, near.shape[1]))
+            for at in range(0, len(every), SLICE_ROWS):
+                x = every[at:at + SLICE_ROWS] - middle
+                d = x @ turned + squares
+                own = np.zeros(d.shape)
+                n, length = np.arange(len(x)), (x ** 2).sum(axis=1)
+                for i, (lo, hi) in enumerate(zip(cut, cut[1:])):
+                    first = d[:, lo:hi].argmin(axis=1) + lo
+                    own[n, first] = 1.0
+                    cost[i] += np.maximum(d[n, first] + length, 0.0).sum()
+                total[:, :-1] += own.T @ x
+                total[:, -1] += own.sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"at": np.arange(total.size + cost.size), "v": np.concatenate([total.ravel(), cost])})
+
+    parts = rows.select("x").mapInArrow(sums, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()  # starts x clusters x features
+    flat = np.zeros(cut[-1] * (near.shape[1] + 1) + len(starts))
+    flat[parts.column("at").to_numpy()] = parts.column("v").to_numpy()
+    total = flat[:-len(starts)].reshape(cut[-1], -1)
+    new = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1) + middle, old)
+    return [new[lo:hi] for lo, hi in zip(cut, cut[1:])], [float(v) for v in flat[-len(starts):]]
 
 
 def fit_many(df: DataFrame, key: str, cols, ks: list[int], n_init: int = 10, max_iter: int = 300, seed: int = 42, start: str = "k-means++",
              tol: float = 1e-9) -> dict[int, Fit]:
     """Per number of clusters the best of ``n_init`` starts by the sum of squares. All starts of all numbers advance in the same
     passes (a start's centres for fewer clusters are the first of those for more). A start has settled when no
-    centroid moves by more than ``tol``; passes go on until all have. ``df`` should be stored: it is read once per pass."""
+    centroid moves by more than ``tol``; passes go on until all have. The rows are stored once as one array each and read
+    once per pass."""
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}")
-    rows = _rows(df, key, cols)
+    rows, path = store(_rows(df, key, cols), "kmeans-rows")
     seeds = [seed + i for i in range(n_init)]
     first, keys = (plus_plus if start == "k-means++" else random_rows)(rows, max(ks), seeds)
     centres = {(k, i): c[:k] for k in ks for i, c in enumerate(first)}
@@ -132,10 +154,13 @@ def fit_many(df: DataFrame, key: str, cols, ks: list[int], n_init: int = 10, max
                 centres[at] = c
                 still.append(at)
         open_ = still
+    discard(rows.sparkSession, path)
     out = {}
     for k in ks:
-        best = min(range(n_init), key=lambda i: (not len(centres[k, i]), inertia[k, i], i))
-        out[k] = Fit(centres[k, best], inertia[k, best], [steps[k, i] for i in range(n_init)], [inertia[k, i] for i in range(n_init)], [q[:k] for q in keys])
+        full = [i for i in range(n_init) if len(centres[k, i])] or list(range(n_init))
+        least = min(inertia[k, i] for i in full)
+        best = next(i for i in full if inertia[k, i] <= least * (1 + TIE))  # starts that end in the same clusters differ by rounding
+        out[k] = Fit(centres[k, best], least, [steps[k, i] for i in range(n_init)], [inertia[k, i] for i in range(n_init)], [q[:k] for q in keys])
     return out
 
 
