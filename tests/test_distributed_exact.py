@@ -243,3 +243,14 @@ def test_approximate_quantiles_are_close(spark):
     approx = quantiles(li, ["l_extendedprice"], probs, approx=True)["l_extendedprice"]
     exact = np.quantile(li.select("l_extendedprice").toPandas()["l_extendedprice"], probs)
     assert np.allclose(approx, exact, rtol=2e-3)
+
+
+def test_small_targets_do_not_make_a_task_per_few_rows(spark):
+    from tidemill.operators import ordered
+
+    d = spark.range(6_000).withColumn("v", F.lit(1))
+    rp, parts = ordered.range_partitioned(d, [F.col("id").asc()], 2)
+    assert parts <= ordered.SMALL_PARTS
+    got = ordered.running_totals(d, "id", ["v"], target_rows=2)
+    assert got.where("v_cum <> id + 1").count() == 0 and got.count() == 6_000
+    assert ordered.range_partitioned(d, [F.col("id").asc()], 1_000)[1] == 6

@@ -31,13 +31,17 @@ from tidemill.session import cut_lineage
 
 TARGET_ROWS = 1_000_000
 BROADCAST_OFFSETS_MAX = 200_000
+#: Partitions of fewer rows than ``TARGET_ROWS`` that are made at most: each is a task whose status reaches the driver.
+SMALL_PARTS = 1_000
 
 
 def range_partitioned(df: DataFrame, ordering: list, target_rows: int = TARGET_ROWS) -> tuple[DataFrame, int]:
-    """Rows range-partitioned on ``ordering`` into about ``n / target_rows`` partitions,
-    with the partition number as ``_bkt``."""
+    """Rows range-partitioned on ``ordering`` into about ``n / target_rows`` partitions, with the partition number as
+    ``_bkt``. Where ``target_rows`` is small, beyond ``SMALL_PARTS`` of them partitions grow to up to ``TARGET_ROWS``
+    rows before there are more."""
     n = df.count()
-    parts = max(1, math.ceil(n / max(1, target_rows)))
+    rows = max(1, target_rows, min(TARGET_ROWS, math.ceil(n / SMALL_PARTS)))
+    parts = max(1, math.ceil(n / rows))
     rp = df.repartitionByRange(parts, *ordering).withColumn("_bkt", F.spark_partition_id())
     return cut_lineage(rp), parts
 
