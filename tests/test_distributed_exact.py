@@ -254,3 +254,13 @@ def test_small_targets_do_not_make_a_task_per_few_rows(spark):
     got = ordered.running_totals(d, "id", ["v"], target_rows=2)
     assert got.where("v_cum <> id + 1").count() == 0 and got.count() == 6_000
     assert ordered.range_partitioned(d, [F.col("id").asc()], 1_000)[1] == 6
+
+
+def test_cuts_below_a_value_are_found_without_a_look_at_each(spark):
+    from tidemill.operators.quantiles import cuts_below
+
+    for n in (1, 2, 3, 7, 8, 1023):
+        cuts = [float(3 * i) for i in range(n)]
+        d = spark.createDataFrame([(float(x),) for x in range(-2, 3 * n + 2)], "v double")
+        got = d.select("v", cuts_below(F.array(*[F.lit(c) for c in cuts]), F.col("v"), n).alias("p")).collect()
+        assert [r["p"] for r in got] == [sum(c < r["v"] for c in cuts) for r in got]
