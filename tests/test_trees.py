@@ -99,3 +99,14 @@ def test_one_class_and_empty_tables(spark):
     for fit in (T.fit_tree, T.fit_extra_trees):
         assert {r["prediction"] for r in fit(df, ["a"], "y").predict(df).collect()} == {5.0}
         assert [r["prediction"] for r in fit(df.limit(0), ["a"], "y").predict(df).collect()] == [None, None]
+
+
+def test_draws_are_the_same_in_tasks_and_on_the_driver(spark):
+    from tidemill.operators import trees
+
+    nodes = [(t, (1 << 70) + node, attempt) for t in range(3) for node in range(20) for attempt in range(3)]
+    here, there = (trees._draw_all(spark.range(1), nodes, 8, 3, 42, local) for local in (1000, 10))
+    for a, b in zip(here, there):
+        assert a.tolist() == b.tolist()
+    assert (here[0][2::3, 2] == -1).all() and (here[0][:, :2] >= 0).all()
+    assert here[0][0].tolist() == trees.drawn(0, 1 << 70, 0, 8, 3, 42)
