@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import round_half_up
 from tidemill.operators import evaluate, models as M
+from tidemill.operators.forest import fit_forest
 from tidemill.operators.sampling import stratified_split
 from tidemill.operators.signal import reshape_channels, window_features
 from tidemill.plans.common import emb
@@ -39,12 +40,17 @@ def model_scores(spark: SparkSession, sf: str) -> DataFrame:
     tr = data.where(F.col("split") == "train")
     te = data.where(F.col("split") == "test")
     n = tr.count()
-    ests = {"logistic": M.logistic(1.0, n), "decision_tree": M.decision_tree(),
-            "random_forest": M.random_forest(num_trees=100, max_depth=30), "naive_bayes": M.gaussian_nb()}
+    ests = {"logistic": M.logistic(1.0, n), "decision_tree": M.decision_tree(), "naive_bayes": M.gaussian_nb()}
     outs = []
     for name, est in ests.items():
         p = est.fit(tr).transform(te)
         outs.append(p.select(F.lit(name).alias("model"), "vec_id", "window_index", "label", "prediction"))
+    key, values = ["vec_id", "window_index"], vector_to_array("features")
+    width = data.agg(F.max(F.size(values))).first()[0] or 0
+    names = [f"f{i}" for i in range(width)]
+    wide = data.withColumns({c: F.get(values, i) for i, c in enumerate(names)})
+    p = fit_forest(wide.where(F.col("split") == "train"), names, "label", key, trees=100, max_depth=30).predict(wide.where(F.col("split") == "test"), key)
+    outs.append(p.join(te.select(*key, "label"), key).select(F.lit("random_forest").alias("model"), *key, "label", "prediction"))
     preds = reduce(lambda a, b: a.unionByName(b), outs)
     return evaluate.multiclass_metrics_by(preds, "model")
 
