@@ -32,6 +32,28 @@ def squared_distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return out
 
 
+def nearest(q: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and squared distances (as by ``squared_distances``) of the ``k`` rows of ``t`` nearest to each row of ``q``, ties to the
+    earlier row. A matrix product tells, up to its largest rounding error, which rows can be among them; only these are measured."""
+    own, other = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", t, t)
+    with np.errstate(invalid="ignore"):
+        rough = own[:, None] + other[None, :] - 2.0 * (q @ t.T)
+    if k >= len(t) or not np.isfinite(rough).all():
+        d2 = squared_distances(q, t)
+        at = np.argsort(d2, axis=1, kind="stable")[:, :k]
+        return at, np.take_along_axis(d2, at, axis=1)
+    error = 4 * (q.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(own) + np.sqrt(other.max())) ** 2
+    row, at = np.nonzero(rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * error)[:, None])
+    d2 = np.zeros(len(row))
+    for j in range(q.shape[1]):
+        d = q[row, j] - t[at, j]
+        d2 += d * d
+    by = np.lexsort((at, d2, row))
+    first = np.searchsorted(row, np.arange(len(q)))  # a row's own stay side by side
+    best = by[(first[:, None] + np.arange(k)).ravel()]
+    return at[best].reshape(-1, k), d2[best].reshape(-1, k)
+
+
 def query_chunk(n_t: int) -> int:
     """Queries per chunk so that the largest temporary stays within CHUNK_BYTES."""
     return int(max(1, min(4096, CHUNK_BYTES // max(n_t * 8, 1))))
@@ -68,13 +90,11 @@ def _pair_top_k(k: int):
                 step = query_chunk(len(t_ids))
                 for s in range(0, len(q_ids), step):
                     q = qv[s:s + step]
-                    d2 = squared_distances(q, tv)
-                    idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
+                    idx, d2 = nearest(q, tv, kk)
                     rows = np.repeat(np.arange(len(q)), kk)
-                    cols = idx.ravel()
                     out.append(pd.DataFrame({
-                        "qid": q_ids[s:s + step][rows], "tid": t_ids[cols],
-                        "tlabel": t_lab[cols], "dist": np.sqrt(d2[rows, cols])}))
+                        "qid": q_ids[s:s + step][rows], "tid": t_ids[idx.ravel()],
+                        "tlabel": t_lab[idx.ravel()], "dist": np.sqrt(d2.ravel())}))
             if out:
                 yield pd.concat(out, ignore_index=True)
     return run
