@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import yes_flag
 from tidemill.operators import clean, encode, evaluate, models as M
+from tidemill.operators.forest import fit_forest
 from tidemill.operators.sampling import stratified_split
 from tidemill.plans.common import dirty_customer
 from tidemill.session import cut_lineage
@@ -44,13 +45,16 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     data = M.assembler(FEATURES).transform(z)
     tr = data.where(F.col("split") == "train")
     n = tr.count()
-    ests = {"logistic": M.logistic(1.0, n), "random_forest": M.random_forest(num_trees=100, max_depth=30),
-            "gradient_boosting": M.gradient_boosting(max_iter=100, depth=3)}
+    ests = {"logistic": M.logistic(1.0, n), "gradient_boosting": M.gradient_boosting(max_iter=100, depth=3)}
     outs = []
     for name, est in ests.items():
         p = est.fit(tr).transform(data.where(F.col("split") == "test"))
         outs.append(p.select(F.lit(name).alias("model"), "c_custkey", "label", "prediction",
                              vector_to_array("probability")[1].alias("score")))
+    te = data.where(F.col("split") == "test")
+    forest = fit_forest(tr, FEATURES, "label", ["c_custkey"], trees=100, max_depth=30)
+    p = forest.predict(te, ["c_custkey"]).join(te.select("c_custkey", "label"), "c_custkey")
+    outs.append(p.select(F.lit("random_forest").alias("model"), "c_custkey", "label", "prediction", forest.share_of(1.0).alias("score")))
     return reduce(lambda a, b: a.unionByName(b), outs)
 
 
