@@ -212,6 +212,41 @@ def test_fuzzy_lines_of_few_words_and_of_scripts_without_spaces(spark):
         1: rows[0][1], 2: "\n- -", 3: rows[2][1], 4: "二〇二五", 5: chinese[::-1]}
 
 
+def test_fuzzy_lines_of_a_common_passage_do_not_meet(spark, monkeypatch):
+    """Lines that share a passage of long words but are no copies send no key that they share."""
+    rng, rows, store = np.random.default_rng(3), [], fuzzy_lines.materialize
+    for i in range(400):
+        words = [f"w{i:03d}x{j:02d}" for j in range(17)]
+        at = int(rng.integers(0, 18))
+        rows.append((i, " ".join([*words[:at], "extraordinarily", "comprehensive", "explanations", *words[at:]])))
+    stored = []
+
+    def spy(df, name, *args):
+        out = store(df, name, *args)
+        stored.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", spy)
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_bits=None).collect()
+    assert sum(r["lines_dropped"] for r in out) == 0
+    assert sum(n for name, n in stored if name == "line-probes") < 100
+
+
+def test_fuzzy_lines_with_all_edits_allowed(spark):
+    """Lines about the lengths at which the number of buckets changes, with words that stand several times."""
+    rng, rows = np.random.default_rng(11), []
+    for k, n in enumerate(n for n in (5, 9, 10, 14, 15, 16, 18, 19, 20, 60, 74, 75, 76, 90, 94, 95, 330) for _ in range(4)):
+        words = [f"k{k}v{rng.integers(0, max(3, n // 2))}" if rng.random() < 0.5 else ["of", "the", "and"][rng.integers(0, 3)] for _ in range(n)]
+        copy = list(words)
+        ops = rng.choice(3, n // 5, p=[[1, 0, 0], [0, 1, 0], [0, 0, 1], [0.4, 0.3, 0.3]][k % 4])
+        for op in ops:
+            at = int(rng.integers(0, len(copy)))
+            copy[at:at + (op != 2)] = [] if op == 1 and len(copy) > 5 else [f"new{rng.integers(0, 10 ** 9)}"]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_bits=None).collect()
+    assert {r["doc_id"] for r in out if r["lines_dropped"]} >= {k for k, _ in rows if k % 2}
+
+
 def test_fuzzy_lines_empty_table(spark):
     assert fuzzy_lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
