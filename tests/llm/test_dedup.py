@@ -232,6 +232,16 @@ def test_fuzzy_lines_of_a_common_passage_do_not_meet(spark, monkeypatch):
     assert sum(n for name, n in stored if name == "line-probes") < 100
 
 
+def test_word_ranks_count_every_line(spark):
+    """A word that stands in a few lines of a large table only ranks by all of them."""
+    lines = spark.range(400_000).selectExpr("concat_ws(' ', concat('a', id), concat('b', id), concat('c', id), concat('d', id), concat('e', id)) AS _spaced")
+    rare = [f"once x{i} y{i} z{i} v{i}" for i in range(400)]
+    lost = [r[0] for r in spark.createDataFrame([(x,) for x in rare], "_spaced string").where("pmod(xxhash64(_spaced), 3) <> 0").collect()]
+    slot = spark.sql(f"SELECT xxhash64('once') & {fuzzy_lines.RANK_SLOTS - 1}").first()[0]
+    ranks = fuzzy_lines.word_ranks(lines.unionAll(spark.createDataFrame([(x,) for x in lost], "_spaced string")))
+    assert ranks[slot] > 0
+
+
 def test_fuzzy_lines_with_all_edits_allowed(spark):
     """Lines about the lengths at which the number of buckets changes, with words that stand several times."""
     rng, rows = np.random.default_rng(11), []
