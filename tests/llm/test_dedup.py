@@ -331,6 +331,46 @@ def test_near_classes_of_one_large_group(spark):
     assert {(r["class_id"], r["class_size"]) for r in got} == {(0, 150)}
 
 
+def test_rare_shingles_weigh_by_their_exact_counts(spark, tmp_path):
+    """Documents that share a passage which ten of 1,200 hold: alike if all rare shingles weighed the same, apart by their counts."""
+    passage = " ".join(f"p{i}" for i in range(404))
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(45))) for i in range(10)]
+    rows += [(i, " ".join(f"o{i}x{j}" for j in range(8))) for i in range(10, 1200)]
+    rows += [(2000, rows[3][1].replace("own3x30", "edited"))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    got = wm.near_classes(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {**{k: k for k, _ in rows}, 2000: 3}
+
+
+def test_shingles_are_counted_over_chunks_and_slots(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 3, int(rng.integers(0, 30)))) for _ in range(300)] + ["common words that stand in all"] * 40
+    rows = [(i, t or None) for i, t in enumerate(texts)]
+    want = Counter(k for t in texts for k in set(wm.all_shingles([t])[1].tolist()))
+    plain = spark.createDataFrame(rows, "_rid long, _text string").repartition(5)
+    monkeypatch.setattr(wm, "TEXT_CHARS", 400)
+    shared = spark.sparkContext.broadcast(wm.common_shingles(plain.select("_text"), "_text", 0.1))
+    assert 0 < len(shared.value[0]) < len(want)
+    got = wm.rare_counts(plain, shared, 4, 3).collect()
+    weights = wm.Weights(*shared.value[:3])
+    for chunk in range(len(rows) // 16 + 1):
+        mine = [r for r in got if r["_chunk"] == chunk]
+        keys = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(r["_keys"], np.uint64) for r in mine]])
+        n = np.concatenate([np.empty(0, np.int64), *[wm.unpacked_counts(r["_counts"]) for r in mine]])
+        order = np.argsort(keys)
+        held = np.unique(wm.all_shingles(texts[16 * chunk:16 * chunk + 16])[1])
+        assert weights.documents_of(held, keys[order], n[order]).tolist() == [want[k] for k in held.tolist()]
+
+
+def test_near_classes_do_not_follow_chunks(spark, monkeypatch, tmp_path):
+    spark.createDataFrame(near_rows(), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    found = lambda: Counter(tuple(r) for r in wm.near_classes(spark.read.parquet(str(tmp_path / "docs"))).collect())
+    want = found()
+    monkeypatch.setattr(wm, "TEXT_CHARS", 1000)
+    monkeypatch.setattr(wm, "SLOT_SHINGLES", 500)
+    assert found() == want
+
+
 def test_near_classes_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert wm.near_classes(df).count() == 0
