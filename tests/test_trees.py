@@ -94,6 +94,21 @@ def test_extra_trees_are_the_drawn_trees(table, pass_nodes):
     assert all(abs(sum(r["probability"]) - 1) < 1e-9 for r in one)
 
 
+@pytest.mark.parametrize("local_rows", [0, 12, 60])
+def test_deep_nodes_of_extra_trees_stay_in_tasks(table, local_rows):
+    """Wherever a node is grown, the trees and the predictions are the same, and the driver holds no node below a small one."""
+    x, y, cols, df = table
+    forest = T.fit_extra_trees(df, cols, "y", trees=3, local_rows=local_rows)
+    for t, tree in enumerate(forest.trees):
+        assert _splits(tree) == _extra(x, y, 3, t, 2, 42)
+    for tree in forest.tops:
+        assert all(tree.counts[i].sum() > local_rows for i in range(len(tree.name)) if tree.feature[i] >= 0)
+    assert sum(len(t.name) for t in forest.tops) < sum(len(t.name) for t in forest.trees) or local_rows == 0
+    whole = T.Forest(forest.classes, forest.features, forest.trees, 0)
+    rows = lambda f: sorted(str((r["a"], r["b"], r["d"], r["prediction"], r["probability"])) for r in f.predict(df).collect())
+    assert rows(forest) == rows(whole)
+
+
 def test_one_class_and_empty_tables(spark):
     df = spark.createDataFrame([(1.0, 5), (2.0, 5)], "a double, y int")
     for fit in (T.fit_tree, T.fit_extra_trees):
